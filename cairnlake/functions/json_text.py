@@ -2,28 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def json_array(text: Column) -> Column:
-    """The elements of a JSON array text, or NULL when the text is NULL or holds no array.
-
-    The text is parsed once; the elements stay in Spark's binary variant form.
-    """
+    """The elements of a JSON array text as variants; NULL when the text is NULL or no array."""
     return F.try_parse_json(text).try_cast("array<variant>")
 
 
-def json_scalar(element: Column, key: str) -> Column:
-    """Text of a scalar member; NULL for a missing member, JSON null, an object or an array."""
-    path = f"$.{key}"
-    text = F.try_variant_get(element, path, "string")
-    nested = F.coalesce(
-        F.try_variant_get(element, path, "array<variant>").isNotNull(), F.lit(False)
-    ) | F.coalesce(
-        F.try_variant_get(element, path, "map<string,variant>").isNotNull(), F.lit(False)
+def explode_records(table: DataFrame, column: str, keys: tuple[str, ...]) -> DataFrame:
+    """One row per element of a JSON array text, with the named members in place of the text.
+
+    A text that is NULL or holds no array gives no row.  A member is text, and NULL when it is
+    missing, JSON null, an object or an array; an element that is no object has NULL members only.
+
+    Reading the text straight into structs is the fast way, and right when every brace opens an
+    element and the only bracket opens the array.  It cannot tell a nested object from a text that
+    looks like one, and gives up on elements that are no objects: such texts are parsed a second
+    time, as variants.
+    """
+    text, fast = F.col(column), F.col("_fast")
+    record = "struct<" + ", ".join(f"{key}: string" for key in keys) + ">"
+    starts = F.ltrim(text, F.lit(" \t\r\n")).startswith("[")
+    braces = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("{"), F.lit("")))
+    plain = (braces == F.size(fast)) & (F.locate("[", text, 2) == 0)
+
+    def checked(element: Column, found: Column) -> Column:
+        members = []
+        for key in keys:
+            as_text = F.try_variant_get(element, f"$.{key}", "string")
+            kept = F.when(~_is_nested(element, key), F.coalesce(found[key], as_text))
+            members.append(kept.alias(key))
+        return F.struct(*members)
+
+    nothing = F.array().cast(f"array<{record}>")
+    careful = F.zip_with(json_array(text), F.coalesce(fast, nothing), checked)
+    kept = [name for name in table.columns if name != column]
+    # The fast reading is a column of its own, so that it is computed once.
+    return (
+        table.where(starts)
+        .withColumn("_fast", F.from_json(text, f"array<{record}>"))
+        .select(*kept, F.explode(F.when(plain, fast).otherwise(careful)).alias("_record"))
+        .select(*kept, *(F.col("_record")[key].alias(key) for key in keys))
     )
-    # Only a text that starts like an object or an array needs the costlier look at its type.
-    return F.when(text.rlike(r"^[\[{]") & nested, F.lit(None)).otherwise(text)
+
+
+def _is_nested(element: Column, key: str) -> Column:
+    as_array = F.try_variant_get(element, f"$.{key}", "array<variant>")
+    as_object = F.try_variant_get(element, f"$.{key}", "map<string,variant>")
+    return as_array.isNotNull() | as_object.isNotNull()
 
 
 def sealed_json(text: Column) -> Column:

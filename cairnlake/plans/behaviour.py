@@ -60,12 +60,13 @@ def user_behavior_summary(
     """Purchases of every user with an open customer version, with the categories they browsed.
 
     Both aggregates leave their rows partitioned by user, so their join needs no further shuffle.
-    A user with several open versions appears once for each.
+    A user with several open versions appears once for each; versions differ in their row hash,
+    which is what spreads a user with very many of them.
     """
     purchases = user_purchase_patterns(sales, money_scale)
     behaviour = purchases.join(browsed_categories(clickstream), "user_id", "left")
-    countries = current_customers(customers).select("user_id", "billing_country")
-    return salted_join(countries, behaviour, "user_id", "billing_country").select(
+    countries = current_customers(customers).select("user_id", "billing_country", "row_hash")
+    return salted_join(countries, behaviour, "user_id", "row_hash").select(
         "user_id",
         "billing_country",
         "total_orders",

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from cairnlake.functions.json_text import json_array, json_scalar
+from cairnlake.functions.json_text import explode_records
 
 TAGS = {"silver"}
+ITEM_MEMBERS = ("product_id", "quantity", "price")
 REQUIRED = ["transaction_id", "user_id", "product_id", "transaction_timestamp"]
 
 
@@ -16,25 +17,14 @@ def flatten_items(sales: DataFrame) -> DataFrame:
     A transaction whose items are empty, missing or not an array gives no row.  The filters run
     before any JSON is parsed, and each text is parsed once for all three members.
     """
-    return (
-        sales.where(F.col("user_id").isNotNull() & (F.col("status") == "completed"))
-        .select(
-            "transaction_id",
-            "user_id",
-            F.col("timestamp").alias("transaction_timestamp"),
-            F.col("status").alias("transaction_status"),
-            F.explode(json_array(F.col("items"))).alias("item"),
-        )
-        .select(
-            "transaction_id",
-            "user_id",
-            "transaction_timestamp",
-            "transaction_status",
-            json_scalar(F.col("item"), "product_id").alias("product_id"),
-            json_scalar(F.col("item"), "quantity").alias("quantity"),
-            json_scalar(F.col("item"), "price").alias("price"),
-        )
+    completed = sales.where(F.col("user_id").isNotNull() & (F.col("status") == "completed")).select(
+        "transaction_id",
+        "user_id",
+        F.col("timestamp").alias("transaction_timestamp"),
+        F.col("status").alias("transaction_status"),
+        "items",
     )
+    return explode_records(completed, "items", ITEM_MEMBERS)
 
 
 def f_sales(sales: DataFrame, products: DataFrame, lenient: bool = False) -> DataFrame:

@@ -37,7 +37,7 @@ def present(table: DataFrame) -> DataFrame:
         column = F.col(field.name)
         if field.dataType == T.TimestampType():
             columns.append(column.cast("timestamp_ntz").alias(field.name))
-        elif field.dataType == T.ArrayType(T.StringType()):
+        elif isinstance(field.dataType, T.ArrayType):
             columns.append(F.array_join(column, "|").alias(field.name))
         elif field.name == "attributes" and field.dataType == T.VariantType():
             columns.append(F.variant_get(column, "$.brand", "string").alias("brand"))
