@@ -348,11 +348,11 @@ def scd2_partitioned_write(spark: SparkSession, folder: str) -> DataFrame:
     """The merged dimension as a new version of the table that it was read from."""
     snapshot = _stored(spark, customer_snapshots(spark, folder), "snapshot")
     table = VersionedTable(spark, scratch_path(spark, "d_customers"))
-    layout = ("valid_from_date", ("billing_country",))
-    first = bronze.stored_customers(snapshot)
-    table.replace(with_date(first, "valid_from", "valid_from_date"), *layout)
+    table.replace(bronze.stored_customers(snapshot))
     merged = customers.merge(snapshot, table.read(schemas.CUSTOMERS))
-    return table.replace(with_date(merged, "valid_from", "valid_from_date"), *layout)
+    return table.replace(
+        with_date(merged, "valid_from", "valid_from_date"), "valid_from_date", ("billing_country",)
+    )
 
 
 def current_customers(spark: SparkSession, folder: str) -> DataFrame:
@@ -387,7 +387,7 @@ def user_behavior_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def batch_job(spark: SparkSession, folder: str) -> DataFrame:
-    """Two runs of the whole job; the second one merges the same customers again."""
+    """One run of the whole job, from bronze inputs to the stored summary."""
     job = BatchJob(
         spark,
         Bronze(
@@ -399,7 +399,6 @@ def batch_job(spark: SparkSession, folder: str) -> DataFrame:
         CENTS,
     )
     job.run()
-    job.run({"customer", "gold"})
     return job.table("user_behavior_summary").read()
 
 
