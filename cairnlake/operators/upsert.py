@@ -12,4 +12,4 @@ def keyed_upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataF
     is always added.  Only the key columns of the source take part in the shuffle of the match.
     """
     kept = target.join(source.select(*keys), keys, "left_anti")
-    return kept.unionByName(source)
+    return kept.select(*target.columns).unionByName(source)

@@ -8,7 +8,10 @@ from collections import Counter
 def rows(table, *columns):
     """Rows as a multiset of tuples, over the given or all columns."""
     chosen = table.select(*columns) if columns else table
-    return Counter(tuple(row) for row in chosen.collect())
+    return Counter(
+        tuple(tuple(value) if isinstance(value, list) else value for value in row)
+        for row in chosen.collect()
+    )
 
 
 def plan(table, execute=True):

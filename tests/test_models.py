@@ -1,0 +1,177 @@
+from datetime import datetime
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from cairnlake import schemas
+from cairnlake.plans import behaviour, products, sales
+from cairnlake.plans.batch import BatchJob, Bronze
+from cairnlake.operators.quality import AssertionFailed
+from cairnlake.sinks.versioned import VersionedTable
+from cairnlake.testbed import bronze
+from helpers import plan, rows
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def one_sale(spark, items, status="completed", user="u"):
+    entry = ("t", user, datetime(2024, 1, 1), 1.0, "USD", "card", status, items, "a", "US", None)
+    return spark.createDataFrame([entry], schemas.SALES_TRANSACTIONS)
+
+
+@pytest.fixture
+def known(spark):
+    return spark.createDataFrame([("p",)], "product_id string")
+
+
+def test_line_total_and_unknown_products(spark, known):
+    items = '[{"product_id":"p","quantity":3,"price":"1.5"},{"product_id":"q","quantity":1,"price":1}]'
+    (row,) = sales.f_sales(one_sale(spark, items), known).collect()
+    assert (row.product_id, row.quantity, row.price, row.total_amount) == ("p", 3, 1.5, 4.5)
+
+
+@pytest.mark.parametrize("status,user", [("pending", "u"), (None, "u"), ("completed", None)])
+def test_only_completed_sales_of_a_user(spark, known, status, user):
+    items = '[{"product_id":"p","quantity":3,"price":1.5}]'
+    assert sales.f_sales(one_sale(spark, items, status, user), known).isEmpty()
+
+
+def test_fraction_as_quantity_stops_unless_lenient(spark, known):
+    table = one_sale(spark, '[{"product_id":"p","quantity":"1.5","price":2}]')
+    with pytest.raises(PySparkException):
+        sales.f_sales(table, known).collect()
+    (row,) = sales.f_sales(table, known, lenient=True).collect()
+    assert row.quantity is None and row.total_amount is None
+
+
+def test_purchase_patterns_average_line_items(spark):
+    fact = spark.createDataFrame(
+        [("t1", "u", "p", datetime(2024, 1, 1), 1, 1.0, 1.0), ("t1", "u", "q", datetime(2024, 1, 2), 1, 3.0, 3.0),
+         ("t2", "u", "q", datetime(2024, 1, 1), 1, 5.0, None)],
+        "transaction_id string, user_id string, product_id string, transaction_timestamp timestamp, "
+        "quantity long, price double, total_amount double",
+    )
+    for scale in (None, 2):
+        (row,) = behaviour.user_purchase_patterns(fact, scale).collect()
+        assert tuple(row) == ("u", 2, 4.0, 2.0, datetime(2024, 1, 2), 2)
+
+
+def test_browsed_categories(spark):
+    schema = "user_id string, event_type string, properties struct<category:string>"
+    events = [("u", "page_view", ("b",)), ("u", "page_view", ("a",)), ("u", "page_view", ("a",)),
+              ("u", "click", ("z",)), ("v", "page_view", (None,)), (None, "page_view", ("c",))]
+    found = behaviour.browsed_categories(spark.createDataFrame(events, schema))
+    assert {r.user_id: r.browsed_categories for r in found.collect()} == {
+        "u": ["a", "b"], "v": None, None: ["c"]
+    }
+
+
+def test_user_repeats_per_open_version(spark):
+    fact = spark.createDataFrame(
+        [("t1", "u", "p", datetime(2024, 1, 1), 1, 1.0, 1.0)],
+        "transaction_id string, user_id string, product_id string, transaction_timestamp timestamp, "
+        "quantity long, price double, total_amount double",
+    )
+    versions = [("u", "US", "a", "h1", None, None), ("u", "BR", "a", "h2", None, None),
+                ("u", "FR", "a", "h3", None, datetime(2024, 1, 1)), ("w", "FR", "a", "h4", None, None)]
+    clicks = spark.createDataFrame([], schemas.CLICKSTREAM_EVENTS)
+    summary = behaviour.user_behavior_summary(
+        fact, spark.createDataFrame(versions, schemas.CUSTOMERS), clicks
+    )
+    assert rows(summary, "user_id", "billing_country", "browsed_categories") == {
+        ("u", "US", None): 1, ("u", "BR", None): 1
+    }
+
+
+@pytest.fixture(scope="module")
+def job(spark, tmp_path_factory):
+    inputs = Bronze(
+        bronze.sales_transactions(spark, FOLDER),
+        bronze.product_catalog(spark, FOLDER),
+        bronze.clickstream_events(spark, FOLDER),
+    )
+    return BatchJob(spark, inputs, str(tmp_path_factory.mktemp("job")), money_scale=2)
+
+
+def test_batch_job_by_tag_and_twice(spark, job):
+    assert job.run({"gold"} - {"gold"}) == []
+    assert job.run({"silver"}) == ["d_products", "f_sales", "d_customers"]
+    assert job.run({"user_behavior"}) == ["user_behavior_summary"]
+    first_customers = rows(job.table("d_customers").read(schemas.CUSTOMERS))
+    first_summary = rows(job.table("user_behavior_summary").read())
+    assert job.run({"customer", "gold"}) == ["d_customers", "user_behavior_summary"]
+    assert rows(job.table("d_customers").read(schemas.CUSTOMERS)) == first_customers
+    assert rows(job.table("user_behavior_summary").read()) == first_summary
+    assert job.table("d_customers").versions() == [1, 2]
+
+
+def test_broken_assertion_stops_the_job(spark, job, tmp_path):
+    twice = job.bronze.product_catalog.unionAll(job.bronze.product_catalog)
+    broken = BatchJob(
+        spark, Bronze(job.bronze.sales_transactions, twice, job.bronze.clickstream_events), str(tmp_path)
+    )
+    with pytest.raises(AssertionFailed, match="d_products_unique"):
+        broken.run()
+    assert VersionedTable(spark, str(tmp_path / "f_sales")).versions() == []
+
+
+# --- plans -----------------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("bronze")
+    for name in ("sales_transactions", "product_catalog", "clickstream_events"):
+        writer = getattr(bronze, name)(spark, FOLDER).write
+        (writer.partitionBy("dt") if name == "product_catalog" else writer).parquet(str(folder / name))
+    return {path.name: spark.read.parquet(str(path)) for path in folder.iterdir()}
+
+
+def test_scans_read_what_they_need(stored):
+    text = behaviour.browsed_categories(stored["clickstream_events"])._jdf.queryExecution().toString()
+    assert "ReadSchema: struct<user_id:string,event_type:string,properties:struct<category:string>>" in text
+    assert "EqualTo(event_type,page_view)" in text
+    text = sales.flatten_items(stored["sales_transactions"])._jdf.queryExecution().toString()
+    assert "EqualTo(status,completed)" in text and "shipping_address" not in text.split("ReadSchema")[-1]
+    text = products.d_products(stored["product_catalog"])._jdf.queryExecution().toString()
+    assert "dynamicpruning" in text or "PartitionFilters: [isnotnull(dt" in text
+
+
+def test_no_python_in_the_summary(stored, spark):
+    from cairnlake.plans.customers import customer_snapshots
+
+    fact = sales.f_sales(stored["sales_transactions"], products.d_products(stored["product_catalog"]))
+    summary = behaviour.user_behavior_summary(
+        fact, customer_snapshots(stored["sales_transactions"]), stored["clickstream_events"]
+    )
+    text = plan(summary, execute=False)
+    for node in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "MapInPandas", "CollectLimit"):
+        assert node not in text
+
+
+def test_bestseller_is_split(spark, tmp_path, conf):
+    """Half of all items are one product: adaptive execution splits its partition."""
+    item = F.format_string(
+        '[{"product_id":"%s","quantity":1,"price":1}]',
+        F.when(F.col("id") % 2 == 0, F.lit("best")).otherwise(F.col("id").cast("string")),
+    )
+    entries = spark.range(0, 200_000, numPartitions=8).select(
+        F.col("id").cast("string").alias("transaction_id"),
+        F.lit("u").alias("user_id"),
+        F.current_timestamp().alias("timestamp"),
+        F.lit("completed").alias("status"),
+        item.alias("items"),
+    )
+    entries.write.parquet(str(tmp_path / "s"))
+    catalog = spark.range(200_000).select(F.col("id").cast("string").alias("product_id"))
+    catalog.union(spark.createDataFrame([("best",)])).write.parquet(str(tmp_path / "p"))
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256KB")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "512KB")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
+    fact = sales.f_sales(spark.read.parquet(str(tmp_path / "s")), spark.read.parquet(str(tmp_path / "p")))
+    assert len(fact.collect()) == 200_000
+    assert "isSkew=true" in fact._jdf.queryExecution().executedPlan().toString() or "skewed" in (
+        fact._jdf.queryExecution().executedPlan().toString()
+    )

@@ -1,0 +1,73 @@
+import os
+from datetime import date
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F, types as T
+
+from cairnlake.session import scratch_path
+from cairnlake.sinks.versioned import VersionedTable, with_date
+from helpers import rows
+
+SCHEMA = T.StructType().add("k", T.StringType()).add("v", T.LongType())
+
+
+def test_versions_replace_each_other_and_can_read_themselves(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    assert table.read(SCHEMA).count() == 0 and table.versions() == []
+    with pytest.raises(FileNotFoundError):
+        table.read()
+    table.replace(spark.createDataFrame([("a", 1)], SCHEMA))
+    before = table.read(SCHEMA)
+    table.replace(before.withColumn("v", F.col("v") + 1))
+    assert rows(table.read(SCHEMA)) == {("a", 2): 1}
+    assert rows(before) == {("a", 1): 1} and rows(table.read(version=1)) == {("a", 1): 1}
+
+
+def test_broken_off_version_is_not_seen(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.replace(spark.createDataFrame([("a", 1)], SCHEMA))
+    os.makedirs(tmp_path / "t" / "version=000002")
+    assert table.versions() == [1] and rows(table.read(SCHEMA)) == {("a", 1): 1}
+    table.replace(spark.createDataFrame([("b", 1)], SCHEMA))
+    assert table.versions() == [1, 3]
+
+
+def test_failed_write_leaves_the_table_alone(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.replace(spark.createDataFrame([("a", 1)], SCHEMA))
+    failing = spark.range(3).select(F.raise_error(F.lit("no")).cast("string").alias("k"), "id")
+    with pytest.raises(PySparkException):
+        table.replace(failing)
+    assert rows(table.read(SCHEMA)) == {("a", 1): 1}
+
+
+def test_old_versions_can_go(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    for i in range(3):
+        table.replace(spark.createDataFrame([("a", i)], SCHEMA))
+    table.drop_older(keep=1)
+    assert table.versions() == [3]
+
+
+def test_partitioned_and_sorted_layout(spark, tmp_path):
+    data = spark.range(200).select(
+        (F.col("id") % 7).cast("string").alias("country"),
+        F.timestamp_seconds(F.col("id") % 3 * 86400).alias("valid_from"),
+    )
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    written = table.replace(with_date(data, "valid_from", "day"), "day", ("country",))
+    assert written.count() == 200
+    folders = sorted(os.listdir(tmp_path / "t" / "version=000001"))
+    assert "day=1970-01-01" in folders and "day=1970-01-03" in folders
+    one = spark.read.parquet(str(tmp_path / "t" / "version=000001" / "day=1970-01-02"))
+    countries = [r.country for r in one.collect()]
+    assert countries == sorted(countries)
+    assert written.where(F.col("day") == date(1970, 1, 1)).count() == 67
+
+
+def test_scratch_path_follows_the_session(spark):
+    path = scratch_path(spark, "x")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    assert path != scratch_path(spark, "x")
+    assert root is None or path.startswith(root)
