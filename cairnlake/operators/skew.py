@@ -10,6 +10,8 @@ MAX_HEAVY_KEYS = 200
 HEAVY_SHARE = 0.005
 #: Counters of the frequency sketch; its error is below one row in this many.
 SKETCH_COUNTERS = 10_000
+#: Places per partition that a heavy key's rows are dealt to; several, as places can share a partition.
+PLACES_PER_PARTITION = 4
 #: Rows one task writes for a single repeated row before the repetition is split up.
 REPEAT_CHUNK = 65_536
 
@@ -56,7 +58,8 @@ def salted_join(
     partitions = int(probe.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = F.col(spread_by) if isinstance(spread_by, str) else spread_by
     heavy = heavy_keys(probe, key, share).select(
-        key, F.ceil(F.col("_share") * partitions + 1).cast("int").alias("_parts")
+        key,
+        F.ceil(F.col("_share") * partitions * PLACES_PER_PARTITION + 1).cast("int").alias("_parts"),
     )
     # A NULL key matches nothing, so its rows can lie anywhere.
     parts = F.when(F.col(key).isNull(), F.lit(partitions)).otherwise(

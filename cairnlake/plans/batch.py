@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +20,11 @@ class Bronze:
     product_catalog: DataFrame
     clickstream_events: DataFrame
 
+    @classmethod
+    def named(cls, spark: SparkSession) -> Bronze:
+        """The inputs by their table or view names."""
+        return cls(*(spark.table(field.name) for field in fields(cls)))
+
 
 class BatchJob:
     """Materialises the models as versioned tables below ``root``.

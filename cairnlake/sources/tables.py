@@ -66,3 +66,20 @@ def scan_sales(spark: SparkSession, path: str) -> DataFrame:
         lambda a, b: a & b, (F.col(name).eqNullSafe(F.lit(name)) for name in text_columns)
     )
     return table.where(~spells_names)
+
+
+SCANS = {
+    "clickstream_events": scan_clickstream,
+    "customer_support_tickets": scan_support_tickets,
+    "product_catalog": scan_product_catalog,
+    "sales_transactions": scan_sales,
+}
+
+
+def register_sources(spark: SparkSession, locations: dict[str, str]) -> None:
+    """Give bronze tables their names, so that SQL can refer to them: ``{table: path}``.
+
+    A name stands for the scan, not for data; partitions present at this time are found by the scan.
+    """
+    for name, path in locations.items():
+        SCANS[name](spark, path).createOrReplaceTempView(name)

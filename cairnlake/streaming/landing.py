@@ -47,7 +47,7 @@ def landed_text(messages: DataFrame) -> DataFrame:
 
 
 def start_landing(
-    messages: DataFrame,
+    messages: DataFrame | dict[str, DataFrame],
     root: str,
     checkpoint: str,
     routes: dict[str, LandingRoute],
@@ -57,14 +57,18 @@ def start_landing(
 ) -> list[StreamingQuery]:
     """Start one stream per configured topic, each with its own folder and checkpoint.
 
+    ``messages`` is one stream per topic, or a single stream from which every topic takes its own;
+    the latter is read once per topic, so it suits sources that can skip the other topics.
+
     A message whose batch did not commit is read again and its files are written anew; the commit
     log of the file sink keeps the files of broken-off batches out of later reads.  Messages of a
     batch share files, every message ending in a line break.
     """
     queries = []
     for topic, route in routes.items():
+        own = messages[topic] if isinstance(messages, dict) else of_topic(messages, topic)
         writer = (
-            landed_text(of_topic(messages, topic))
+            landed_text(own)
             .writeStream.outputMode("append")
             .format("text")
             .partitionBy("dt")

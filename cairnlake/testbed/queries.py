@@ -160,6 +160,19 @@ def whole_file_messages(spark: SparkSession, folder: str) -> DataFrame:
     return messages.groupBy("source_topic").agg(F.sum(lines - headers).alias("records"))
 
 
+def named_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """SQL over a bronze table that is known by its name."""
+    tables.register_sources(spark, {"product_catalog": _catalog_files(spark, folder)})
+    return spark.sql(
+        """
+        SELECT category, count(*) AS n_products, max(price) AS dearest
+        FROM product_catalog
+        WHERE dt = (SELECT dt FROM product_catalog ORDER BY dt DESC LIMIT 1)
+        GROUP BY category
+        """
+    )
+
+
 # --- messages and streams --------------------------------------------------------------------
 
 
@@ -471,6 +484,7 @@ QUERIES: dict[str, Query] = {
     "scan_product_catalog": scan_product_catalog,
     "scan_newest_catalog": scan_newest_catalog,
     "scan_sales_csv": scan_sales_csv,
+    "named_sources": named_sources,
     "json_array_to_ndjson": json_array_to_ndjson,
     "whole_file_messages": whole_file_messages,
     "parse_message": parse_message,

@@ -106,6 +106,14 @@ def test_batch_job_by_tag_and_twice(spark, job):
     assert job.table("d_customers").versions() == [1, 2]
 
 
+def test_inputs_by_name(spark, job):
+    for name in ("sales_transactions", "product_catalog", "clickstream_events"):
+        getattr(job.bronze, name).createOrReplaceTempView(name)
+    named = Bronze.named(spark)
+    assert named.product_catalog.columns == job.bronze.product_catalog.columns
+    assert named.clickstream_events.columns[0] == "event_id"
+
+
 def test_broken_assertion_stops_the_job(spark, job, tmp_path):
     twice = job.bronze.product_catalog.unionAll(job.bronze.product_catalog)
     broken = BatchJob(

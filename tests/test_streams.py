@@ -3,6 +3,7 @@ from datetime import date, datetime
 
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
 
 from cairnlake import schemas
 from cairnlake.functions import topics
@@ -46,6 +47,31 @@ def test_raw_ingest_appends_and_restarts_where_it_stopped(spark, tmp_path):
     }
 
 
+def test_a_batch_that_is_delivered_again_is_not_written_twice(spark, tmp_path):
+    """The source batch was written but its commit got lost, as when the driver dies in between."""
+    out = str(tmp_path / "out")
+    publish(spark, tmp_path / "in", ("1", CLICKS, b"{}"))
+    ingest(spark, tmp_path, path=out)
+    (tmp_path / "cp" / "commits" / "0").unlink()
+    (tmp_path / "cp" / "commits" / ".0.crc").unlink()
+    ingest(spark, tmp_path, path=out)
+    assert rows(spark.read.parquet(out), "message_id") == {("1",): 1}
+
+
+def test_a_failed_batch_is_delivered_again(spark, tmp_path):
+    """Nothing of a batch is kept if one of its messages cannot be written; a later start has all of it."""
+    publish(spark, tmp_path / "in", ("1", CLICKS, b"{}"), ("2", CLICKS, b"[]"))
+    messages = file_messages(spark, str(tmp_path / "in"))
+    failing = messages.withColumn(
+        "message_id", F.when(F.col("message_id") == "1", "1").otherwise(F.raise_error(F.lit("down")))
+    )
+    place = {"checkpoint": str(tmp_path / "cp"), "tables": TABLES, "path": str(tmp_path / "out")}
+    with pytest.raises(StreamingQueryException):
+        raw_ingest.start_raw_ingest(failing, **place).awaitTermination(120)
+    raw_ingest.start_raw_ingest(messages, **place).awaitTermination(120)
+    assert rows(spark.read.parquet(place["path"]), "message_id") == {("1",): 1, ("2",): 1}
+
+
 def test_stream_equals_batch(spark, tmp_path):
     messages = [(str(i), CLICKS, d) for i, d in enumerate([b"{}", b"1", b"x", b"", b"\xff", b'["a"]'])]
     publish(spark, tmp_path / "in", *messages)
@@ -107,7 +133,7 @@ def test_landed_bytes_are_unchanged(spark, tmp_path):
 def test_drain_stops_after_its_time(spark, tmp_path):
     publish(spark, tmp_path / "in", ("1", CLICKS, b"{}"))
     streams = landing.start_landing(
-        file_messages(spark, str(tmp_path / "in")),
+        {CLICKS: file_messages(spark, str(tmp_path / "in"))},
         str(tmp_path / "land"),
         str(tmp_path / "cp"),
         {CLICKS: ROUTES[CLICKS]},
