@@ -60,7 +60,8 @@ def user_behavior_summary(
     """Purchases of every user with an open customer version, with the categories they browsed.
 
     Both aggregates leave their rows partitioned by user, so their join needs no further shuffle.
-    A user with several open versions appears once for each; versions differ in their row hash,
+    ``customers`` should be a stored table: its user column is read once more to find users with
+    very many versions.  A user with several open versions appears once for each; versions differ in their row hash,
     which is what spreads a user with very many of them.
     """
     purchases = user_purchase_patterns(sales, money_scale)

@@ -393,7 +393,8 @@ def user_behavior_summary(spark: SparkSession, folder: str) -> DataFrame:
     transactions = bronze.sales_transactions(spark, folder)
     return behaviour.user_behavior_summary(
         sales.f_sales(transactions, d_products(spark, folder)),
-        customers.customer_snapshots(transactions),
+        # Stored, as the dimension is: its user column is read on its own to look for heavy users.
+        _stored(spark, customers.customer_snapshots(transactions), "snapshot"),
         bronze.clickstream_events(spark, folder),
         CENTS,
     )
