@@ -5,27 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def json_array(text: Column) -> Column:
-    """The elements of a JSON array text as variants; NULL when the text is NULL or no array."""
-    return F.try_parse_json(text).try_cast("array<variant>")
-
-
 def explode_records(table: DataFrame, column: str, keys: tuple[str, ...]) -> DataFrame:
     """One row per element of a JSON array text, with the named members in place of the text.
 
-    A text that is NULL or holds no array gives no row.  A member is text, and NULL when it is
-    missing, JSON null, an object or an array; an element that is no object has NULL members only.
+    A text that is NULL or is not exactly one JSON array gives no row.  A member is text, and NULL
+    when it is missing, JSON null, an object or an array; an element that is no object has NULL
+    members only.
 
     Reading the text straight into structs is the fast way, and right when every brace opens an
-    element and the only bracket opens the array.  It cannot tell a nested object from a text that
-    looks like one, and gives up on elements that are no objects: such texts are parsed a second
-    time, as variants.
+    element and the only brackets are the first and the last character.  It cannot tell a nested
+    object from a text that looks like one, ignores what follows the array and gives up on elements
+    that are no objects: such texts are parsed a second time, strictly and as variants.
     """
-    text, fast = F.col(column), F.col("_fast")
+    text, fast, sealed = F.col(column), F.col("_fast"), F.col("_sealed")
     record = "struct<" + ", ".join(f"{key}: string" for key in keys) + ">"
-    starts = F.ltrim(text, F.lit(" \t\r\n")).startswith("[")
+    core = F.trim(text, F.lit(" \t\r\n"))
     braces = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("{"), F.lit("")))
-    plain = (braces == F.size(fast)) & (F.locate("[", text, 2) == 0)
+    plain = (
+        (braces == F.size(fast))
+        & (F.locate("[", core, 2) == 0)
+        & (F.locate("]", core) == F.length(core))
+    )
 
     def checked(element: Column, found: Column) -> Column:
         members = []
@@ -36,13 +36,18 @@ def explode_records(table: DataFrame, column: str, keys: tuple[str, ...]) -> Dat
         return F.struct(*members)
 
     nothing = F.array().cast(f"array<{record}>")
-    careful = F.zip_with(json_array(text), F.coalesce(fast, nothing), checked)
+    elements = F.when(
+        is_sealed(sealed, text), F.try_variant_get(sealed, "$[0]", "array<variant>")
+    )
+    careful = F.zip_with(elements, F.coalesce(fast, nothing), checked)
     kept = [name for name in table.columns if name != column]
-    # The fast reading is a column of its own, so that it is computed once.
+    # Both readings are columns of their own, so that each is computed once, if at all.
     return (
-        table.where(starts)
+        table.where(core.startswith("["))
         .withColumn("_fast", F.from_json(text, f"array<{record}>"))
-        .select(*kept, F.explode(F.when(plain, fast).otherwise(careful)).alias("_record"))
+        .withColumn("_plain", F.coalesce(plain, F.lit(False)))
+        .withColumn("_sealed", F.when(~F.col("_plain"), sealed_json(text)))
+        .select(*kept, F.explode(F.when(F.col("_plain"), fast).otherwise(careful)).alias("_record"))
         .select(*kept, *(F.col("_record")[key].alias(key) for key in keys))
     )
 

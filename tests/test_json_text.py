@@ -71,6 +71,9 @@ ARRAYS = [
     ('[{"id":"1"}', []),
     ('\n [{"id":"2","x":{}}]', [("2", None)]),
     ('["{\\"id\\":1}"]', [(None, None)]),
+    ('[{"id":"1"}] more', []),
+    ('[{"id":"1"}][{"id":"2"}]', []),
+    (' [{"id":"]"},{"id":"["}] ', [("]", None), ("[", None)]),
     ('[{"id":"a{b","n":100399.0}]', [("a{b", "100399.0")]),
 ]
 
