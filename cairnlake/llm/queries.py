@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cairnlake.llm import sentence_piece
+from cairnlake.llm import oracle, sentence_piece, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,9 +26,13 @@ def op8_sentence_piece(spark: SparkSession, folder: str) -> DataFrame:
     return sentence_piece.token_digests(documents(spark, folder), piece_model())
 
 
+def op10_feistel_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_documents(documents(spark, folder), shards=40, seed=10)
+
+
 def queries() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
