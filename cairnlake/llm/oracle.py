@@ -3,5 +3,16 @@
 from __future__ import annotations
 
 
+OP7 = r"""
+WITH rows_ AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t
+  FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       doc_id = first_value(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+FROM rows_ WINDOW w AS (PARTITION BY t ORDER BY n DESC, doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_stream_dedup": OP7}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cairnlake.llm import oracle, sentence_piece, sharding
+from cairnlake.llm import oracle, sentence_piece, sharding, stream_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,10 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op7_stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return stream_dedup.deduplicate(documents(spark, folder))
+
+
 def op8_sentence_piece(spark: SparkSession, folder: str) -> DataFrame:
     return sentence_piece.token_digests(documents(spark, folder), piece_model())
 
