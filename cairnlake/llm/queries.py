@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cairnlake.llm import oracle, sentence_piece, sharding, stream_dedup
+from cairnlake.llm import chosen_path, oracle, sentence_piece, sharding, stream_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +23,10 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op4_chosen_path(spark: SparkSession, folder: str) -> DataFrame:
+    return chosen_path.link_documents(documents(spark, folder), threshold=Fraction(85, 100), width=5)
+
+
 def op7_stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return stream_dedup.deduplicate(documents(spark, folder))
 
