@@ -7,7 +7,7 @@ from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cairnlake.llm import chosen_path, oracle, sentence_piece, sharding, stream_dedup
+from cairnlake.llm import chosen_path, oracle, seed_extend, sentence_piece, sharding, stream_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,10 @@ def op4_chosen_path(spark: SparkSession, folder: str) -> DataFrame:
     return chosen_path.link_documents(documents(spark, folder), threshold=Fraction(85, 100), width=5)
 
 
+def op5_seed_extend(spark: SparkSession, folder: str) -> DataFrame:
+    return seed_extend.remove_repeats(documents(spark, folder), window=35, anchor=8, digest=True)
+
+
 def op7_stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return stream_dedup.deduplicate(documents(spark, folder))
 
