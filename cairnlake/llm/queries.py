@@ -7,7 +7,7 @@ from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cairnlake.llm import chosen_path, oracle, seed_extend, sentence_piece, sharding, stream_dedup
+from cairnlake.llm import chosen_path, i_match, mixing, oracle, seed_extend, sentence_piece, sharding, stream_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,10 @@ def op5_seed_extend(spark: SparkSession, folder: str) -> DataFrame:
     return seed_extend.remove_repeats(documents(spark, folder), window=35, anchor=8, digest=True)
 
 
+def op6_sainte_lague(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_documents(documents(spark, folder), weights=(1, 2, 3), max_repeats=3, shards=8, seed=6)
+
+
 def op7_stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return stream_dedup.deduplicate(documents(spark, folder))
 
@@ -39,6 +43,10 @@ def op8_sentence_piece(spark: SparkSession, folder: str) -> DataFrame:
     return sentence_piece.token_digests(documents(spark, folder), piece_model())
 
 
+def op9_i_match(spark: SparkSession, folder: str) -> DataFrame:
+    return i_match.fingerprint_documents(documents(spark, folder))
+
+
 def op10_feistel_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, folder), shards=40, seed=10)
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Ranges that the sort key is cut into.
-RANGES = 1024
+RANGES = 256
 
 
 def range_bounds(table: DataFrame, key: str, ranges: int = RANGES) -> list:
@@ -20,18 +20,15 @@ def range_bounds(table: DataFrame, key: str, ranges: int = RANGES) -> list:
 
 
 def range_of(key: str, bounds: list) -> Column:
-    """How many cut points lie below or at the key, by binary search in a literal array."""
-    if not bounds:
-        return F.lit(0)
-    cuts, size = F.lit(bounds), len(bounds)
-    steps = [1 << bit for bit in reversed(range(size.bit_length()))]
-    return F.aggregate(
-        F.lit(steps),
-        F.lit(0),
-        lambda place, step: F.when(
-            (place + step <= size) & (F.col(key) >= F.get(cuts, place + step - 1)), place + step
-        ).otherwise(place),
-    )
+    """How many cut points lie below or at the key: a binary search written as nested conditions."""
+
+    def between(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(F.col(key) < F.lit(bounds[middle]), between(low, middle)).otherwise(between(middle + 1, high))
+
+    return between(0, len(bounds))
 
 
 def with_row_number(table: DataFrame, key: str, ties: list[str], name: str) -> DataFrame:
