@@ -82,13 +82,17 @@ def with_fingerprint(table: DataFrame, text: Column, bits: Column, name: str) ->
     def topped(numbers: Column) -> Column:
         return F.struct(numbers.alias("all"), F.array_max(F.transform(numbers, _level)).alias("top"))
 
-    def hashed(pair: Column) -> Column:
-        last = F.sort_array(F.filter(pair["all"], lambda n: _level(n) == pair["top"]))
-        return F.when(F.size(last) == 0, F.lit(0)).otherwise(
-            F.xxhash64(last).bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.lit(1))
-        )
+    def last_kept(pair: Column) -> Column:
+        return F.sort_array(F.filter(pair["all"], lambda n: _level(n) == pair["top"]))
+
+    def hashed(kept: Column) -> Column:
+        return F.xxhash64(kept).bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.lit(1))
 
-    series = F.transform(F.transform(F.lit(list(range(LEXICONS))), drawn), topped)
+    parts = F.lit(list(range(LEXICONS)))
+    for step in (drawn, topped, last_kept, hashed):
+        parts = F.transform(parts, step)
+    # The second mention of _own keeps the optimiser from computing it anew for every lexicon.
+    parts = F.when(F.size("_own") > 0, parts).otherwise(F.lit([0] * LEXICONS).cast("array<bigint>"))
     return (
         table.withColumn("_terms", terms(text))
         .withColumn("_bits", bits)
@@ -96,7 +100,7 @@ def with_fingerprint(table: DataFrame, text: Column, bits: Column, name: str) ->
         .withColumn("_own", F.when(F.size("_listed") > 0, F.col("_listed")).otherwise(F.col("_terms")))
         .withColumn(
             name,
-            F.struct(F.xxhash64(F.sort_array("_terms")).alias("whole"), F.transform(series, hashed).alias("parts")),
+            F.struct(F.xxhash64(F.sort_array("_terms")).alias("whole"), parts.alias("parts")),
         )
         .drop("_terms", "_listed", "_own", "_bits")
     )
@@ -133,7 +137,6 @@ def fingerprint_documents(docs: DataFrame, band: tuple[float, float] = BAND) ->
     )
     bits = lexicon(docs, band).scalar()
     ranged = rows.withColumn("_range", range_of("_key", range_bounds(rows, "_key", RANGES)))
-    printed = with_fingerprint(ranged, F.col("text"), bits, "_print")
 
     # The first document of each range follows the last one of the range before: at most RANGES rows.
     firsts = stored(ranged.groupBy("_range").agg(F.min(F.struct("_key", "_tie")).alias("_first")), "range-firsts")
@@ -142,15 +145,21 @@ def fingerprint_documents(docs: DataFrame, band: tuple[float, float] = BAND) ->
         F.coalesce(F.lag("_range").over(order), F.max("_range").over(Window.partitionBy(F.lit(1)))).alias("_before"), "_first"
     )
     heads = stored(
-        printed.join(
-            F.broadcast(followed),
-            (F.col("_key") == F.col("_first._key")) & (F.col("_tie") == F.col("_first._tie")),
+        with_fingerprint(
+            ranged.join(
+                F.broadcast(followed),
+                (F.col("_key") == F.col("_first._key")) & (F.col("_tie") == F.col("_first._tie")),
+            ),
+            F.col("text"),
+            bits,
+            "_print",
         )
         .groupBy(F.col("_before").alias("_range"))
         .agg(F.max(F.struct("text", "_print")).alias("_head")),
         "range-heads",
     )
     inside = Window.partitionBy("_range").orderBy("_key", "_tie")
+    printed = with_fingerprint(ranged, F.col("text"), bits, "_print")
     neighbour = printed.withColumn("_next", F.lead(F.struct("text", "_print")).over(inside)).join(heads, "_range", "left")
     edited = neighbour.withColumn("_next", F.coalesce("_next", "_head")).withColumn("n_chars", F.char_length("text"))
     part = F.floor(F.col("n_chars") / 4).cast("int")
