@@ -7,7 +7,7 @@ from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cairnlake.llm import chosen_path, i_match, mixing, oracle, seed_extend, sentence_piece, sharding, stream_dedup
+from cairnlake.llm import bradley_terry, chosen_path, i_match, mixing, oracle, seed_extend, sentence_piece, sharding, stream_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def labels(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/labels.parquet")
+
+
 def piece_model() -> str:
     """The vocabulary file the registered query uses; the operator takes any path."""
     import public_tokenizers
@@ -23,6 +27,10 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_bradley_terry(spark: SparkSession, folder: str) -> DataFrame:
+    return bradley_terry.rank_documents(documents(spark, folder), labels(spark, folder), parts=3, part=1, seed=1)
+
+
 def op4_chosen_path(spark: SparkSession, folder: str) -> DataFrame:
     return chosen_path.link_documents(documents(spark, folder), threshold=Fraction(85, 100), width=5)
 
