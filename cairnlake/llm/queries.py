@@ -7,7 +7,7 @@ from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cairnlake.llm import bradley_terry, chosen_path, i_match, mixing, oracle, seed_extend, sentence_piece, sharding, stream_dedup
+from cairnlake.llm import bradley_terry, chosen_path, i_match, kneser_ney, mixing, oracle, seed_extend, sentence_piece, sharding, stream_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,10 @@ def op1_bradley_terry(spark: SparkSession, folder: str) -> DataFrame:
     return bradley_terry.rank_documents(documents(spark, folder), labels(spark, folder), parts=3, part=1, seed=1)
 
 
+def op2_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    return kneser_ney.score_documents(documents(spark, folder), labels(spark, folder), parts=5, part=0)
+
+
 def op4_chosen_path(spark: SparkSession, folder: str) -> DataFrame:
     return chosen_path.link_documents(documents(spark, folder), threshold=Fraction(85, 100), width=5)
 
