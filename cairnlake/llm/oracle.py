@@ -14,6 +14,25 @@ FROM rows_ WINDOW w AS (PARTITION BY t ORDER BY n DESC, doc_id)
 """
 
 
+#: The formatted length: 20 characters of marks for each turn, and one more for each backslash and control string.
+OP3 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sized AS (
+  SELECT *, 20 + length(role) + length(text)
+    + len(regexp_extract_all(role, '\\|</?s>|\[/?INST\]')) + len(regexp_extract_all(text, '\\|</?s>|\[/?INST\]')) AS chars
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
 #: All pairs that share a shingle, exact Jaccard, then reachability.
 OP4 = r"""
 WITH RECURSIVE words AS (
@@ -59,4 +78,4 @@ FROM words LEFT JOIN kept USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chosen_path": OP4, "op5_seed_extend": OP5, "op7_stream_dedup": OP7}
+    return {"op3_chat_format": OP3, "op4_chosen_path": OP4, "op5_seed_extend": OP5, "op7_stream_dedup": OP7}
