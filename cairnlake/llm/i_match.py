@@ -17,11 +17,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from cairnlake.llm.bitmaps import bitmap, has_slot, slot_of
 from cairnlake.llm.row_numbers import RANGES, range_bounds, range_of
 from cairnlake.llm.scratch import stored
 
-#: Hash slots of the frequency table; the lexicon is a bitmap of as many bits (128 KB).
-SLOT_BITS = 20
 #: Shares of documents between which a term's document frequency must lie: the band of inverse document frequency.
 BAND = (0.0005, 0.02)
 #: Randomised lexicons.
@@ -38,27 +37,10 @@ def terms(text: Column) -> Column:
 def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
     """One row with ``bits``, the bitmap of the slots whose share of documents lies in the band."""
     total = docs.agg(F.count(F.lit(1)).alias("total"))
-    slot = F.transform(terms(docs["text"]), lambda h: h.bitwiseAND(F.lit((1 << SLOT_BITS) - 1)).cast("int"))
+    slot = F.transform(terms(docs["text"]), slot_of)
     counts = docs.select(F.explode(F.array_distinct(slot)).alias("slot")).groupBy("slot").agg(F.count(F.lit(1)).alias("n"))
     share = F.col("n") / total.scalar()
-    words = (
-        counts.where((share >= band[0]) & (share <= band[1]))
-        .groupBy(F.shiftright("slot", 6).alias("word"))
-        .agg(F.expr("bit_or(shiftleft(1L, slot & 63))").alias("mask"))
-    )
-    every = docs.sparkSession.range(1 << (SLOT_BITS - 6)).select(F.col("id").cast("int").alias("word"))
-    full = every.join(words, "word", "left").select("word", F.coalesce("mask", F.lit(0).cast("long")).alias("mask"))
-    listed = full.agg(F.sort_array(F.collect_list(F.struct("word", "mask"))).alias("listed"))
-    return stored(listed.select(F.col("listed.mask").alias("bits")), "lexicon")
-
-
-def _in_lexicon(hashes: Column, bits: Column) -> Column:
-    def has(h: Column) -> Column:
-        slot = h.bitwiseAND(F.lit((1 << SLOT_BITS) - 1)).cast("int")
-        word = F.get(bits, F.shiftright(slot, 6))
-        return F.call_function("getbit", word, slot.bitwiseAND(F.lit(63))) == 1  # of the slot's 64
-
-    return F.filter(hashes, has)
+    return bitmap(counts.where((share >= band[0]) & (share <= band[1])).select("slot"))
 
 
 def _level(number: Column) -> Column:
@@ -96,7 +78,7 @@ def with_fingerprint(table: DataFrame, text: Column, bits: Column, name: str) ->
     return (
         table.withColumn("_terms", terms(text))
         .withColumn("_bits", bits)
-        .withColumn("_listed", _in_lexicon(F.col("_terms"), F.col("_bits")))
+        .withColumn("_listed", F.filter("_terms", lambda h: has_slot(F.col("_bits"), slot_of(h))))
         .withColumn("_own", F.when(F.size("_listed") > 0, F.col("_listed")).otherwise(F.col("_terms")))
         .withColumn(
             name,

@@ -1,19 +1,18 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Two bigram models, one of toxic and one of ordinary texts, are counted on all labelled documents they may learn
-from.  Each interpolates three orders, absolutely discounted: in how many different texts of its class a bigram
-stands, for bigrams that are common expressions, standing after many distinct words themselves, which those of a text
-with many near copies do not; the continuation counts of its class (after how many distinct words a word stands); and the continuation counts of both classes
-together.  The discounts are in proportion to the size of a class, so that what is rare rests on the shared counts
-and says nothing for either class.
+Two models, one of toxic and one of ordinary texts, are counted on all labelled documents they may learn from.  A word's
+count in a class is Kneser and Ney's: after how many distinct words it stands there.  Copies of a text and words that a
+text repeats add nothing to it.  Counts are absolutely discounted, and what the discounts take away goes to the
+continuation counts of both classes together.  The discounts are in proportion to the size of a class, so that
+what is rare rests on the shared counts and says nothing for either class.
 
 The two log-likelihoods are subtracted and divided by the number of words, for the whole text and for each run of
 PASSAGE words.  That of the text and the largest of its runs are the features of a logistic calibration, fitted on labelled
 documents that the counts leave out.
 
-Bigrams are counted exactly, by 64-bit hash, over the whole corpus.  For scoring, counts are kept in a fixed number
-of hash slots, each for the most frequent word or bigram that falls into it, so that the tables sent to the workers have a
-bounded size at any scale.  What has no slot is rare and rests on the shared counts.
+Pairs of words are counted over the whole corpus.  For scoring, counts are kept in a fixed number of hash slots, each
+for the most frequent word that falls into it, so that the tables sent to the workers have a bounded size at any
+scale.  What has no slot is rare and rests on the shared counts.
 """
 
 from __future__ import annotations
@@ -25,19 +24,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cairnlake.llm.bitmaps import bitmap, has_slot, slot_of
 from cairnlake.llm.bradley_terry import held_out, labelled_sample
 from cairnlake.llm.scratch import stored
-from cairnlake.llm.text_arrays import Texts, hash_spans, lower_ascii, mix, read_texts
+from cairnlake.llm.text_arrays import Texts, hash_spans, lower_ascii, read_texts
 from cairnlake.llm.workers import map_batches
 
-#: Slots of the word and the bigram tables: 2 MB for each column of single floats.
-WORD_BITS = PAIR_BITS = 19
+#: Bits of a word's hash, and of the hash of the word before it, that tell words apart.
+WORD_BITS, BEFORE_BITS = 40, 24
+#: Slots of the word tables: 2 MB for each column of single floats.
+SLOT_BITS = 19
 #: Taken off every count of the smaller class; off those of the other, as many more as it has more contexts.
-DISCOUNT = 6.0
-#: Bigrams lose so many times more: passages that some texts share make many chance ones.
-PAIR_DISCOUNT = 5.0
-#: Of 64 classes of words before a bigram, so many must occur for it to be a common expression.
-COMMON = 32
+DISCOUNT = 4.0
 #: Words in a passage: one, as toxic words stand among ordinary ones.
 PASSAGE = 1
 #: Of the documents to learn from, one in so many is kept for the calibration ...
@@ -45,7 +43,7 @@ CALIBRATION_PARTS = 8
 #: ... which takes at most so many of each label.
 CALIBRATION_PER_CLASS = 5_000
 RIDGE = 1e-2
-_START = np.uint64(0x51ED270B9A3C4F1D)
+_START = np.uint64(0x1ED270)
 
 #: Words are runs of ASCII letters and digits and of all other characters beyond ASCII.
 _OUTSIDE = np.ones(256, dtype=bool)
@@ -56,57 +54,37 @@ for _low, _high in (("0", "9"), ("A", "Z"), ("a", "z")):
 
 @dataclass(frozen=True)
 class Tokens:
+    """The words of some texts: their text, the bounds of each text's, and 40-bit hashes."""
+
     text: np.ndarray
     bounds: np.ndarray
     word: np.ndarray
     before: np.ndarray
-    second: np.ndarray
-
-    @property
-    def pair(self) -> np.ndarray:
-        return mix(mix(self.before, 17) ^ self.word, 19)
 
 
 def tokens(texts: Texts) -> Tokens:
-    """Hashes of every word, in lower case, and of the word before it."""
     starts, ends, bounds = texts.words(_OUTSIDE)
-    word = hash_spans(lower_ascii(texts.data), starts, ends)
-    before = np.empty_like(word)
-    before[1:] = word[:-1]
-    first = bounds[:-1][bounds[:-1] < bounds[1:]]
-    before[first] = _START
-    second = np.empty_like(word)
-    second[1:] = before[:-1]
-    second[first] = _START
-    return Tokens(np.repeat(np.arange(len(texts)), np.diff(bounds)), bounds, word, before, second)
-
-
-def _slot(hashes: np.ndarray, bits: int) -> np.ndarray:
-    return (hashes >> np.uint64(64 - bits)).astype(np.int32)
+    hashed = hash_spans(lower_ascii(texts.data), starts, ends)
+    word, before = hashed >> np.uint64(64 - WORD_BITS), np.empty_like(hashed)
+    before[1:] = hashed[:-1] >> np.uint64(64 - BEFORE_BITS)
+    before[bounds[:-1][bounds[:-1] < bounds[1:]]] = _START
+    return Tokens(np.repeat(np.arange(len(texts)), np.diff(bounds)), bounds, word, before)
 
 
 @dataclass(frozen=True)
 class Models:
-    """Tables by slot, and the calibration.  Class 0 is ordinary, class 1 toxic."""
-
-    word_of: np.ndarray  # [word slot]: hash of the word it is for
-    lower: np.ndarray  # [class, word slot or, at the end, any other word]: interpolated continuation counts
-    backoff: np.ndarray  # [class, slot of the word before]: what its bigrams leave to these
-    scale: np.ndarray  # [class, slot of the word before]: one over its count
-    pair_of: np.ndarray  # [bigram slot]: hash of the bigram it is for
-    pairs: np.ndarray  # [class, bigram slot or, at the end, any other bigram]: discounted count
+    """Tables by slot of a word, and the calibration.  Class 0 is ordinary, class 1 toxic."""
+
+    word_of: np.ndarray  # [slot]: the word it is for
+    likely: np.ndarray  # [class, slot or, at the end, any other word]: probability
     weights: np.ndarray
 
     def difference(self, found: Tokens) -> np.ndarray:
         """Log-likelihood of each word under the toxic model, less that under the ordinary one."""
-        word, pair = _slot(found.word, WORD_BITS), _slot(found.pair, PAIR_BITS)
-        before = _slot(found.before, WORD_BITS)
-        word = np.where(self.word_of[word] == found.word, word, len(self.word_of))
-        pair = np.where(self.pair_of[pair] == found.pair, pair, len(self.pair_of))
-        likely = [
-            self.pairs[c][pair] * self.scale[c][before] + self.backoff[c][before] * self.lower[c][word] for c in (0, 1)
-        ]
-        return np.log(likely[1]) - np.log(likely[0])
+        slot = (found.word >> np.uint64(WORD_BITS - SLOT_BITS)).astype(np.int64)
+        slot = np.where(self.word_of[slot] == found.word, slot, len(self.word_of))
+        ratio = np.log(self.likely[1].astype(np.float64)) - np.log(self.likely[0].astype(np.float64))
+        return ratio[slot]
 
     def features(self, texts: Texts) -> np.ndarray:
         """Per text: the largest difference per word of a passage, and that of the whole text; 0 without words."""
@@ -133,110 +111,57 @@ class Models:
         return 1 / (1 + np.exp(-np.clip(values @ self.weights[:-1] + self.weights[-1], -500, 500)))
 
 
-def count_pairs(sample: DataFrame) -> DataFrame:
-    """``pair, word, before, n0, n1, contexts`` over ``_label, text``: in how many texts of each class every bigram stands.
-
-    ``contexts`` has a bit for each class of words that it stands after.
-    """
+def count_words(sample: DataFrame) -> DataFrame:
+    """``word, c0, c1, both`` over ``_label, text``: after how many distinct words every word stands in each class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             label = batch.column("_label").to_numpy()
             for first, texts in read_texts(batch.column("text")):
                 found = tokens(texts)
-                of = label[first + found.text]
-                if not len(found.word):
-                    continue
-                # Once for each text, however often the text repeats itself.
-                order = np.lexsort((found.text, found.pair))
-                pairs, owner = found.pair[order], found.text[order]
-                head = np.r_[True, pairs[1:] != pairs[:-1]]
-                at = np.flatnonzero(head)
-                new = head | np.r_[True, owner[1:] != owner[:-1]]
-                toxic = of[order] == 1
-                contexts = np.uint64(1) << (mix(found.second[order], 23) >> np.uint64(58))
-                one = order[at]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(found.pair[one].view(np.int64)),
-                        pa.array(found.word[one].view(np.int64)),
-                        pa.array(_slot(found.before[one], WORD_BITS)),
-                        pa.array(np.add.reduceat((new & ~toxic).astype(np.int64), at)),
-                        pa.array(np.add.reduceat((new & toxic).astype(np.int64), at)),
-                        pa.array(np.bitwise_or.reduceat(contexts, at).view(np.int64)),
-                    ],
-                    names=["pair", "word", "before", "n0", "n1", "contexts"],
-                )
-
-    rows = map_batches(sample, run, "pair long, word long, before int, n0 long, n1 long, contexts long")
-    return rows.groupBy("pair", "word", "before").agg(
-        F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.bit_or("contexts").alias("contexts")
+                pair = (found.word << np.uint64(BEFORE_BITS)) | found.before
+                toxic = label[first + found.text] == 1
+                ordinary, insulting = np.unique(pair[~toxic]), np.unique(pair[toxic])
+                pairs = np.concatenate([ordinary, insulting])
+                where = np.repeat(np.array([1, 2], dtype=np.int8), [len(ordinary), len(insulting)])
+                yield pa.RecordBatch.from_arrays([pa.array(pairs.view(np.int64)), pa.array(where)], names=["pair", "seen"])
+
+    # One long and one byte for each distinct pair of a task; classes are combined by their bits.
+    pairs = map_batches(sample, run, "pair long, seen byte").groupBy("pair").agg(F.bit_or("seen").alias("seen"))
+    return pairs.groupBy(F.shiftrightunsigned("pair", BEFORE_BITS).alias("word")).agg(
+        F.sum(F.col("seen").bitwiseAND(F.lit(1)).cast("long")).alias("c0"),
+        F.sum(F.shiftright(F.col("seen").cast("int"), 1).cast("long")).alias("c1"),
+        F.count(F.lit(1)).alias("both"),
     )
 
 
-def _dense(table: DataFrame, slot: str, bits: int, columns: list[str]) -> list[np.ndarray]:
-    """Columns of at most ``2 ** bits`` rows as arrays by slot, 0 where a slot has no row."""
-    rows = table.select(slot, *columns).toArrow()
-    out = []
-    for name in columns:
-        found = rows[name].to_numpy()
-        values = np.zeros(1 << bits, dtype=found.dtype)
-        values[rows[slot].to_numpy()] = found
-        out.append(values)
-    return out
-
-
-def _for_most_frequent(table: DataFrame, key: str, bits: int, columns: list[str], weight: Column) -> DataFrame:
-    """One row for each slot of ``key``: the one with the largest weight, of equal ones the largest key."""
-    slot = F.shiftrightunsigned(key, 64 - bits).cast("int").alias("slot")
-    row = F.struct(weight.alias("_weight"), key, *columns)
-    return table.groupBy(slot).agg(F.max(row).alias("row")).select("slot", "row.*")
-
-
-def fit_tables(pairs: DataFrame) -> Models:
-    """The models' tables from the exact bigram counts; the driver gets one row for each slot at most."""
-    every = stored(
-        pairs.groupBy("word").agg(
-            F.sum((F.col("n0") > 0).cast("long")).alias("c0"),
-            F.sum((F.col("n1") > 0).cast("long")).alias("c1"),
-            F.count(F.lit(1)).alias("both"),
-        ),
-        "words",
-    )
-    sums = every.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("c0", "c1", "both")), F.count(F.lit(1)).alias("n")).first()
+def fit_tables(counts: DataFrame) -> Models:
+    """The models' tables from the words' counts; the driver gets the totals and one row for each slot at most."""
+    sums = counts.agg(
+        *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("c0", "c1", "both")), F.count(F.lit(1)).alias("n")
+    ).first()
     totals = [max(float(sums["c0"]), 1.0), max(float(sums["c1"]), 1.0)]
     discounts = [DISCOUNT * total / min(totals) for total in totals]
-    words = _for_most_frequent(every, "word", WORD_BITS, ["c0", "c1", "both"], F.col("both"))
-    word_of, c0, c1, both = _dense(words, "slot", WORD_BITS, ["word", "c0", "c1", "both"])
-    # The share of a class that discounts leave to the shared counts, from all words.
-    certain = every.agg(
+    # The share of a class that the discounts leave to the shared counts, from all words.
+    certain = counts.agg(
         *(F.coalesce(F.sum(F.greatest(F.col(f"c{c}") - discounts[c], F.lit(0.0))), F.lit(0.0)) for c in (0, 1))
     ).first()
-    common = F.bit_count("contexts") >= COMMON
-    kept = [
-        F.when(common, F.greatest(F.col(f"n{c}") - PAIR_DISCOUNT * discounts[c], F.lit(0.0))).otherwise(0.0)
-        for c in (0, 1)
-    ]
-    counted = pairs.withColumn("k0", kept[0]).withColumn("k1", kept[1])
-    slots = _for_most_frequent(
-        counted.where("k0 > 0 or k1 > 0"), "pair", PAIR_BITS, ["k0", "k1"], F.col("k0") + F.col("k1")
-    )
-    pair_of, p0, p1 = _dense(slots, "slot", PAIR_BITS, ["pair", "k0", "k1"])
-    befores = counted.groupBy("before").agg(*(F.sum(c).alias(c) for c in ("n0", "n1", "k0", "k1")))
-    n0, n1, k0, k1 = _dense(befores, "before", WORD_BITS, ["n0", "n1", "k0", "k1"])
+    slot = F.shiftrightunsigned("word", WORD_BITS - SLOT_BITS).cast("int").alias("slot")
+    top = counts.groupBy(slot).agg(F.max(F.struct("both", "word", "c0", "c1")).alias("row"))
+    rows = top.select("slot", "row.*").toArrow()
+    at = rows["slot"].to_numpy()
+    word_of = np.full(1 << SLOT_BITS, np.uint64(2**64 - 1))
+    word_of[at] = rows["word"].to_numpy().view(np.uint64)
     mass = float(sums["both"]) + 0.5 * (float(sums["n"]) + 1)
-    shared = (np.append(both, 1) + 0.5) / mass  # a word without a slot is taken to stand after one word
-    lower, backoff, scale = [], [], []
-    for counts, total, discount, sure, count, taken in (
-        (c0, totals[0], discounts[0], certain[0], n0, k0),
-        (c1, totals[1], discounts[1], certain[1], n1, k1),
-    ):
-        lower.append((np.maximum(np.append(counts, 0) - discount, 0) + (total - sure) * shared) / total)
-        scale.append(np.where(count > 0, 1 / np.maximum(count, 1), 0))
-        backoff.append(np.maximum(1 - taken * scale[-1], 1e-3))
-    tables = [np.stack(x).astype(np.float32) for x in (lower, backoff, scale)]
-    discounted = np.stack([np.append(p0, 0), np.append(p1, 0)]).astype(np.float32)
-    return Models(word_of.view(np.uint64), *tables, pair_of.view(np.uint64), discounted, np.zeros(3))
+    # A word without a slot is taken to stand after one word.
+    shared = np.full((1 << SLOT_BITS) + 1, 1.5 / mass)
+    shared[at] = (rows["both"].to_numpy() + 0.5) / mass
+    likely = []
+    for c in (0, 1):
+        own = np.zeros(len(shared))
+        own[at] = np.maximum(rows[f"c{c}"].to_numpy() - discounts[c], 0)
+        likely.append((own + (totals[c] - certain[c]) * shared) / totals[c])
+    return Models(word_of, np.stack(likely).astype(np.float32), np.zeros(3))
 
 
 def calibrate(values: np.ndarray, toxic: np.ndarray) -> np.ndarray:
@@ -261,7 +186,8 @@ def calibrate(values: np.ndarray, toxic: np.ndarray) -> np.ndarray:
 def _different_texts(docs: DataFrame, labels: DataFrame, allowed: Column) -> DataFrame:
     """``_label, text`` of the labelled documents whose doc_id is allowed; of equal texts with equal labels one.
 
-    Which one it is, is found on hashes, before any text is moved.
+    Which one it is, is found on hashes, before any text is moved; and a bitmap of the documents' hashes keeps most other
+    texts from being shuffled.
     """
     known = (
         labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels["toxic"].cast("int").alias("_label"))
@@ -277,13 +203,16 @@ def _different_texts(docs: DataFrame, labels: DataFrame, allowed: Column) -> Dat
         .agg(F.min("doc_id").alias("doc_id"))
         .select("doc_id", "_label")
     )
-    return texts.join(stored(one, "learned-from").hint("shuffle_hash"), "doc_id").select("_label", "text")
+    one = stored(one, "learned-from")
+    bits = bitmap(one.select(slot_of(F.xxhash64("doc_id")).alias("slot")).distinct())
+    likely = texts.where(has_slot(bits.scalar(), slot_of(F.xxhash64("doc_id"))))
+    return likely.join(one.hint("shuffle_hash"), "doc_id").select("_label", "text")
 
 
 def learn(docs: DataFrame, labels: DataFrame, allowed: Column) -> Models:
     """Count on all allowed labelled documents but those kept for the calibration; calibrate on these."""
     kept = F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATION_PARTS)) == 0
-    models = fit_tables(stored(count_pairs(_different_texts(docs, labels, allowed & ~kept)), "bigrams"))
+    models = fit_tables(stored(count_words(_different_texts(docs, labels, allowed & ~kept)), "words"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
