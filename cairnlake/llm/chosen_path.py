@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cairnlake.llm.components import connected_components
 from cairnlake.llm.scratch import stored
+from cairnlake.llm.stream_dedup import row_key
 from cairnlake.llm.text_arrays import Texts, hash_runs, hash_spans, lower_ascii, mix, read_texts
 from cairnlake.llm.workers import map_batches, whole_groups
 
@@ -350,3 +351,10 @@ def link_documents(docs: DataFrame, threshold: Fraction = THRESHOLD, width: int
         F.when(F.col("doc_id").isNotNull(), F.coalesce("_component", "doc_id")).alias("component_id"),
         F.coalesce(F.col("doc_id") == F.coalesce("_component", "doc_id"), F.lit(True)).alias("kept"),
     )
+
+
+def keep_one_of_each(docs: DataFrame, threshold: Fraction = THRESHOLD, width: int = SHINGLE_WORDS) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is the smallest of its near-duplicates, with all their columns."""
+    kept = link_documents(docs, threshold, width).where("kept").select(row_key(F.col("doc_id")).alias("_id")).distinct()
+    named = docs.withColumn("_id", row_key(docs["doc_id"]))
+    return named.join(kept.hint("shuffle_hash"), "_id", "left_semi").select(*docs.columns)

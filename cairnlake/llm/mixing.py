@@ -18,11 +18,17 @@ from __future__ import annotations
 import hashlib
 import heapq
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cairnlake.llm.scratch import stored
+from cairnlake.llm.text_arrays import read_texts
+from cairnlake.llm.workers import map_batches
 
 WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
@@ -98,14 +104,19 @@ def apportion(targets: list[float], limits: list[int], seats: int) -> list[int]:
 
 
 def plan_mix(
-    totals: list[tuple[str | None, int]], weights: tuple[int, ...], max_repeats: int, shards: int, seed: int
+    totals: list[tuple[str | None, int]],
+    weights: tuple[int, ...],
+    max_repeats: int,
+    shards: int,
+    seed: int,
+    least_blocks: int = LEAST_BLOCKS,
 ) -> tuple[int, list[Quota]]:
     """The block size and the quotas of sources given with their tokens."""
     named = sorted(((s, n) for s, n in totals if s is not None), key=lambda x: x[0].encode())
     ordered = named + [(s, n) for s, n in totals if s is None]
     tokens = [n for _, n in ordered]
     targets = share_targets(tokens, [weights[i % len(weights)] for i in range(len(tokens))], max_repeats)
-    block = max(1, min(BLOCK_TOKENS, sum(tokens) // LEAST_BLOCKS))
+    block = max(1, min(BLOCK_TOKENS, sum(tokens) // least_blocks))
     blocks = [-(-n // block) for n in tokens]
     seats = round(sum(targets) / block)
     limits = [max_repeats * n for n in blocks]
@@ -161,13 +172,20 @@ def _times(block: Column, quota: Column) -> Column:
     return quota["passes"] + F.when(turn < quota["extra"], 1).otherwise(0)
 
 
-def mixed(rows: DataFrame, weights: tuple[int, ...], max_repeats: int, shards: int, seed: int) -> tuple[int, DataFrame]:
+def mixed(
+    rows: DataFrame,
+    weights: tuple[int, ...],
+    max_repeats: int,
+    shards: int,
+    seed: int,
+    least_blocks: int = LEAST_BLOCKS,
+) -> tuple[int, DataFrame]:
     """The block size, and ``rows`` with ``_at`` and ``_quota`` (what the mix takes of their source)."""
     spark = rows.sparkSession
     totals = rows.groupBy("_source").agg(F.sum("_size").alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(totals) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
-    block, quotas = plan_mix([(r["_source"], r["n"]) for r in totals], weights, max_repeats, shards, seed)
+    block, quotas = plan_mix([(r["_source"], r["n"]) for r in totals], weights, max_repeats, shards, seed, least_blocks)
     table = spark.createDataFrame(
         [
             (q.source, q.tokens, q.target, max(q.blocks, 1), q.taken_blocks // max(q.blocks, 1),
@@ -221,3 +239,68 @@ def mix_documents(
         F.col("_quota.target").alias("target"),
         F.when(F.col("_size") > 0, taken).otherwise(F.lit(0)).cast("long").alias("taken"),
     )
+
+
+def taken_texts(
+    docs: DataFrame,
+    weights: tuple[int, ...] = WEIGHTS,
+    max_repeats: int = MAX_REPEATS,
+    shards: int = 8,
+    seed: int = 0,
+    least_blocks: int = 10_000,
+) -> DataFrame:
+    """What the mix takes of ``docs``, in its columns: a row for each time a document is taken.
+
+    A document that a block border cuts keeps the words that are taken, from the first to the last of each run of
+    blocks, runs joined by a line break; ``n_chars``, if there, counts the new text.  Documents without words are not taken.
+    """
+    names = [f"_keep{i}" for i in range(len(docs.columns))]
+    place, chars = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+    rows = docs.select(
+        *(docs[c].alias(n) for c, n in zip(docs.columns, names)),
+        order_key(docs).alias("_key"),
+        docs["source"].alias("_source"),
+        count_words(docs["text"]).alias("_size"),
+    )
+    block, found = mixed(rows, weights, max_repeats, shards, seed, least_blocks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, quota = batch.column("_at").to_numpy(), batch.column("_quota").to_pylist()
+            for first, texts in read_texts(batch.column(names[place])):
+                starts, ends, bounds = texts.words()
+                take, new = [], []
+                for i in range(len(texts)):
+                    size, q = int(bounds[i + 1] - bounds[i]), quota[first + i]
+                    if not size:
+                        continue
+                    whole = texts.text_bytes(i).tobytes().decode()
+                    begin = int(at[first + i])
+                    blocks = np.arange(begin // block, (begin + size - 1) // block + 1)
+                    turn = (blocks * q["factor"] + q["shift"]) % q["blocks"] < q["extra"]
+                    copies = [whole] * q["passes"]
+                    if turn.all():
+                        copies.append(whole)
+                    elif turn.any():
+                        edge = np.flatnonzero(np.diff(np.r_[False, turn, False]))
+                        runs = []
+                        for low, high in zip(edge[0::2], edge[1::2]):
+                            a = max(int(blocks[low]) * block - begin, 0) + bounds[i]
+                            b = min(int(blocks[high - 1] + 1) * block - begin, size) + bounds[i] - 1
+                            runs.append(texts.data[starts[a] : ends[b]].tobytes().decode())
+                        copies.append("\n".join(runs))
+                    take += [first + i] * len(copies)
+                    new += copies
+                rows_ = batch.select(names).take(pa.array(take, pa.int64()))
+                columns = rows_.columns
+                columns[place] = pa.array(new, pa.string())
+                if chars is not None:
+                    cut = pc.not_equal(columns[place], rows_.column(place))
+                    columns[chars] = pc.if_else(
+                        cut, pc.utf8_length(columns[place]).cast(columns[chars].type), columns[chars]
+                    )
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    table = found.select(*names, "_at", "_quota")
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table.schema.fields[: len(names)])
+    return map_batches(table, run, fields).toDF(*docs.columns)

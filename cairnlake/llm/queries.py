@@ -72,8 +72,15 @@ def op10_feistel_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, folder), shards=40, seed=10)
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline  # stands at the top of the repository and uses this module
+
+    return corpus_pipeline.run(spark, folder)
+
+
 def queries() -> dict[str, Query]:
-    return {name: query for name, query in globals().items() if name.startswith("op")}
+    found = {name: query for name, query in globals().items() if name.startswith("op") and callable(query)}
+    return found | {"pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cairnlake.llm.scratch import stored
 from cairnlake.llm.text_arrays import read_texts
@@ -196,11 +196,14 @@ def _checked(docs: DataFrame, members: DataFrame, digest_digits: int) -> DataFra
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; of rows equal in doc_id and text one stays."""
-    keep = deduplicate(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    named = docs.withColumn("_sha", F.sha2(normalised(docs["text"]), 256))
-    rows = named.join(
-        keep.distinct(),
-        F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (named["_sha"] == keep["_sha"]),
-        "left_semi",
-    )
-    return rows.dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    stay_ = deduplicate(docs).where("kept").select(row_key(F.col("doc_id")).alias("_id"), F.col("text_sha256").alias("_sha"))
+    named = docs.withColumn("_id", row_key(docs["doc_id"])).withColumn("_sha", F.sha2(normalised(docs["text"]), 256))
+    rows = named.join(stay_.distinct().hint("shuffle_hash"), ["_id", "_sha"], "left_semi")
+    # The join has brought equal rows together.
+    number = F.row_number().over(Window.partitionBy("_id", "_sha").orderBy(F.char_length(F.col("text")).desc()))
+    return rows.withColumn("_number", number).where("_number = 1").select(*docs.columns)
+
+
+def row_key(doc_id: Column) -> Column:
+    """The doc_id as a join key; rows without one share a key that no document has."""
+    return F.coalesce(doc_id.cast("long"), F.lit(-(1 << 63)))
