@@ -1,0 +1,66 @@
+"""Quality ranking and toxicity models: held-out accuracy, and every kind of row."""
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from cairnlake.llm import bradley_terry, kneser_ney, queries
+from cairnlake.llm.text_arrays import read_texts
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+@pytest.mark.parametrize(
+    "query, label, least", [(queries.op1_bradley_terry, "quality", 0.97), (queries.op2_kneser_ney, "toxic", 0.9)]
+)
+def test_held_out_accuracy(spark, query, label, least):
+    scored = query(spark, FOLDER).toPandas()
+    assert len(scored) == 1000 and scored.score.between(0, 1).all()
+    assert (scored.predicted == (scored.score >= 0.5)).all()
+    known = scored.merge(queries.labels(spark, FOLDER).toPandas(), on="doc_id")
+    test = known[known.held_out]
+    assert 0.15 < len(test) / len(known) < 0.4
+    assert (test.predicted == test[label]).mean() >= least
+
+
+def test_every_row_gets_a_quality_score(spark, edge_documents, no_documents):
+    labels = spark.createDataFrame([(7, 1), (10, 0), (12, 1), (None, 1), (3, None), (99, 0)], "doc_id long, quality int")
+    scored = bradley_terry.rank_documents(edge_documents, labels).toPandas()
+    assert len(scored) == edge_documents.count() and scored.score.between(0, 1).all()
+    assert bradley_terry.rank_documents(no_documents, labels).count() == 0
+    assert bradley_terry.rank_documents(edge_documents, labels.limit(0)).toPandas().score.between(0, 1).all()
+
+
+def test_every_row_gets_a_toxicity_score(spark, edge_documents, no_documents):
+    labels = spark.createDataFrame([(7, 1), (10, 0), (12, 0), (None, 1), (3, None), (99, 0)], "doc_id long, toxic int")
+    scored = kneser_ney.score_documents(edge_documents, labels).toPandas()
+    assert len(scored) == edge_documents.count() and scored.score.between(0, 1).all()
+    assert kneser_ney.score_documents(no_documents, labels).count() == 0
+    assert kneser_ney.score_documents(edge_documents, labels.limit(0)).toPandas().score.between(0, 1).all()
+
+
+def test_keeping_good_rows_keeps_their_columns(spark, edge_documents):
+    values = np.concatenate([bradley_terry.features(t) for _, t in read_texts(pa.array(["a b c", "x! y! z!", ""]))])
+    ranking = bradley_terry.fit(np.repeat(values, 5, axis=0), np.repeat([True, False, True], 5), seed=0)
+    kept = bradley_terry.keep_good(edge_documents, ranking)
+    assert kept.columns == edge_documents.columns
+    assert 0 < kept.count() <= edge_documents.count()
+
+
+def test_pairs_rank_the_better_document_higher():
+    random = np.random.Generator(np.random.PCG64(5))
+    good = random.random(400) < 0.8
+    values = random.normal(size=(400, 6)) + np.where(good, 1.5, -1.5)[:, None] * np.array([1, 0, 0, 1, 0, 0])
+    ranking = bradley_terry.fit(values, good, seed=3)
+    strength = ranking.strength(values)
+    assert (strength[good][:, None] > strength[~good][None, :]).mean() > 0.98
+    assert ((ranking.score(values) >= 0.5) == good).mean() > 0.95
+
+
+def test_counts_are_of_distinct_words_before(spark):
+    texts = [(1, "bad you bad you bad"), (1, "bad you"), (0, "so bad, so bad"), (0, "good day")]
+    counts = kneser_ney.count_words(spark.createDataFrame(texts, "_label int, text string")).toPandas()
+    found = kneser_ney.tokens(next(read_texts(pa.array(["bad"])))[1]).word[0]
+    row = counts[counts.word == int(found)].iloc[0]
+    # bad: after the start and after "you" in toxic texts, after "so" in ordinary ones.
+    assert (row.c1, row.c0, row.both) == (2, 1, 3)
