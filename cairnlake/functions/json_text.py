@@ -4,6 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+#: JSON as the standard has it; Spark's reader takes more unless told not to.
+STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+#: Numbers that a variant would round: over 38 digits, exponents of three digits, long mantissas with an exponent.
+_INEXACT = r"[0-9.]{39}|[eE][+-]?[0-9]{3}|[0-9.]{16,}[eE]"
+
 
 def explode_records(table: DataFrame, column: str, keys: tuple[str, ...]) -> DataFrame:
     """One row per element of a JSON array text, with the named members in place of the text.
@@ -44,7 +50,7 @@ def explode_records(table: DataFrame, column: str, keys: tuple[str, ...]) -> Dat
     # Both readings are columns of their own, so that each is computed once, if at all.
     return (
         table.where(core.startswith("["))
-        .withColumn("_fast", F.from_json(text, f"array<{record}>"))
+        .withColumn("_fast", F.from_json(text, f"array<{record}>", STRICT))
         .withColumn("_plain", F.coalesce(plain, F.lit(False)))
         .withColumn("_sealed", F.when(~F.col("_plain"), sealed_json(text)))
         .select(*kept, F.explode(F.when(F.col("_plain"), fast).otherwise(careful)).alias("_record"))
@@ -102,8 +108,9 @@ def is_single_json(text: Column) -> Column:
 def normal_json(sealed: Column, text: Column) -> Column:
     """The sealed value in compact form.
 
-    Numbers that a variant would round (over 38 digits, or exponents of three digits) keep the
-    text they came with.
+    A value with a number that would lose digits keeps the text it came with; only numbers count, whatever stands in
+    strings.
     """
     compact = F.to_json(F.variant_get(sealed, "$[0]", "variant"))
-    return F.when(text.rlike(r"[0-9]{39}|[eE]\+?[0-9]{3}"), text).otherwise(compact)
+    numbers = F.regexp_replace(text, _STRING, "s")
+    return F.when(numbers.rlike(_INEXACT), text).otherwise(compact)

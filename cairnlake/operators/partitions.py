@@ -6,6 +6,8 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from cairnlake.storage import Storage
+
 
 def newest_partition(table: DataFrame, column: str = "dt", until: Column | None = None) -> DataFrame:
     """The rows of the largest partition value, optionally the largest up to ``until``.
@@ -20,10 +22,7 @@ def newest_partition(table: DataFrame, column: str = "dt", until: Column | None
 
 def newest_directories(spark: SparkSession, path: str, column: str) -> Iterator[str]:
     """The ``column=value`` folders of a path, newest value first, from one directory listing."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    folder = hadoop.Path(path)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [entry.getPath().getName() for entry in files.listStatus(folder) if entry.isDirectory()]
+    names = Storage(spark, path).names(path, folders=True)
     dated = sorted((name for name in names if name.startswith(f"{column}=")), reverse=True)
     for name in dated:
         if not name.endswith("__HIVE_DEFAULT_PARTITION__"):

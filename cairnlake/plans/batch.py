@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from cairnlake import schemas
 from cairnlake.operators import quality
 from cairnlake.plans import behaviour, customers, products, sales
 from cairnlake.sinks.versioned import VersionedTable, with_date
+from cairnlake.sources import tables
 
 
 @dataclass(frozen=True)
@@ -25,17 +27,33 @@ class Bronze:
         """The inputs by their table or view names."""
         return cls(*(spark.table(field.name) for field in fields(cls)))
 
+    @classmethod
+    def files(cls, spark: SparkSession, sales: str, catalog: str, clickstream: str) -> Bronze:
+        """The inputs as text files; of the catalog only its newest day is listed and read."""
+        return cls(
+            tables.scan_sales(spark, sales),
+            tables.scan_newest_catalog(spark, catalog),
+            tables.scan_clickstream(spark, clickstream),
+        )
+
 
 class BatchJob:
     """Materialises the models as versioned tables below ``root``.
 
-    A model reads the stored result of the models before it, so nothing is computed twice, and is
-    checked once it is stored; a violated assertion stops the job before later models run.
+    A model reads the stored result of the models before it, so nothing is computed twice.  Its result is checked
+    before it is published: a violated assertion leaves the version before it in place and stops the job.
+    ``keep`` versions of each table stay.
     """
 
     def __init__(
-        self, spark: SparkSession, bronze: Bronze, root: str, money_scale: int | None = None
+        self,
+        spark: SparkSession,
+        bronze: Bronze,
+        root: str,
+        money_scale: int | None = None,
+        keep: int = 2,
     ):
+        self.keep = keep
         self.spark = spark
         self.bronze = bronze
         self.root = root.rstrip("/")
@@ -44,23 +62,49 @@ class BatchJob:
     def table(self, name: str) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.root}/{name}")
 
+    def _publish(
+        self,
+        name: str,
+        table: DataFrame,
+        assertions: Callable[[DataFrame], list[DataFrame]] = lambda staged: [],
+        partition_by: str | None = None,
+        sort_by: tuple[str, ...] = (),
+    ) -> None:
+        def check(staged: DataFrame) -> None:
+            for violations in assertions(staged):
+                quality.enforce(violations)
+
+        target = self.table(name)
+        target.replace(table, partition_by, sort_by, check)
+        target.drop_older(self.keep)
+
     def build_products(self) -> None:
-        stored = self.table("d_products").replace(products.d_products(self.bronze.product_catalog))
-        quality.enforce(quality.unique_key(stored, ["product_id"], "d_products_unique"))
-        quality.enforce(quality.non_null(stored, ["product_id"], "d_products_non_null"))
+        self._publish(
+            "d_products",
+            products.d_products(self.bronze.product_catalog),
+            lambda staged: [
+                quality.unique_key(staged, ["product_id"], "d_products_unique"),
+                quality.non_null(staged, ["product_id"], "d_products_non_null"),
+            ],
+        )
 
     def build_sales(self) -> None:
         fact = sales.f_sales(self.bronze.sales_transactions, self.table("d_products").read())
-        stored = self.table("f_sales").replace(fact)
-        quality.enforce(quality.non_null(stored, sales.REQUIRED, "f_sales_non_null"))
+        self._publish(
+            "f_sales", fact, lambda staged: [quality.non_null(staged, sales.REQUIRED, "f_sales_non_null")]
+        )
 
     def build_customers(self) -> None:
-        target = self.table("d_customers")
-        current = target.read(schemas.CUSTOMERS)
+        current = self.table("d_customers").read(schemas.CUSTOMERS)
         snapshot = customers.customer_snapshots(self.bronze.sales_transactions)
         merged = with_date(customers.merge(snapshot, current), "valid_from", "valid_from_date")
-        stored = target.replace(merged, "valid_from_date", ("billing_country",))
-        quality.enforce(quality.unique_key(stored, customers.KEY, "d_customers_unique"))
+        self._publish(
+            "d_customers",
+            merged,
+            lambda staged: [quality.unique_key(staged, customers.KEY, "d_customers_unique")],
+            "valid_from_date",
+            ("billing_country",),
+        )
 
     def build_behaviour(self) -> None:
         summary = behaviour.user_behavior_summary(
@@ -69,7 +113,7 @@ class BatchJob:
             self.bronze.clickstream_events,
             self.money_scale,
         )
-        self.table("user_behavior_summary").replace(summary)
+        self._publish("user_behavior_summary", summary)
 
     def run(self, tags: set[str] | frozenset[str] = frozenset({"silver", "gold"})) -> list[str]:
         """Run the models that carry one of the tags and return their names."""

@@ -4,6 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from cairnlake.functions.json_text import STRICT, is_single_json
+from cairnlake.sources.tables import CSV_QUOTING
+
+_BROKEN = "_broken"
+_BLANKS = " \t\r\n"
+
 
 def is_wrapped(payload: Column) -> Column:
     """True for a payload that only wraps a text or bytes that were not JSON."""
@@ -11,17 +17,52 @@ def is_wrapped(payload: Column) -> Column:
     return keys.isin(F.array(F.lit("raw")), F.array(F.lit("raw_b64")))
 
 
+def _is_json_line(line: Column) -> Column:
+    return F.trim(line, F.lit(_BLANKS)).startswith("{")
+
+
 def typed_payload(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    """One row per record in ``record``; an array payload gives one row per element.
+    """One row per record: ``record``, or the record's text in ``broken`` where it does not fit the schema.
 
-    Wrapped payloads stay, with an empty ``record``.  The partition column ``dt`` is not part of
-    a payload.
+    An array payload gives a row per element.  A wrapped text is what a source sends that publishes whole files: lines of NDJSON,
+    or of CSV under a header line with the column names.  Every element and every line that is not blank gives a row; one that is
+    no object, has text after its object, or has a value of another type is broken and takes no other along.  Wrapped
+    bytes have neither record nor text.  The partition column ``dt`` is not part of a payload.
     """
-    record = T.StructType([field for field in schema.fields if field.name != "dt"])
-    payload = F.col("payload")
-    records = (
-        F.when(is_wrapped(payload), F.lit(None))
-        .when(payload.startswith("["), F.from_json(payload, T.ArrayType(record)))
-        .otherwise(F.array(F.from_json(payload, record)))
+    fields = [field for field in schema.fields if field.name != "dt"]
+    record = T.StructType([*fields, T.StructField(_BROKEN, T.StringType())])
+    text = F.trim(F.col("payload"), F.lit(_BLANKS))
+    body = F.get_json_object(text, "$.raw")
+    lines = F.filter(F.split(body, r"\r?\n"), lambda line: F.trim(line, F.lit(_BLANKS)) != "")
+    elements = F.transform(
+        F.try_variant_get(F.try_parse_json(text), "$", "array<variant>"), lambda element: F.to_json(element)
+    )
+    nothing = F.array(F.lit(None).cast("string"))
+    found = (
+        F.when(is_wrapped(text), F.coalesce(lines, nothing))
+        .when(text.startswith("["), F.coalesce(elements, F.array(text)))
+        .otherwise(F.array(text))
     )
-    return raw.withColumn("record", F.explode_outer(records))
+    header = ",".join(field.name for field in fields)
+    one = raw.withColumn("_text", F.explode_outer(found)).where(
+        F.col("_text").isNull() | (F.trim(F.col("_text"), F.lit(_BLANKS)) != header)
+    )
+    options = {"columnNameOfCorruptRecord": _BROKEN}
+    from_json = F.from_json("_text", record, {**STRICT, **options})
+    csv_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in record.fields)
+    from_csv = F.from_csv("_text", csv_schema, {**CSV_QUOTING, **options}) if _is_flat(fields) else F.lit(None).cast(record)
+    whole = _is_json_line(F.col("_text")) & is_single_json(F.col("_text"))
+    csv = body.isNotNull() & ~_is_json_line(F.col("_text"))
+    parsed = one.withColumn("_record", F.when(whole, from_json).when(csv, from_csv))
+    fits = F.col("_record").isNotNull() & F.col(f"_record.{_BROKEN}").isNull()
+    plain = F.struct(*(F.col("_record")[field.name].alias(field.name) for field in fields))
+    return parsed.select(
+        *raw.columns,
+        F.when(fits, plain).alias("record"),
+        F.when(~fits, F.col("_text")).alias("broken"),
+    )
+
+
+def _is_flat(fields: list[T.StructField]) -> bool:
+    """Whether CSV can hold the columns."""
+    return not any(isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType, T.VariantType)) for f in fields)

@@ -2,54 +2,53 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from cairnlake.storage import Storage
+
+
+class ConflictingWrite(RuntimeError):
+    """Another writer published a version while this one was being written."""
+
 
 class VersionedTable:
-    """A parquet table with one folder per version below ``path``.
+    """A parquet table with a folder of its own for the data of each version, and a small file that points to it.
 
-    A version counts once its job has committed, which Spark marks with a ``_SUCCESS`` file.  A run
-    that breaks off leaves an unmarked folder that no reader sees, and a reader of an older version
-    is never disturbed.  This is what lets a job read a table and replace it.
+    A write goes to a new folder first, is checked there, and becomes a version by creating the pointer file
+    ``versions/<number>``, which succeeds for one writer only.  The number follows the newest version at the start of the
+    write, so a writer that did not see another's version cannot publish over it.  Readers follow pointers: a run that
+    breaks off or fails its check leaves a folder that nobody sees, and readers of older versions are never disturbed.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
 
-    def _files(self):
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
-        folder = hadoop.Path(self.path)
-        files = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return hadoop, folder, files
-
-    def _numbers(self, committed: bool) -> list[int]:
-        hadoop, folder, files = self._files()
-        if not files.exists(folder):
-            return []
-        numbers = []
-        for entry in files.listStatus(folder):
-            name = entry.getPath().getName()
-            if name.startswith("version="):
-                if not committed or files.exists(hadoop.Path(entry.getPath(), "_SUCCESS")):
-                    numbers.append(int(name.removeprefix("version=")))
-        return sorted(numbers)
-
-    def _folder(self, number: int) -> str:
-        return f"{self.path}/version={number:06d}"
+    def _storage(self) -> Storage:
+        return Storage(self.spark, self.path)
+
+    def _pointer(self, number: int) -> str:
+        return f"{self.path}/versions/{number:06d}"
 
     def versions(self) -> list[int]:
-        """Numbers of the committed versions, oldest first."""
-        return self._numbers(committed=True)
+        """Numbers of the published versions, oldest first."""
+        return sorted(int(n) for n in self._storage().names(f"{self.path}/versions", False) if n.isdigit())
+
+    def folder(self, number: int) -> str:
+        """Where the data of a version is."""
+        return f"{self.path}/{self._storage().text(self._pointer(number))}"
 
     def read(self, schema: T.StructType | None = None, version: int | None = None) -> DataFrame:
         """The newest (or a given) version; an empty table of ``schema`` before the first one."""
         versions = self.versions()
         if version is None and not versions:
             if schema is None:
-                raise FileNotFoundError(f"no committed version in {self.path}")
+                raise FileNotFoundError(f"no published version in {self.path}")
             return self.spark.createDataFrame([], schema)
-        table = self.spark.read.parquet(self._folder(version or versions[-1]))
+        table = self.spark.read.parquet(self.folder(version or versions[-1]))
         return table.select(*schema.fieldNames()) if schema is not None else table
 
     def replace(
@@ -57,20 +56,31 @@ class VersionedTable:
         table: DataFrame,
         partition_by: str | None = None,
         sort_by: tuple[str, ...] = (),
+        check: Callable[[DataFrame], None] | None = None,
     ) -> DataFrame:
-        """Write the next version and return it.
-
-        Two writers that pick the same number cannot both win: the folder must not exist yet.
-        """
-        number = max(self._numbers(committed=False), default=0) + 1
-        write_table(table, self._folder(number), partition_by, sort_by)
-        return self.spark.read.parquet(self._folder(number))
+        """Write the next version, let ``check`` look at it (it raises to refuse), publish and return it."""
+        number = max(self.versions(), default=0) + 1
+        name = f"data-{number:06d}-{uuid.uuid4().hex}"
+        staged = f"{self.path}/{name}"
+        try:
+            write_table(table, staged, partition_by, sort_by)
+            written = self.spark.read.parquet(staged)
+            if check is not None:
+                check(written)
+            if not self._storage().claim(self._pointer(number), name):
+                raise ConflictingWrite(f"version {number} of {self.path} was published by another writer")
+        except BaseException:
+            self._storage().delete(staged)
+            raise
+        return written
 
     def drop_older(self, keep: int = 2) -> None:
-        """Delete all but the newest ``keep`` committed versions."""
-        hadoop, _, files = self._files()
+        """Delete all but the newest ``keep`` versions."""
+        storage = self._storage()
         for number in self.versions()[:-keep]:
-            files.delete(hadoop.Path(self._folder(number)), True)
+            folder = self.folder(number)
+            storage.delete(self._pointer(number))
+            storage.delete(folder)
 
 
 def write_table(
@@ -78,12 +88,11 @@ def write_table(
 ) -> None:
     """Write parquet files, optionally split by a column and sorted inside each file.
 
-    Rows are rebalanced on the partition column: few files per partition, while a partition that
-    outgrows the advisory size is split over several tasks.  Sorting needs no further shuffle and
-    gives each file narrow minimum and maximum values to skip by.
+    Rows are dealt to ranges of the partition column and the sort columns: few files per partition, a partition that is
+    large is split, and each file has its own range of the sort columns, narrow minimum and maximum values to skip by.
     """
     if partition_by:
-        table = table.hint("rebalance", F.col(partition_by))
+        table = table.repartitionByRange(*(F.col(name) for name in (partition_by, *sort_by)))
     if partition_by or sort_by:
         order = ([partition_by] if partition_by else []) + list(sort_by)
         table = table.sortWithinPartitions(*order)

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cairnlake import schemas
+from cairnlake.functions.json_text import STRICT
 from cairnlake.operators.partitions import newest_directories
 
 #: How files spell instants with microseconds (readers accept any ISO form).
@@ -14,13 +15,14 @@ INSTANT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 #: Quotes inside a CSV value are doubled; without this a JSON value splits over several columns.
 CSV_QUOTING = {"quote": '"', "escape": '"'}
+_BROKEN = "_broken_line"
 
 
 def scan_ndjson(
     spark: SparkSession, path: str, schema: T.StructType, mode: str = "FAILFAST"
 ) -> DataFrame:
     """One JSON object per line under ``path/dt=YYYY-MM-DD/``; a broken line stops the query."""
-    return spark.read.schema(schema).option("mode", mode).json(path)
+    return spark.read.schema(schema).option("mode", mode).options(**STRICT).json(path)
 
 
 def scan_clickstream(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
@@ -40,7 +42,7 @@ def scan_newest_catalog(spark: SparkSession, path: str, mode: str = "FAILFAST")
 
     Asking the text files for their largest ``dt`` would read the whole history; this reads one day.
     """
-    reader = spark.read.schema(schemas.PRODUCT_CATALOG).option("mode", mode)
+    reader = spark.read.schema(schemas.PRODUCT_CATALOG).option("mode", mode).options(**STRICT)
     for folder in newest_directories(spark, path, "dt"):
         day = reader.option("basePath", path).json(folder)
         if not day.isEmpty():
@@ -52,20 +54,37 @@ def scan_sales(spark: SparkSession, path: str) -> DataFrame:
     """CSV with one header row per landed message; short rows are filled up with NULL.
 
     A reader skips the first line of a file.  Several messages can share a landed file, so a header
-    can also stand further down: a line whose text columns all spell their own names is dropped.
+    can also stand further down: a line whose columns spell their own names is dropped.
+
+    Columns are read as text first.  A value of another type than its column's, a row with more values than there are
+    columns, and a quoted line break (which the line-wise reader would take for two rows) stop the query.
     """
-    table = (
-        spark.read.schema(schemas.SALES_TRANSACTIONS)
+    fields = [f for f in schemas.SALES_TRANSACTIONS if f.name != "dt"]
+    text = T.StructType(
+        [T.StructField(f.name, T.StringType()) for f in fields]
+        + [T.StructField(_BROKEN, T.StringType()), T.StructField("dt", T.DateType())]
+    )
+    rows = (
+        spark.read.schema(text)
         .option("header", True)
+        .option("enforceSchema", True)
         .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", _BROKEN)
         .options(**CSV_QUOTING)
         .csv(path)
     )
-    text_columns = [f.name for f in schemas.SALES_TRANSACTIONS if f.dataType == T.StringType()]
-    spells_names = reduce(
-        lambda a, b: a & b, (F.col(name).eqNullSafe(F.lit(name)) for name in text_columns)
+    spells_names = reduce(lambda a, b: a & b, (F.col(f.name).eqNullSafe(F.lit(f.name)) for f in fields))
+    line = F.col(_BROKEN)
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    # A row whose number of values is not that of the columns keeps its line; if too short, its last column is NULL.
+    refused = line.isNotNull() & ((quotes % 2 != 0) | F.col(fields[-1].name).isNotNull())
+    checked = F.when(refused, F.raise_error(F.concat(F.lit("not a row of sales: "), line)).cast("string"))
+    first, *others = fields
+    return rows.where(~spells_names).select(
+        F.coalesce(checked, F.col(first.name)).cast(first.dataType).alias(first.name),
+        *(F.col(f.name).cast(f.dataType).alias(f.name) for f in others),
+        "dt",
     )
-    return table.where(~spells_names)
 
 
 SCANS = {

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cairnlake import schemas
 from cairnlake.functions import topics
+from cairnlake.storage import Storage
 
 PROJECT = "demo"
 OWNER = "demo"
@@ -118,16 +119,15 @@ def clickstream_events(spark: SparkSession, folder: str) -> DataFrame:
     parts = load(spark, folder, "part").select(
         F.col("p_partkey").cast("string").alias("part"), F.col("p_type").alias("part_type")
     )
-    nothing = F.lit(None)
     properties = F.struct(
         viewed.alias("product_id"),
         F.when(F.col("user_id") % 10 != 0, F.col("part_type")).alias("category"),
         F.col("value").alias("price"),
-        nothing.cast("bigint").alias("quantity"),
-        nothing.cast("double").alias("cart_value"),
-        nothing.cast("bigint").alias("items_count"),
-        nothing.cast("string").alias("search_query"),
-        nothing.cast("bigint").alias("results_count"),
+        (F.col("event_id") % 7).cast("bigint").alias("quantity"),
+        (F.col("value") * 2).alias("cart_value"),
+        (F.col("event_id") % 11).cast("bigint").alias("items_count"),
+        F.when(F.col("event_id") % 3 != 0, F.concat(F.lit("find "), viewed)).alias("search_query"),
+        (F.col("user_id") % 13).cast("bigint").alias("results_count"),
     )
     event_type = F.when(F.col("event_type") == "view", "page_view").otherwise(F.col("event_type"))
     return (
@@ -140,10 +140,11 @@ def clickstream_events(spark: SparkSession, folder: str) -> DataFrame:
             _instant("ts").alias("timestamp"),
             event_type.alias("event_type"),
             F.concat(F.lit("/products/"), viewed).alias("page_url"),
-            *(
-                nothing.cast("string").alias(name)
-                for name in ("user_agent", "ip_address", "referrer", "device_type", "country")
-            ),
+            F.concat(F.lit("agent/"), F.col("event_id") % 5).alias("user_agent"),
+            F.concat_ws(".", F.lit("10.0.0"), F.col("user_id") % 256).alias("ip_address"),
+            F.when(F.col("event_id") % 2 == 0, "/home").alias("referrer"),
+            F.when(F.col("event_id") % 4 == 0, "phone").otherwise("desk, top").alias("device_type"),
+            F.concat(F.lit("C"), F.col("user_id") % 9).alias("country"),
             properties.alias("properties"),
             F.to_date("ts").alias("dt"),
         )
@@ -151,27 +152,22 @@ def clickstream_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def support_tickets(spark: SparkSession, folder: str) -> DataFrame:
-    """The first message of every conversation that a user opened."""
-    nothing = F.lit(None)
+    """A ticket for every message of every conversation."""
     opened = F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(F.col("conv_id") % 28)
-    return (
-        load(spark, folder, "conversations")
-        .where((F.col("turn") == 0) & (F.col("role") == "user"))
-        .select(
-            F.col("conv_id").cast("string").alias("ticket_id"),
-            (F.col("conv_id") % 150).cast("string").alias("user_id"),
-            opened.alias("created_at"),
-            nothing.cast("string").alias("category"),
-            F.when(F.col("conv_id") % 2 == 0, "high").otherwise("low").alias("priority"),
-            F.lit("open").alias("status"),
-            F.substring("text", 1, 40).alias("subject"),
-            F.col("text").alias("description"),
-            ((F.col("conv_id") % 21 - 10) / F.lit(10.0)).alias("sentiment_score"),
-            nothing.cast("string").alias("agent_id"),
-            nothing.cast("double").alias("resolution_time_hours"),
-            (F.col("conv_id") % 5 + 1).alias("satisfaction_score"),
-            F.to_date(opened).alias("dt"),
-        )
+    return load(spark, folder, "conversations").select(
+        F.concat_ws("-", "conv_id", "turn").alias("ticket_id"),
+        (F.col("conv_id") % 150).cast("string").alias("user_id"),
+        opened.alias("created_at"),
+        F.col("role").alias("category"),
+        F.when(F.col("conv_id") % 2 == 0, "high").otherwise("low").alias("priority"),
+        F.lit("open").alias("status"),
+        F.concat(F.lit("Turn "), F.col("turn").cast("string")).alias("subject"),
+        F.col("text").alias("description"),
+        ((F.col("conv_id") % 21 - 10) / F.lit(10.0)).alias("sentiment_score"),
+        F.when(F.col("role") != "user", F.lit("agent")).alias("agent_id"),
+        (F.col("turn") / F.lit(4.0)).alias("resolution_time_hours"),
+        (F.col("conv_id") % 5 + 1).alias("satisfaction_score"),
+        F.to_date(opened).alias("dt"),
     )
 
 
@@ -234,10 +230,7 @@ def messages(events: DataFrame) -> DataFrame:
 def event_files(spark: SparkSession, folder: str) -> tuple[str, str | None]:
     """Folder and file pattern to stream the events table from, be it a file or a folder of files."""
     path = f"{folder}/events.parquet"
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    location = hadoop.Path(path)
-    files = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if files.getFileStatus(location).isDirectory():
+    if Storage(spark, path).is_folder(path):
         return path, None
     return folder, "events.parquet"
 

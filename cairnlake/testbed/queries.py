@@ -43,7 +43,7 @@ def present(table: DataFrame) -> DataFrame:
             columns.append(F.variant_get(column, "$.brand", "string").alias("brand"))
             columns.append(F.variant_get(column, "$.size", "bigint").alias("size"))
         elif field.name == "properties":
-            columns += [column[name].alias(name) for name in ("product_id", "category", "price")]
+            columns += [column[name].alias(name) for name in field.dataType.fieldNames()]
         else:
             columns.append(column)
     return table.select(*columns)
@@ -79,8 +79,7 @@ def _write_text_table(table: DataFrame, path: str, file_format: str) -> None:
 def scan_clickstream(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "clickstream")
     _write_text_table(bronze.clickstream_events(spark, folder), path, "json")
-    scanned = tables.scan_clickstream(spark, path)
-    return scanned.drop("user_agent", "ip_address", "referrer", "device_type", "country")
+    return tables.scan_clickstream(spark, path)
 
 
 def scan_support_tickets(spark: SparkSession, folder: str) -> DataFrame:
@@ -133,7 +132,7 @@ def _ticket_arrays(spark: SparkSession, folder: str) -> str:
 def json_array_to_ndjson(spark: SparkSession, folder: str) -> DataFrame:
     schema = T.StructType([f for f in schemas.CUSTOMER_SUPPORT_TICKETS if f.name != "dt"])
     target = scratch_path(spark, "ticket-lines")
-    documents.json_array_to_ndjson(spark, _ticket_arrays(spark, folder), target, schema)
+    documents.json_array_to_ndjson(spark, _ticket_arrays(spark, folder), target)
     return tables.scan_ndjson(spark, target, schema)
 
 
@@ -283,6 +282,7 @@ def typed(spark: SparkSession, folder: str) -> DataFrame:
         F.col("record.timestamp").alias("event_time"),
         F.col("record.properties.product_id").alias("product_id"),
         F.col("record.properties.price").alias("price"),
+        "broken",
     )
 
 
@@ -330,13 +330,11 @@ def customer_snapshots(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def customer_snapshots_latest(spark: SparkSession, folder: str) -> DataFrame:
-    """The intended reading, as of the last date on which a customer was first seen."""
-    history = _stored(spark, bronze.sales_transactions(spark, folder), "sales")
-    arrivals = customers.first_transaction_per_user(history).where(
-        F.col("shipping_address").isNotNull()
-    )
-    until = arrivals.agg(F.max("dt").alias("day")).scalar()
-    return customers.customer_snapshots(history, latest_only=True, until=until)
+    """The intended reading, on a history in which the buyers of the last load date are new customers."""
+    history = bronze.sales_transactions(spark, folder)
+    last = history.agg(F.max("dt").alias("day")).scalar()
+    user = F.when(F.col("dt") == last, F.concat(F.lit("new-"), "user_id")).otherwise(F.col("user_id"))
+    return customers.customer_snapshots(history.withColumn("user_id", user), latest_only=True)
 
 
 def _snapshot_and_stored(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -381,6 +379,17 @@ def open_versions_per_user(spark: SparkSession, folder: str) -> DataFrame:
 # --- gold ------------------------------------------------------------------------------------
 
 
+def user_purchase_patterns_float(spark: SparkSession, folder: str) -> DataFrame:
+    """Sums and means of doubles as they are, to as many digits as do not depend on the order of rows."""
+    found = behaviour.user_purchase_patterns(f_sales(spark, folder))
+    return found.withColumns(
+        {
+            "total_lifetime_spend": F.round("total_lifetime_spend", 2),
+            "average_order_value": F.col("average_order_value").cast("float").cast("double"),
+        }
+    )
+
+
 def user_purchase_patterns(spark: SparkSession, folder: str) -> DataFrame:
     return behaviour.user_purchase_patterns(f_sales(spark, folder), CENTS)
 
@@ -516,6 +525,7 @@ QUERIES: dict[str, Query] = {
     "current_customers": current_customers,
     "open_versions_per_user": open_versions_per_user,
     "user_purchase_patterns": user_purchase_patterns,
+    "user_purchase_patterns_float": user_purchase_patterns_float,
     "browsed_categories": browsed_categories,
     "user_behavior_summary": user_behavior_summary,
     "batch_job": batch_job,

@@ -10,12 +10,12 @@ from cairnlake.plans import customers
 from helpers import plan, rows
 
 TWO = [
-    ("t1", "usr_abc123", datetime(2025, 7, 27, 11, 30), "456 Oak Ave, Newville, USA", "US"),
-    ("t2", "usr_srg567", datetime(2025, 7, 27, 11, 57), "430 Ferreira Pontes, rj, BRA", "BR"),
+    ("p-31", "ana", datetime(2022, 3, 4, 5, 6), "Low Row 3", "NL"),
+    ("p-32", "bo", datetime(2022, 3, 4, 7, 8), "High Row 8", "SE"),
 ]
 
 
-def sales(spark, entries, dt=date(2025, 7, 27)):
+def sales(spark, entries, dt=date(2022, 3, 4)):
     return spark.createDataFrame(
         [
             (t, u, when, 1.0, "USD", "card", "completed", "[]", address, country, dt)
@@ -40,10 +40,10 @@ def test_first_run_stores_both_customers_and_a_rerun_changes_nothing(spark):
 def test_moved_customer_gets_a_closed_and_an_open_version(spark):
     before = customers.customer_snapshots(sales(spark, TWO))
     stored = spark.createDataFrame(before.collect(), schemas.CUSTOMERS)
-    moved = [("t9", "usr_abc123", datetime(2025, 8, 1), "1 New St", "US"), TWO[1]]
+    moved = [("p-39", "ana", datetime(2022, 9, 1), "Mid Row 5", "NL"), TWO[1]]
     after = customers.merge(customers.customer_snapshots(sales(spark, moved)), stored)
     ends = sorted((r.user_id, r.valid_from.month, r.valid_to) for r in after.collect() if r.valid_to)
-    assert ends == [("usr_abc123", 7, datetime(2025, 8, 1))]
+    assert ends == [("ana", 3, datetime(2022, 9, 1))]
     assert after.count() == 3 and customers.open_versions_per_user(after).isEmpty()
 
 
@@ -67,8 +67,8 @@ def test_literal_and_intended_partition_filter(spark):
     newest = customers.customer_snapshots(history, latest_only=True)
     older = customers.customer_snapshots(history, latest_only=True, until=F.lit(date(2025, 7, 1)))
     assert literal.count() == 2
-    assert [r.user_id for r in newest.collect()] == ["usr_srg567"]
-    assert [r.user_id for r in older.collect()] == ["usr_abc123"]
+    assert [r.user_id for r in newest.collect()] == ["bo"]
+    assert [r.user_id for r in older.collect()] == ["ana"]
 
 
 @pytest.fixture(scope="module")

@@ -20,16 +20,27 @@ def put(path, content):
     path.write_bytes(content if isinstance(content, bytes) else content.encode())
 
 
-def test_json_array_becomes_lines(spark, tmp_path):
-    put(tmp_path / "in" / "x.json", '[{"a": 1},\n {"b": 2}]')
-    documents.json_array_to_ndjson(spark, str(tmp_path / "in"), str(tmp_path / "out"), SCHEMA)
+def test_json_array_becomes_lines_with_all_members(spark, tmp_path):
+    put(tmp_path / "in" / "x.json", ' [{"a": 1, "undeclared": {"k": [1]}},\n {"b": 2}] ')
+    put(tmp_path / "in" / "y.json", "[]")
+    documents.json_array_to_ndjson(spark, str(tmp_path / "in"), str(tmp_path / "out"))
     lines = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "out")).collect()]
-    assert sorted(lines, key=str) == [{"a": 1}, {"b": 2}]
+    assert sorted(lines, key=str) == [{"a": 1, "undeclared": {"k": [1]}}, {"b": 2}]
+    records = documents.read_json_array(spark, str(tmp_path / "in"), SCHEMA).collect()
+    assert sorted(map(tuple, records), key=str) == [(1, None), (None, 2)]
 
 
-@pytest.mark.parametrize("text", ["not valid json", '[{"a": 1}', '[{"a": "x"}]'])
-def test_broken_array_stops_the_query(spark, tmp_path, text):
-    put(tmp_path / "x.json", text)
+@pytest.mark.parametrize(
+    "text", ["plain words", '[{"a": 1}', '[{"a":1}]\n[{"a":2}]', '[{"a":1}] and more', '{"a":1}', "['a']", ""]
+)
+def test_anything_but_one_array_stops_the_query(spark, tmp_path, text):
+    put(tmp_path / "x.json", text or "\n")
+    with pytest.raises(Exception, match="not a JSON array"):
+        documents.read_json_array(spark, str(tmp_path), SCHEMA).collect()
+
+
+def test_member_of_another_type_stops_the_query(spark, tmp_path):
+    put(tmp_path / "x.json", '[{"a": "x"}]')
     with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING"):
         documents.read_json_array(spark, str(tmp_path), SCHEMA).collect()
 
@@ -87,3 +98,18 @@ def test_sales_scan(spark, tmp_path):
     assert found["t1"].shipping_address == " 1 Main St " and found["t1"].amount == 9.5
     assert found["t2"].user_id == "u2" and found["t2"].billing_country is None
     assert found["t3"].user_id is None and found["t3"].dt == date(2024, 6, 15)
+
+
+@pytest.mark.parametrize(
+    "row, message",
+    [
+        ('t1,u1,2024-06-15T10:00:00Z,"1,234.50",USD,card,completed,[],a,US\n', "CAST_INVALID_INPUT"),
+        ("t1,u1,01/02/2024 10:00,1,USD,card,completed,[],a,US\n", "CAST_INVALID_INPUT"),
+        ("t1,u1,2024-06-15T10:00:00Z,1,USD,card,completed,[],a,US,more,values\n", "not a row of sales"),
+        ('t1,u1,2024-06-15T10:00:00Z,1,USD,card,completed,[],"1 Main St\nUpstairs",US\n', "not a row of sales"),
+    ],
+)
+def test_sales_that_do_not_fit_stop_the_scan(spark, tmp_path, row, message):
+    put(tmp_path / "dt=2024-06-15" / "a.csv", HEADER + row)
+    with pytest.raises(Exception, match=message):
+        tables.scan_sales(spark, str(tmp_path)).collect()

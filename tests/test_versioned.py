@@ -1,12 +1,14 @@
 import os
+import threading
 from datetime import date
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F, types as T
 
+from cairnlake.operators.quality import AssertionFailed
 from cairnlake.session import scratch_path
-from cairnlake.sinks.versioned import VersionedTable, with_date
+from cairnlake.sinks.versioned import ConflictingWrite, VersionedTable, with_date
 from helpers import rows
 
 SCHEMA = T.StructType().add("k", T.StringType()).add("v", T.LongType())
@@ -27,10 +29,51 @@ def test_versions_replace_each_other_and_can_read_themselves(spark, tmp_path):
 def test_broken_off_version_is_not_seen(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "t"))
     table.replace(spark.createDataFrame([("a", 1)], SCHEMA))
-    os.makedirs(tmp_path / "t" / "version=000002")
+    os.makedirs(tmp_path / "t" / "data-000002-left-behind")
+    (tmp_path / "t" / "versions" / "000007").touch()  # claimed, but not written to the end
     assert table.versions() == [1] and rows(table.read(SCHEMA)) == {("a", 1): 1}
     table.replace(spark.createDataFrame([("b", 1)], SCHEMA))
-    assert table.versions() == [1, 3]
+    assert table.versions() == [1, 2]
+
+
+def test_of_two_writers_at_once_one_publishes_all_its_rows(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    start, outcome = threading.Barrier(2), {}
+
+    def write(name, count):
+        rows_ = spark.range(count).select(F.lit(name).alias("k"), F.col("id").alias("v"))
+
+        def check(_):
+            start.wait(60)  # both have written and neither has published
+
+        try:
+            table.replace(rows_, check=check)
+            outcome[name] = count
+        except ConflictingWrite:
+            outcome[name] = None
+
+    threads = [threading.Thread(target=write, args=a) for a in (("x", 2000), ("y", 1000))]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    (winner,) = [name for name, count in outcome.items() if count]
+    assert table.versions() == [1] and len(outcome) == 2
+    assert {(r.k, r.n) for r in table.read().groupBy("k").agg(F.count("v").alias("n")).collect()} == {(winner, outcome[winner])}
+    assert len([n for n in os.listdir(tmp_path / "t") if n.startswith("data-")]) == 1
+
+
+def test_refused_version_is_not_published(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.replace(spark.createDataFrame([("a", 1)], SCHEMA))
+
+    def refuse(staged):
+        raise AssertionFailed(str(staged.count()))
+
+    with pytest.raises(AssertionFailed):
+        table.replace(spark.createDataFrame([("b", 1)], SCHEMA), check=refuse)
+    assert table.versions() == [1] and rows(table.read(SCHEMA)) == {("a", 1): 1}
+    assert len([n for n in os.listdir(tmp_path / "t") if n.startswith("data-")]) == 1
 
 
 def test_failed_write_leaves_the_table_alone(spark, tmp_path):
@@ -48,6 +91,7 @@ def test_old_versions_can_go(spark, tmp_path):
         table.replace(spark.createDataFrame([("a", i)], SCHEMA))
     table.drop_older(keep=1)
     assert table.versions() == [3]
+    assert len([n for n in os.listdir(tmp_path / "t") if n.startswith("data-")]) == 1
 
 
 def test_partitioned_and_sorted_layout(spark, tmp_path):
@@ -58,9 +102,10 @@ def test_partitioned_and_sorted_layout(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "t"))
     written = table.replace(with_date(data, "valid_from", "day"), "day", ("country",))
     assert written.count() == 200
-    folders = sorted(os.listdir(tmp_path / "t" / "version=000001"))
+    folder = table.folder(1)
+    folders = sorted(os.listdir(folder))
     assert "day=1970-01-01" in folders and "day=1970-01-03" in folders
-    one = spark.read.parquet(str(tmp_path / "t" / "version=000001" / "day=1970-01-02"))
+    one = spark.read.parquet(f"{folder}/day=1970-01-02")
     countries = [r.country for r in one.collect()]
     assert countries == sorted(countries)
     assert written.where(F.col("day") == date(1970, 1, 1)).count() == 67
