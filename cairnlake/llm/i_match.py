@@ -18,11 +18,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cairnlake.llm.bitmaps import bitmap, has_slot, slot_of
-from cairnlake.llm.row_numbers import RANGES, range_bounds, range_of
+from cairnlake.llm.row_numbers import ranges_of
 from cairnlake.llm.scratch import stored
 
 #: Shares of documents between which a term's document frequency must lie: the band of inverse document frequency.
 BAND = (0.0005, 0.02)
+#: Texts that are brought together to find neighbours.
+TEXTS_PER_RANGE = 4_000
 #: Randomised lexicons.
 LEXICONS = 32
 _POSITIVE = (1 << 62) - 1
@@ -118,9 +120,9 @@ def fingerprint_documents(docs: DataFrame, band: tuple[float, float] = BAND) ->
         ).alias("_key"),
     )
     bits = lexicon(docs, band).scalar()
-    ranged = rows.withColumn("_range", range_of("_key", range_bounds(rows, "_key", RANGES)))
+    ranged = rows.withColumn("_range", ranges_of(rows, "_key", TEXTS_PER_RANGE).number("_key"))
 
-    # The first document of each range follows the last one of the range before: at most RANGES rows.
+    # The first document of each range follows the last one of the range before.
     firsts = stored(ranged.groupBy("_range").agg(F.min(F.struct("_key", "_tie")).alias("_first")), "range-firsts")
     order = Window.orderBy("_range")
     followed = firsts.select(
@@ -129,7 +131,7 @@ def fingerprint_documents(docs: DataFrame, band: tuple[float, float] = BAND) ->
     heads = stored(
         with_fingerprint(
             ranged.join(
-                F.broadcast(followed),
+                followed,
                 (F.col("_key") == F.col("_first._key")) & (F.col("_tie") == F.col("_first._tie")),
             ),
             F.col("text"),

@@ -37,8 +37,8 @@ BLOCK_TOKENS = 65_536
 LEAST_BLOCKS = 100_000
 #: Sources whose totals the driver takes; more are refused.
 MAX_SOURCES = 100_000
-#: Ranges of the seeded order in each source.
-RANGES = 1024
+#: Documents that a range of the seeded order is to hold, and bits of the order.
+DOCUMENTS_PER_RANGE = 4_000
 ORDER_BITS = 60
 
 
@@ -142,14 +142,16 @@ def order_key(docs: DataFrame) -> Column:
     return F.coalesce(docs["doc_id"].cast("string"), F.concat(F.lit("x"), F.hex(F.xxhash64(docs["text"]))))
 
 
-def placed(rows: DataFrame, seed: int) -> DataFrame:
+def placed(rows: DataFrame, seed: int, most: int) -> DataFrame:
     """Add ``_at``: the tokens of the same ``_source`` before a row in the seeded order of documents.
 
     ``rows`` has ``_key, _source, _size`` and any other columns; it is read twice, so store it if it is costly.
+    ``most`` is the number of rows of the largest source, by which the order is cut into ranges.
     """
+    bits = min(ORDER_BITS, max(1, most // DOCUMENTS_PER_RANGE).bit_length() + 1)
     order = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), "_key")), 1, 15), 16, 10)
     rows = rows.withColumn("_order", order.cast("long")).withColumn(
-        "_range", F.shiftright("_order", ORDER_BITS - int(math.log2(RANGES))).cast("int")
+        "_range", F.shiftright("_order", ORDER_BITS - bits)
     )
     keyed = rows.withColumn("_name", F.coalesce(F.concat(F.lit("="), "_source"), F.lit("")))
     totals = keyed.groupBy("_name", "_range").agg(F.sum("_size").alias("_total"))
@@ -182,7 +184,7 @@ def mixed(
 ) -> tuple[int, DataFrame]:
     """The block size, and ``rows`` with ``_at`` and ``_quota`` (what the mix takes of their source)."""
     spark = rows.sparkSession
-    totals = rows.groupBy("_source").agg(F.sum("_size").alias("n")).limit(MAX_SOURCES + 1).collect()
+    totals = rows.groupBy("_source").agg(F.sum("_size").alias("n"), F.count(F.lit(1)).alias("rows")).limit(MAX_SOURCES + 1).collect()
     if len(totals) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
     block, quotas = plan_mix([(r["_source"], r["n"]) for r in totals], weights, max_repeats, shards, seed, least_blocks)
@@ -197,7 +199,8 @@ def mixed(
     fields = [c for c in table.columns if c != "_name"]
     quota = table.select("_name", F.struct(*fields).alias("_quota"))
     # One row for each source, at most MAX_SOURCES.
-    return block, placed(rows, seed).join(F.broadcast(quota), F.col("_source").eqNullSafe(F.col("_name"))).drop("_name")
+    most = max((r["rows"] for r in totals), default=0)
+    return block, placed(rows, seed, most).join(F.broadcast(quota), F.col("_source").eqNullSafe(F.col("_name"))).drop("_name")
 
 
 def mix_documents(

@@ -8,7 +8,7 @@ from fractions import Fraction
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from cairnlake.llm import i_match, mixing, sharding
+from cairnlake.llm import i_match, mixing, row_numbers, sharding
 from cairnlake.llm.text_arrays import read_texts
 
 
@@ -34,7 +34,9 @@ def test_apportionment_gives_to_the_highest_quotient(targets, seats):
     assert mixing.apportion([float(t) for t in targets], limits, seats) == got
 
 
-def test_mix_against_its_plan(spark):
+@pytest.mark.parametrize("documents_per_range", [3, 4000])
+def test_mix_against_its_plan(spark, monkeypatch, documents_per_range):
+    monkeypatch.setattr(mixing, "DOCUMENTS_PER_RANGE", documents_per_range)
     rows = [(i, " ".join(["w"] * (i % 37)), None if i % 11 == 0 else f"s{i % 4}") for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
     got = mixing.mix_documents(docs, seed=1).toPandas()
@@ -89,6 +91,16 @@ def test_shards_against_the_permutation(spark):
         assert tuple(r) == (doc, len(data) + 16, zlib.crc32(data), "rows", place % 40, place // 40, None)
 
 
+@pytest.mark.parametrize("rows_per_range", [1, 100_000])
+def test_row_numbers_are_gapless_in_order(spark, monkeypatch, rows_per_range):
+    monkeypatch.setattr(row_numbers, "CUTS", 7)
+    keys = [k * k * (-1) ** k for k in range(300)] + [5] * 40 + [-(1 << 62), 1 << 62]
+    table = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "key long, i int").repartition(5)
+    got = row_numbers.with_row_number(table, "key", ["i"], "number", rows_per_range).collect()
+    assert [(r.key, r.i) for r in sorted(got, key=lambda r: r.number)] == sorted((k, i) for i, k in enumerate(keys))
+    assert sorted(r.number for r in got) == list(range(len(keys)))
+
+
 def test_shards_of_every_kind_of_row(edge_documents, no_documents):
     got = sharding.shard_documents(edge_documents, 4).collect()
     count = edge_documents.count()
@@ -96,7 +108,9 @@ def test_shards_of_every_kind_of_row(edge_documents, no_documents):
     assert sharding.shard_documents(no_documents, 4).count() == 0
 
 
-def test_fingerprints_and_edits(spark, edge_documents, no_documents):
+@pytest.mark.parametrize("texts_per_range", [1, 4000])
+def test_fingerprints_and_edits(spark, edge_documents, no_documents, monkeypatch, texts_per_range):
+    monkeypatch.setattr(i_match, "TEXTS_PER_RANGE", texts_per_range)
     rows = [(i, " ".join(f"t{(i * 7 + j) % 150 + 100 * (j % 3)}é" for j in range(40 + i))) for i in range(0, 60, 2)]
     rows += [(5, rows[2][1]), (70, None), (71, "tiny text"), (72, "")]
     rows.sort()
