@@ -10,7 +10,9 @@ from cairnlake.session import scratch_path
 def stored(table: DataFrame, label: str) -> DataFrame:
     """The table written to the shared folder and read back: it is computed once, and its lineage ends there.
 
-    Parquet files in the shared folder outlive any executor.
+    Parquet files in the shared folder outlive any executor.  A table of counts that is joined back to the rows it counts
+    is stored for another reason too: adaptive execution splits a hot key's partition only where both sides of the join come
+    straight from a shuffle, not where one is aggregated in the join's own stage.
     """
     path = scratch_path(table.sparkSession, label)
     table.write.parquet(path)

@@ -110,7 +110,7 @@ def _seeded(content: DataFrame, window: int, anchor: int) -> DataFrame:
     schema = "doc_id long, key long, anchor long, region long, start int, windows int"
     every = stored(map_batches(content, run, schema), "stretches")
     often = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    return stored(every.join(often, "anchor"), "seeds")
+    return stored(every.join(stored(often, "anchors"), "anchor"), "seeds")
 
 
 def _ends(content: DataFrame, seeds: DataFrame, window: int) -> DataFrame:
@@ -118,7 +118,8 @@ def _ends(content: DataFrame, seeds: DataFrame, window: int) -> DataFrame:
     regions = seeds.groupBy("anchor", "region").agg(
         F.count(F.lit(1)).alias("times"), F.min(F.struct("doc_id", "key", "start", "windows")).alias("one")
     )
-    open_anchors = regions.where("times = 1").select("anchor").distinct()
+    regions = stored(regions, "regions")
+    open_anchors = stored(regions.where("times = 1").select("anchor").distinct(), "open-anchors")
     # One stretch stands for all that are equal to it; its windows are known to repeat.
     compared = regions.join(open_anchors, "anchor").select(
         "one.doc_id", "one.key", F.struct("one.start", "one.windows", "anchor", "times").alias("stretch")
@@ -153,7 +154,9 @@ def _ends(content: DataFrame, seeds: DataFrame, window: int) -> DataFrame:
     windows = stored(
         map_batches(texts, run, "doc_id long, key long, anchor long, run long, start int, times long"), "windows"
     )
-    again = windows.groupBy("anchor", "run").agg(F.sum("times").alias("n")).where("n > 1").select("anchor", "run")
+    again = stored(
+        windows.groupBy("anchor", "run").agg(F.sum("times").alias("n")).where("n > 1").select("anchor", "run"), "again"
+    )
     # Windows of stretches known to repeat as a whole (times 2) are spans already.
     return (
         windows.where("times = 1")
@@ -170,7 +173,9 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW_WORDS, anchor: int = AN
     """``doc_id, key, spans``: for each text with repeats, word spans ``start << 32 | end`` whose union repeats."""
     content = _content(docs)
     seeds = _seeded(content, window, anchor)
-    whole = seeds.groupBy("anchor", "region").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    whole = stored(
+        seeds.groupBy("anchor", "region").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "whole"
+    )
     spans = seeds.join(whole, ["anchor", "region"]).select(
         "doc_id", "key", _span(F.col("start"), F.col("start") + F.col("windows") + (window - 1)).alias("span")
     )
