@@ -223,7 +223,7 @@ def candidate_edges(sets: DataFrame, threshold: float) -> list[DataFrame]:
     for depth in range(1, MAX_DEPTH + 1):
         children = stored(_branched(frontier, threshold, trees if depth == 1 else None), "path-children")
         counts = children.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("doc").alias("hub"))
-        nodes = stored(children.join(counts.where("size > 1"), "node"), "path-nodes")
+        nodes = stored(children.join(stored(counts.where("size > 1"), "path-counts"), "node"), "path-nodes")
         stuck = (F.col("size") > LEAF) & (
             (F.lit(depth) == MAX_DEPTH) | ((F.lit(depth) > 1) & (F.col("size") > STUCK * F.col("parent_size")))
         )
@@ -341,8 +341,11 @@ def link_documents(docs: DataFrame, threshold: Fraction = THRESHOLD, width: int
     sizes = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     members = clusters.join(sizes, "component").select(F.col("id").alias("doc"), F.col("component").alias("cluster"), "size")
     linked = connected_components(_cluster_edges(docs, members, width, threshold))
-    named = classes.join(linked.withColumnRenamed("id", "doc"), "doc", "left").select(
-        "h1", "h2", "n_shingles", F.coalesce("component", "doc").alias("_component")
+    named = stored(
+        classes.join(linked.withColumnRenamed("id", "doc"), "doc", "left").select(
+            "h1", "h2", "n_shingles", F.coalesce("component", "doc").alias("_component")
+        ),
+        "set-components",
     )
     # Rows that share a doc_id may have different sets; their components are one through the id itself.
     return described.join(named, ["h1", "h2", "n_shingles"], "left").select(
