@@ -129,7 +129,7 @@ def deduplicate(docs: DataFrame, digest_digits: int = DIGEST_DIGITS) -> DataFram
     work = scratch_path(spark, "dedup-stream")
     source = digests.inputFiles()[0].rsplit("/", 1)[0]
     run_stream(spark.readStream.schema(digests.schema).parquet(source), f"{work}/checkpoint", f"{work}/updates")
-    state = last_entries(spark, f"{work}/updates", keyed_state(digests))
+    state = stored(last_entries(spark, f"{work}/updates", keyed_state(digests)), "dedup-state")
     entries = digests.join(state, "digest")
     single = entries.where("n = 1").select(
         "doc_id",
@@ -139,7 +139,10 @@ def deduplicate(docs: DataFrame, digest_digits: int = DIGEST_DIGITS) -> DataFram
         "text_sha256",
     )
     hits = stored(_checked(docs, entries.where("n > 1"), digest_digits), "dedup-hits")
-    groups = hits.groupBy("digest", "other").agg(F.count(F.lit(1)).alias("group_size"), F.max(stays()).alias("best"))
+    groups = stored(
+        hits.groupBy("digest", "other").agg(F.count(F.lit(1)).alias("group_size"), F.max(stays()).alias("best")),
+        "dedup-groups",
+    )
     multiple = hits.join(groups, ["digest", "other"]).select(
         "doc_id",
         (-F.col("best.minus_id")).alias("keep_id"),
@@ -183,7 +186,7 @@ def _checked(docs: DataFrame, members: DataFrame, digest_digits: int) -> DataFra
         )
     )
     read = stored(read, "dedup-content")
-    best = read.where("is_best").groupBy("digest").agg(F.max("_bytes").alias("_best"))
+    best = stored(read.where("is_best").groupBy("digest").agg(F.max("_bytes").alias("_best")), "dedup-best")
     return read.join(best, "digest", "left").select(
         "doc_id",
         "locator",
