@@ -2,31 +2,39 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: At most this many keys are treated as heavy ...
-MAX_HEAVY_KEYS = 200
-#: ... namely those with at least this share of all rows (200 keys of 0.5 % make up everything).
+#: A key is heavy from this share of all rows on, or from so many mean partitions if that is less.
 HEAVY_SHARE = 0.005
-#: Counters of the frequency sketch; its error is below one row in this many.
-SKETCH_COUNTERS = 10_000
+HEAVY_PARTITIONS = 2
+#: Counters of the frequency sketch for each heavy key there can be; its error is below one row in all counters.
+COUNTERS_PER_KEY, MOST_COUNTERS = 50, 1_000_000
 #: Places per partition that a heavy key's rows are dealt to; several, as places can share a partition.
 PLACES_PER_PARTITION = 4
 #: Rows one task writes for a single repeated row before the repetition is split up.
 REPEAT_CHUNK = 65_536
 
 
+def heavy_share(partitions: int) -> float:
+    """The share of all rows from which a key is too much for one of so many partitions."""
+    return min(HEAVY_SHARE, HEAVY_PARTITIONS / partitions)
+
+
 def heavy_keys(table: DataFrame, key: str, share: float = HEAVY_SHARE) -> DataFrame:
-    """The keys with at least ``share`` of the rows, as ``(key, share)``: never over 200 rows.
+    """The keys with at least ``share`` of the rows, as ``(key, share)``: never over ``1 / share`` rows.
 
     One pass over the key column with a frequency sketch per task; only the sketches travel.  The
     answer steers how rows are spread, never which rows are kept, so an estimate is good enough.
     """
+    most = math.ceil(1 / share)
+    counters = min(MOST_COUNTERS, most * COUNTERS_PER_KEY)
     found = (
         table.select(F.col(key).alias("item"))
         .where(F.col("item").isNotNull())
         .agg(
-            F.expr(f"approx_top_k(item, {MAX_HEAVY_KEYS}, {SKETCH_COUNTERS})").alias("top"),
+            F.expr(f"approx_top_k(item, {most}, {counters})").alias("top"),
             F.count(F.lit(1)).alias("total"),
         )
         .select(F.explode("top").alias("top"), "total")
@@ -42,7 +50,7 @@ def salted_join(
     key: str,
     spread_by: str | Column,
     how: str = "inner",
-    share: float = HEAVY_SHARE,
+    share: float | None = None,
 ) -> DataFrame:
     """Join ``probe`` to ``build`` on ``key`` (inner, or left keeping every probe row).
 
@@ -51,13 +59,13 @@ def salted_join(
     the build rows of that key (only of that key) are copied to each of them.  The spread depends on
     row content alone, so a task that runs again sends the same rows to the same place.
 
-    The heavy keys are broadcast: 200 rows at most.
+    The heavy keys are broadcast: one row for each part of ``share``, half as many as there are partitions or 200.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"salted_join supports inner and left, not {how}")
     partitions = int(probe.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = F.col(spread_by) if isinstance(spread_by, str) else spread_by
-    heavy = heavy_keys(probe, key, share).select(
+    heavy = heavy_keys(probe, key, share or heavy_share(partitions)).select(
         key,
         F.ceil(F.col("_share") * partitions * PLACES_PER_PARTITION + 1).cast("int").alias("_parts"),
     )

@@ -72,3 +72,10 @@ def test_only_the_heavy_keys_are_broadcast(sides, conf):
     text = plan(skew.salted_join(*sides, "key", "row"), execute=False)
     assert "SortMergeJoin" in text and "approx_top_k" in text
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_more_partitions_make_smaller_keys_heavy(spark):
+    """A key of 0.3 % is a few mean partitions of 2,000, though not of 200."""
+    rows_ = spark.range(100_000).select(F.when(F.col("id") % 1000 < 3, -1).otherwise(F.col("id")).alias("key"))
+    for partitions, found in ((200, 0), (2000, 1)):
+        assert skew.heavy_keys(rows_, "key", skew.heavy_share(partitions)).count() == found
