@@ -243,7 +243,8 @@ def exact_links(
     """Link all pairs of sets at or above the threshold; with ``left``, only pairs of a marked and an unmarked set.
 
     Shared elements are counted for one set against all others at once, through the postings of its elements.
-    Sets in the largest component need no turn of their own: every pair that could still matter has another end.
+    The component of one set, the first that links, is fixed for the whole call: sets in it need no turn of their own, as
+    an end outside it takes its turn and is compared with all, and of two ends inside it nothing is left to decide.
     """
     sizes = np.array([len(s) for s in sets])
     forest, n = Forest(len(sets)), len(sets)
@@ -256,8 +257,9 @@ def exact_links(
     group[order] = np.repeat(np.arange(len(head)), length)
     begin = np.cumsum(sizes) - sizes
     weight = np.add.reduceat(length[group], begin)
+    fixed = None
     for i in np.argsort(-weight, kind="stable") if left is None else np.flatnonzero(left):
-        if left is None and forest.size[forest.root(i)] == max(forest.size) and forest.size[forest.root(i)] > 1:
+        if fixed is not None and forest.root(i) == forest.root(fixed):
             continue
         own = group[begin[i] : begin[i] + sizes[i]]
         own = own[length[own] > 1]
@@ -271,6 +273,8 @@ def exact_links(
             alike &= ~left
         for j in np.flatnonzero(alike):
             forest.join(i, int(j))
+        if left is None and fixed is None and forest.size[forest.root(i)] > 1:
+            fixed = i
     return forest
 
 

@@ -6,7 +6,9 @@ import re
 from collections import Counter
 from fractions import Fraction
 
+import numpy as np
 import pytest
+from hypothesis import given, settings, strategies as st
 
 from cairnlake.llm import chosen_path, seed_extend, stream_dedup
 from cairnlake.llm.components import connected_components
@@ -61,6 +63,35 @@ def test_near_duplicates(spark, monkeypatch, leaf, block, threshold):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_links_between_components_of_equal_size():
+    """A chain a1 - a2 - b1 - b2 whose middle link joins two components that are largest at the same time."""
+    core, own_a, own_b = range(93), range(100, 107), range(200, 207)
+    a2, b1 = [*core, *own_a], [*core, *own_b]
+    a1, b2 = [*a2, *range(300, 316)], [*b1, *range(400, 416)]
+    sets = [np.sort(np.array(s, dtype=np.uint64)) for s in (a1, a2, b1, b2)]
+    forest = chosen_path.exact_links(sets, Fraction(85, 100))
+    assert len({forest.root(i) for i in range(4)}) == 1
+
+
+@given(st.integers(0, 10_000))
+@settings(max_examples=60, deadline=None)
+def test_links_are_those_of_all_pairs(seed):
+    draw = random.Random(seed)
+    base = [draw.sample(range(300), 40) for _ in range(3)]
+    sets = []
+    for _ in range(draw.randint(2, 30)):
+        own = set(draw.choice(base)) - set(draw.sample(range(300), draw.randint(0, 60)))
+        sets.append(own | set(draw.sample(range(300, 400), draw.randint(1, 4))))
+    forest = chosen_path.exact_links([np.sort(np.array(list(s), dtype=np.uint64)) for s in sets], Fraction(8, 10))
+    plain = chosen_path.Forest(len(sets))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 10 * len(a & sets[j]) >= 8 * len(a | sets[j]):
+                plain.join(i, j)
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i)]
+    assert [forest.root(i) == forest.root(j) for i, j in pairs] == [plain.root(i) == plain.root(j) for i, j in pairs]
+
+
 def test_near_duplicates_of_every_kind_of_row(edge_documents, no_documents):
     got = chosen_path.link_documents(edge_documents).collect()
     assert len(got) == edge_documents.count()
