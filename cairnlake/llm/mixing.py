@@ -3,11 +3,13 @@
 Targets: sources in code point order, null last, weigh as given, repeating; they share the tokens of all sources by
 weight, but none gets more than ``max_repeats`` times its own, and what is over is shared again among the others.
 
-Each source's tokens, with its documents in a seeded order, are cut into blocks of equal size.  The blocks of the mix are
-given to sources one after the other, each to the source with the highest quotient ``target / (2 * given + 1)``.  Consecutive parts
-of that sequence are the shards, so each shard has its integer quota of every source, and the quotas add up
-to the best apportionment of the whole.  A source fills its quota by going through its blocks in a seeded
-permutation, again from the start when it is through.  Documents are cut where blocks are.
+The tokens of the mix are given to sources one after the other, each to the source with the highest quotient
+``target / (2 * given + 1)``.  Consecutive parts of that sequence are the shards, so each shard has its integer quota of every
+source, and the quotas add up to the best apportionment of the whole.  As a seat is one token, no source is too small for one.
+
+Each source's tokens, with its documents in a seeded order, are cut into blocks of equal size, the last of what remains.
+A source fills its quota by going through its blocks in a seeded permutation, again from the start when it is through; of the
+block that is over the quota it takes the first tokens only.  Documents are cut where blocks are.
 
 Only totals of sources meet in the driver.  Places of documents within a source come from totals of ranges of the
 seeded order, so a source with a third of all documents is no group of its own anywhere.
@@ -50,15 +52,24 @@ class Quota:
     tokens: int
     target: float
     blocks: int
-    #: Blocks of this source's sequence that belong to the shards up to each one.
+    #: Tokens of this source's sequence that belong to the shards up to each one.
     shard_ends: tuple[int, ...]
     factor: int
     shift: int
 
     @property
-    def taken_blocks(self) -> int:
+    def taken_tokens(self) -> int:
         return self.shard_ends[-1] if self.shard_ends else 0
 
+    def last_pass(self, block: int) -> tuple[int, int]:
+        """Turns of the pass that does not go through, and the tokens that it takes of the block after them."""
+        if not self.tokens:
+            return 0, 0
+        rest, short = self.taken_tokens % self.tokens, self.tokens - (self.blocks - 1) * block
+        turn = ((self.blocks - 1) * self.factor + self.shift) % self.blocks
+        # After the turn of the short last block, as if it were a whole one.
+        return divmod(rest + (block - short if rest >= turn * block + short else 0), block)
+
 
 def share_targets(tokens: list[int], weights: list[int], max_repeats: int) -> list[float]:
     """Targets of sources in order: the total by weight, none above ``max_repeats`` times its tokens."""
@@ -80,14 +91,15 @@ def share_targets(tokens: list[int], weights: list[int], max_repeats: int) -> li
 def apportion(targets: list[float], limits: list[int], seats: int) -> list[int]:
     """Sainte-Lague: ``seats`` go one by one to the highest ``target / (2 * given + 1)``; ties to the first.
 
-    The bulk comes from a divisor that certainly gives no source too many; the rest are given singly.
+    The bulk is an apportionment of certainly fewer seats, by its divisor; the rest, some for each source, are given singly.
     """
     total = sum(targets)
     if not total or seats <= 0:
         return [0] * len(targets)
-    slack = len(targets) + 1
+    # Rounding adds at most half a seat for each source; one less for what floats round.
+    bulk = max(0, seats - len(targets))
     given = [
-        max(0, min(limit, math.floor(seats * target / total) - slack)) for target, limit in zip(targets, limits)
+        max(0, min(limit, math.floor(bulk * target / total + 0.5) - 1)) for target, limit in zip(targets, limits)
     ]
     heap = [
         (-target / (2 * got + 1), i) for i, (target, got, limit) in enumerate(zip(targets, given, limits)) if got < limit and target > 0
@@ -118,8 +130,8 @@ def plan_mix(
     targets = share_targets(tokens, [weights[i % len(weights)] for i in range(len(tokens))], max_repeats)
     block = max(1, min(BLOCK_TOKENS, sum(tokens) // least_blocks))
     blocks = [-(-n // block) for n in tokens]
-    seats = round(sum(targets) / block)
-    limits = [max_repeats * n for n in blocks]
+    seats = round(sum(targets))
+    limits = [max_repeats * n for n in tokens]
     ends = [apportion(targets, limits, seats * (shard + 1) // shards) for shard in range(shards)]
     quotas = []
     for i, (source, size) in enumerate(ordered):
@@ -168,10 +180,10 @@ def placed(rows: DataFrame, seed: int, most: int) -> DataFrame:
     )
 
 
-def _times(block: Column, quota: Column) -> Column:
-    """How often the mix takes a block: whole passes, and one more in the last pass if its turn comes."""
-    turn = (block * quota["factor"] + quota["shift"]) % quota["blocks"]
-    return quota["passes"] + F.when(turn < quota["extra"], 1).otherwise(0)
+def _taken_of(number: Column, quota: Column, block: int) -> Column:
+    """Tokens of a block, from its first, that the last pass takes."""
+    turn = (number * quota["factor"] + quota["shift"]) % quota["blocks"]
+    return F.when(turn < quota["extra"], block).when(turn == quota["extra"], quota["cut"]).otherwise(0)
 
 
 def mixed(
@@ -190,11 +202,11 @@ def mixed(
     block, quotas = plan_mix([(r["_source"], r["n"]) for r in totals], weights, max_repeats, shards, seed, least_blocks)
     table = spark.createDataFrame(
         [
-            (q.source, q.tokens, q.target, max(q.blocks, 1), q.taken_blocks // max(q.blocks, 1),
-             q.taken_blocks % max(q.blocks, 1), q.factor, q.shift)
+            (q.source, q.tokens, q.target, max(q.blocks, 1), q.taken_tokens // max(q.tokens, 1),
+             *q.last_pass(block), q.factor, q.shift)
             for q in quotas
         ],
-        "_name string, tokens long, target double, blocks long, passes long, extra long, factor long, shift long",
+        "_name string, tokens long, target double, blocks long, passes long, extra long, cut long, factor long, shift long",
     )
     fields = [c for c in table.columns if c != "_name"]
     quota = table.select("_name", F.struct(*fields).alias("_quota"))
@@ -230,10 +242,9 @@ def mix_documents(
     first, last = (at - at % block) / block, (end - 1 - (end - 1) % block) / block
     taken = F.aggregate(
         F.sequence(first.cast("long"), F.greatest(first, last).cast("long")),
-        F.lit(0).cast("long"),
+        F.col("_quota.passes") * F.col("_size"),
         lambda sum_, b: sum_
-        + _times(b, F.col("_quota"))
-        * F.greatest(F.least(end, (b + 1) * block) - F.greatest(at, b * block), F.lit(0)),
+        + F.greatest(F.least(end, b * block + _taken_of(b, F.col("_quota"), block)) - F.greatest(at, b * block), F.lit(0)),
     )
     return found.select(
         F.col("_id").alias("doc_id"),
@@ -255,7 +266,7 @@ def taken_texts(
     """What the mix takes of ``docs``, in its columns: a row for each time a document is taken.
 
     A document that a block border cuts keeps the words that are taken, from the first to the last of each run of
-    blocks, runs joined by a line break; ``n_chars``, if there, counts the new text.  Documents without words are not taken.
+    words, runs joined by a line break; ``n_chars``, if there, counts the new text.  Documents without words are not taken.
     """
     names = [f"_keep{i}" for i in range(len(docs.columns))]
     place, chars = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
@@ -280,18 +291,21 @@ def taken_texts(
                     whole = texts.text_bytes(i).tobytes().decode()
                     begin = int(at[first + i])
                     blocks = np.arange(begin // block, (begin + size - 1) // block + 1)
-                    turn = (blocks * q["factor"] + q["shift"]) % q["blocks"] < q["extra"]
+                    turn = (blocks * q["factor"] + q["shift"]) % q["blocks"]
+                    taken = np.where(turn < q["extra"], block, np.where(turn == q["extra"], q["cut"], 0))
+                    low = np.maximum(blocks * block - begin, 0)
+                    high = np.minimum(blocks * block + taken - begin, size)
+                    low, high = low[low < high], high[low < high]
                     copies = [whole] * q["passes"]
-                    if turn.all():
-                        copies.append(whole)
-                    elif turn.any():
-                        edge = np.flatnonzero(np.diff(np.r_[False, turn, False]))
-                        runs = []
-                        for low, high in zip(edge[0::2], edge[1::2]):
-                            a = max(int(blocks[low]) * block - begin, 0) + bounds[i]
-                            b = min(int(blocks[high - 1] + 1) * block - begin, size) + bounds[i] - 1
-                            runs.append(texts.data[starts[a] : ends[b]].tobytes().decode())
-                        copies.append("\n".join(runs))
+                    if len(low):
+                        # Blocks that follow each other without a gap are one run.
+                        gap = low[1:] > high[:-1]
+                        low, high = low[np.r_[True, gap]], high[np.r_[gap, True]]
+                        runs = [
+                            texts.data[starts[a] : ends[b]].tobytes().decode()
+                            for a, b in zip(low + bounds[i], high + bounds[i] - 1)
+                        ]
+                        copies.append(whole if high[0] - low[0] == size else "\n".join(runs))
                     take += [first + i] * len(copies)
                     new += copies
                 rows_ = batch.select(names).take(pa.array(take, pa.int64()))

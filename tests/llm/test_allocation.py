@@ -61,6 +61,43 @@ def test_mix_against_its_plan(spark, monkeypatch, documents_per_range):
     assert all(abs(taken[n] - t) <= 4 * max(1, 7200 // 10_000) + 4 for n, t in zip(names, targets))
 
 
+@pytest.mark.parametrize("least_blocks", [10_000, 100_000])
+def test_small_sources_get_their_targets(least_blocks):
+    """Sources far smaller than a block, and one of two thirds of a block with a target of three times its size."""
+    sizes = {"a": 5_000_000_000, "b": 20_000, "c": 10_000, "d": 1, "e": 70_001, None: 300}
+    block, quotas = mixing.plan_mix(list(sizes.items()), (1, 2, 3), 3, 8, 0, least_blocks)
+    assert block > 25_000
+    for q in quotas:
+        assert abs(q.shard_ends[-1] - q.target) <= 1 and list(q.shard_ends) == sorted(q.shard_ends)
+        turns, cut = q.last_pass(block)
+        taken = [min(block, q.tokens - b * block) for b in range(q.blocks)]
+        order = sorted(range(min(q.blocks, 10)), key=lambda b: (b * q.factor + q.shift) % q.blocks)
+        if q.blocks < 10:
+            in_last = sum(taken[b] for b in order[:turns]) + cut
+            assert q.shard_ends[-1] == q.shard_ends[-1] // q.tokens * q.tokens + in_last
+            assert not cut or cut < taken[order[turns]]
+
+
+@pytest.mark.parametrize("block", [7, 64, 1000])
+def test_mix_takes_its_quota_to_the_word(spark, monkeypatch, block):
+    """Blocks larger than documents and than sources; the texts have the words that are counted."""
+    monkeypatch.setattr(mixing, "BLOCK_TOKENS", block)
+    plan = mixing.plan_mix
+    monkeypatch.setattr(mixing, "plan_mix", lambda *given: plan(*given[:5], least_blocks=1))
+    names = ["big"] * 300 + ["small"] * 6 + ["tiny", None, None]
+    rows = [(i, " ".join(f"{i}w{j}" for j in range(1 + i * 7 % 31)), name) for i, name in enumerate(names)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = {r.doc_id: r for r in mixing.mix_documents(docs, weights=(1, 3, 2, 2), seed=1).collect()}
+    for name in set(names):
+        own = [got[d] for d, _, s in rows if s == name]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 1
+    words = Counter()
+    for r in mixing.taken_texts(docs, weights=(1, 3, 2, 2), seed=1).collect():
+        words[r.doc_id] += len(r.text.split())
+        assert len(set(r.text.split())) == len(r.text.split())
+    assert all(words[d] == r.taken for d, r in got.items())
+
+
 def test_mix_takes_every_kind_of_row(edge_documents, no_documents):
     got = mixing.mix_documents(edge_documents).toPandas()
     assert len(got) == edge_documents.count() and (got.taken <= 3 * got["size"]).all()
