@@ -6,13 +6,14 @@ text repeats add nothing to it.  Counts are absolutely discounted, and what the
 continuation counts of both classes together.  The discounts are in proportion to the size of a class, so that
 what is rare rests on the shared counts and says nothing for either class.
 
-The two log-likelihoods are subtracted and divided by the number of words, for the whole text and for each run of
-PASSAGE words.  That of the text and the largest of its runs are the features of a logistic calibration, fitted on labelled
-documents that the counts leave out.
-
-Pairs of words are counted over the whole corpus.  For scoring, counts are kept in a fixed number of hash slots, each
-for the most frequent word that falls into it, so that the tables sent to the workers have a bounded size at any
-scale.  What has no slot is rare and rests on the shared counts.
+The two log-likelihoods are subtracted, for each word and, divided by the number of words, for the whole text.  That of the
+text and the largest of its words (toxic words stand among ordinary ones) are the features of a logistic calibration, fitted on
+labelled documents that the counts leave out.
+
+Pairs of words are counted over the whole corpus.  A word of which no count outlasts its discount rests on the shared
+counts in both classes alike, so the difference of the logarithms is the same for all such words and they need no table.  Of
+the others, those after the most words are sent to the workers, up to a fixed number.  If there are more, the words of the
+documents that the workers do not have are joined with the rest, so no word is given up at any scale.
 """
 
 from __future__ import annotations
@@ -32,12 +33,12 @@ from cairnlake.llm.workers import map_batches
 
 #: Bits of a word's hash, and of the hash of the word before it, that tell words apart.
 WORD_BITS, BEFORE_BITS = 40, 24
-#: Slots of the word tables: 2 MB for each column of single floats.
-SLOT_BITS = 19
+#: Words that are sent to the workers: 16 bytes for each.
+SENT_WORDS = 1 << 20
+#: Words are sent in steps of their counts, each by this factor above the one before it.
+STEP = 1.05
 #: Taken off every count of the smaller class; off those of the other, as many more as it has more contexts.
 DISCOUNT = 4.0
-#: Words in a passage: one, as toxic words stand among ordinary ones.
-PASSAGE = 1
 #: Of the documents to learn from, one in so many is kept for the calibration ...
 CALIBRATION_PARTS = 8
 #: ... which takes at most so many of each label.
@@ -73,42 +74,72 @@ def tokens(texts: Texts) -> Tokens:
 
 @dataclass(frozen=True)
 class Models:
-    """Tables by slot of a word, and the calibration.  Class 0 is ordinary, class 1 toxic."""
+    """Differences of log-likelihoods, toxic less ordinary, by word, and the calibration."""
 
-    word_of: np.ndarray  # [slot]: the word it is for
-    likely: np.ndarray  # [class, slot or, at the end, any other word]: probability
+    words: np.ndarray  # ascending: the words sent
+    ratio: np.ndarray  # theirs
+    other: float  # that of a word that no table has
+    rest: DataFrame | None  # (word, ratio) of the words with a table that are not sent, if any
     weights: np.ndarray
 
-    def difference(self, found: Tokens) -> np.ndarray:
-        """Log-likelihood of each word under the toxic model, less that under the ordinary one."""
-        slot = (found.word >> np.uint64(WORD_BITS - SLOT_BITS)).astype(np.int64)
-        slot = np.where(self.word_of[slot] == found.word, slot, len(self.word_of))
-        ratio = np.log(self.likely[1].astype(np.float64)) - np.log(self.likely[0].astype(np.float64))
-        return ratio[slot]
-
-    def features(self, texts: Texts) -> np.ndarray:
-        """Per text: the largest difference per word of a passage, and that of the whole text; 0 without words."""
-        found = tokens(texts)
-        count = np.diff(found.bounds)
-        out = np.zeros((len(texts), 2))
-        if not len(found.word):
-            return out
-        total = np.zeros(len(found.word) + 1)
-        np.cumsum(self.difference(found), out=total[1:])
-        out[:, 1] = (total[found.bounds[1:]] - total[found.bounds[:-1]]) / np.maximum(count, 1)
-        # Passages begin at every word that has enough after it; a short text is one passage.
-        left = found.bounds[1:][found.text] - np.arange(len(found.word))
-        width = np.minimum(PASSAGE, count[found.text])
-        whole = left >= width
-        at = np.flatnonzero(whole)
-        mean = (total[at + width[at]] - total[at]) / width[at]
-        full = count > 0
-        head = np.searchsorted(found.text[at], np.flatnonzero(full))
-        out[full, 0] = np.maximum.reduceat(mean, head)
-        return out
-
-    def score(self, values: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(values @ self.weights[:-1] + self.weights[-1], -500, 500)))
+
+def _features(models: Models, rows: DataFrame) -> DataFrame:
+    """``key, most, mean`` of every row of ``rows(key, text)``: the largest difference of a word, and the mean; 0 without words."""
+    words, ratio, other, listed = models.words, models.ratio, models.other, models.rest is not None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, texts in read_texts(batch.column("text")):
+                found = tokens(texts)
+                at = np.minimum(np.searchsorted(words, found.word), max(len(words) - 1, 0))
+                sent = words[at] == found.word if len(words) else np.zeros(len(found.word), dtype=bool)
+                own = np.full(len(found.word), other)
+                own[sent] = ratio[at[sent]]
+                total = np.bincount(found.text, own, minlength=len(texts))
+                count = np.diff(found.bounds)
+                # The largest of the words that are certain: of those sent, and of all if there are no others to join.
+                most = np.full(len(texts), -np.inf)
+                certain = sent if listed else np.ones(len(sent), dtype=bool)
+                np.maximum.at(most, found.text[certain], own[certain])
+                columns = [batch.column("key").slice(first, len(texts)), pa.array(count, pa.int64()), pa.array(total), pa.array(most)]
+                if listed:
+                    order = np.lexsort((found.word[~sent], found.text[~sent]))
+                    text, word = found.text[~sent][order], found.word[~sent][order]
+                    head = np.flatnonzero(np.r_[True, (text[1:] != text[:-1]) | (word[1:] != word[:-1])]) if len(text) else np.zeros(0, int)
+                    times = np.diff(np.r_[head, len(text)])
+                    ends = pa.array(np.r_[0, np.cumsum(np.bincount(text[head], minlength=len(texts)))], pa.int32())
+                    columns += [
+                        pa.ListArray.from_arrays(ends, pa.array(word[head].view(np.int64))),
+                        pa.ListArray.from_arrays(ends, pa.array(times, pa.int64())),
+                    ]
+                names = ["key", "count", "total", "most", "words", "times"][: len(columns)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    kind = rows.schema["key"].dataType.simpleString()
+    schema = f"key {kind}, count long, total double, most double" + (", words array<long>, times array<long>" if listed else "")
+    table = map_batches(rows, run, schema)
+    mean = F.col("total") / F.greatest("count", F.lit(1))
+    if listed:
+        # Rows may repeat; their numbers are fixed once they are stored.
+        table = stored(table.withColumn("_row", F.monotonically_increasing_id()), "words-to-join")
+        asked = table.select("_row", F.explode(F.arrays_zip("words", "times")).alias("_w"))
+        joined = (
+            asked.select("_row", F.col("_w.words").alias("word"), F.col("_w.times").alias("times"))
+            .join(models.rest, "word")
+            .groupBy("_row")
+            .agg(
+                F.sum(F.col("times") * (F.col("ratio") - F.lit(other))).alias("_more"),
+                F.max("ratio").alias("_most"),
+                F.count(F.lit(1)).alias("_joined"),
+            )
+        )
+        mean = (F.col("total") + F.coalesce("_more", F.lit(0.0))) / F.greatest("count", F.lit(1))
+        unseen = F.when(F.size("words") > F.coalesce("_joined", F.lit(0)), F.lit(other))
+        table = table.join(joined, "_row", "left").withColumn("most", F.greatest("most", "_most", unseen))
+    full = F.col("count") > 0
+    return table.select(
+        "key", F.when(full, F.col("most")).otherwise(0.0).alias("most"), F.when(full, mean).otherwise(0.0).alias("mean")
+    )
 
 
 def count_words(sample: DataFrame) -> DataFrame:
@@ -136,32 +167,39 @@ def count_words(sample: DataFrame) -> DataFrame:
 
 
 def fit_tables(counts: DataFrame) -> Models:
-    """The models' tables from the words' counts; the driver gets the totals and one row for each slot at most."""
+    """The models' tables from the words' counts; the driver gets totals, and SENT_WORDS rows at most."""
     sums = counts.agg(
         *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("c0", "c1", "both")), F.count(F.lit(1)).alias("n")
     ).first()
     totals = [max(float(sums["c0"]), 1.0), max(float(sums["c1"]), 1.0)]
     discounts = [DISCOUNT * total / min(totals) for total in totals]
+    left = [F.greatest(F.col(f"c{c}") - discounts[c], F.lit(0.0)) for c in (0, 1)]
     # The share of a class that the discounts leave to the shared counts, from all words.
-    certain = counts.agg(
-        *(F.coalesce(F.sum(F.greatest(F.col(f"c{c}") - discounts[c], F.lit(0.0))), F.lit(0.0)) for c in (0, 1))
-    ).first()
-    slot = F.shiftrightunsigned("word", WORD_BITS - SLOT_BITS).cast("int").alias("slot")
-    top = counts.groupBy(slot).agg(F.max(F.struct("both", "word", "c0", "c1")).alias("row"))
-    rows = top.select("slot", "row.*").toArrow()
-    at = rows["slot"].to_numpy()
-    word_of = np.full(1 << SLOT_BITS, np.uint64(2**64 - 1))
-    word_of[at] = rows["word"].to_numpy().view(np.uint64)
+    certain = counts.agg(*(F.coalesce(F.sum(own), F.lit(0.0)) for own in left)).first()
+    free = [max(totals[c] - certain[c], 1e-9) for c in (0, 1)]
     mass = float(sums["both"]) + 0.5 * (float(sums["n"]) + 1)
-    # A word without a slot is taken to stand after one word.
-    shared = np.full((1 << SLOT_BITS) + 1, 1.5 / mass)
-    shared[at] = (rows["both"].to_numpy() + 0.5) / mass
-    likely = []
-    for c in (0, 1):
-        own = np.zeros(len(shared))
-        own[at] = np.maximum(rows[f"c{c}"].to_numpy() - discounts[c], 0)
-        likely.append((own + (totals[c] - certain[c]) * shared) / totals[c])
-    return Models(word_of, np.stack(likely).astype(np.float32), np.zeros(3))
+    shared = (F.col("both") + 0.5) / mass
+    likely = [(left[c] + free[c] * shared) / totals[c] for c in (0, 1)]
+    table = stored(
+        counts.where((F.col("c0") > discounts[0]) | (F.col("c1") > discounts[1])).select(
+            "word", (F.log(likely[1]) - F.log(likely[0])).alias("ratio"), F.floor(F.log("both") / np.log(STEP)).cast("int").alias("step")
+        ),
+        "word-ratios",
+    )
+    least, room = None, SENT_WORDS
+    steps = sorted(table.groupBy("step").count().collect(), reverse=True)
+    for step, n in steps:
+        if n > room:
+            break
+        least, room = step, room - n
+    sent = (table.where(F.col("step") >= least) if least is not None else table.limit(0)).select("word", "ratio").toArrow()
+    word, ratio = sent["word"].to_numpy().view(np.uint64), sent["ratio"].to_numpy()
+    order = np.argsort(word)
+    rest = None
+    if sum(n for _, n in steps) > len(word):
+        rest = (table if least is None else table.where(F.col("step") < least)).select("word", "ratio")
+    other = float(np.log(free[1] / totals[1]) - np.log(free[0] / totals[0]))
+    return Models(word[order], ratio[order], other, rest, np.zeros(3))
 
 
 def calibrate(values: np.ndarray, toxic: np.ndarray) -> np.ndarray:
@@ -214,19 +252,10 @@ def learn(docs: DataFrame, labels: DataFrame, allowed: Column) -> Models:
     kept = F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATION_PARTS)) == 0
     models = fit_tables(stored(count_words(_different_texts(docs, labels, allowed & ~kept)), "words"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, texts in read_texts(batch.column("text")):
-                values = models.features(texts)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("_label").slice(first, len(texts)), pa.array(values[:, 0]), pa.array(values[:, 1])],
-                    names=["label", "most", "mean"],
-                )
-
     sample = labelled_sample(docs, labels, "toxic", allowed & kept, CALIBRATION_PER_CLASS)
-    table = map_batches(sample, run, "label int, most double, mean double").toArrow()
+    table = _features(models, sample.select(F.col("_label").cast("int").alias("key"), "text")).toArrow()
     values = np.column_stack([table["most"].to_numpy(), table["mean"].to_numpy()])
-    toxic = table["label"].to_numpy() == 1
+    toxic = table["key"].to_numpy() == 1
     order = np.lexsort((values[:, 1], values[:, 0], toxic))
     return replace(models, weights=calibrate(values[order], toxic[order]))
 
@@ -239,16 +268,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, parts: int = 5, part: in
     """
     models = learn(docs, labels, ~held_out(F.col("doc_id"), parts, part))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, texts in read_texts(batch.column("text")):
-                scores = models.score(models.features(texts))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, len(texts)), pa.array(scores)], names=["doc_id", "score"]
-                )
-
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
-    return map_batches(rows, run, "doc_id long, score double").select(
+    rows = docs.select(docs["doc_id"].cast("long").alias("key"), docs["text"].alias("text"))
+    most, mean, last = (F.lit(float(w)) for w in models.weights)
+    score = 1 / (1 + F.exp(-F.greatest(F.least(F.col("most") * most + F.col("mean") * mean + last, F.lit(500.0)), F.lit(-500.0))))
+    return _features(models, rows).select(F.col("key").alias("doc_id"), score.alias("score")).select(
         "doc_id",
         held_out(F.col("doc_id"), parts, part).alias("held_out"),
         "score",

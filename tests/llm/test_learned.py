@@ -64,3 +64,32 @@ def test_counts_are_of_distinct_words_before(spark):
     row = counts[counts.word == int(found)].iloc[0]
     # bad: after the start and after "you" in toxic texts, after "so" in ordinary ones.
     assert (row.c1, row.c0, row.both) == (2, 1, 3)
+
+
+def test_no_word_is_lost_to_a_commoner_one(spark, monkeypatch):
+    """Toxic words beside commoner ordinary ones with the same leading bits, sent to the workers or joined."""
+    labels, texts = [], []
+    word = lambda w: int(kneser_ney.tokens(next(read_texts(pa.array([w])))[1]).word[0])
+    for i in range(240):
+        toxic = i % 3 == 0
+        words = [f"p{i}", "vile" if toxic else "kind", f"q{i}", "foul" if toxic and i % 2 else "calm", "so"]
+        texts.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    texts += [texts[0], (None, "vile"), (900, None), (901, "vile vile other")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    plain = kneser_ney.score_documents(docs, known).toPandas()
+    for most in (0, 1, 2):
+        monkeypatch.setattr(kneser_ney, "SENT_WORDS", most, raising=False)
+        got = kneser_ney.score_documents(docs, known).toPandas()
+        by = ["doc_id", "score"]
+        assert np.allclose(got.sort_values(by).score.to_numpy(), plain.sort_values(by).score.to_numpy(), atol=1e-9)
+    # Two words that share every leading bit: the commoner one is ordinary, the other toxic.
+    base = word("vile")
+    twin = base ^ 1
+    counts = [(base, 0, 300, 300), (twin, 1000, 0, 1000)] + [(n, 30, 30, 60) for n in range(50)]
+    monkeypatch.setattr(kneser_ney, "SENT_WORDS", 1 << 20)
+    rows = spark.createDataFrame([(1, "vile"), (2, "neverseen")], "key long, text string")
+    models = kneser_ney.fit_tables(spark.createDataFrame(counts, "word long, c0 long, c1 long, both long"))
+    got = {r.key: r.most for r in kneser_ney._features(models, rows).collect()}
+    assert got[1] > got[2] + 2
