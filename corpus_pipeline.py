@@ -47,7 +47,7 @@ STAGES = [
     ("encode", encode),
 ]
 
-#: SQL can express neither the learned ranking nor the encoding; tests/llm/test_pipeline.py has a plain version.
+#: SQL can express neither the learned ranking nor the encoding; tests/llm/test_pieces.py checks properties of each stage.
 ORACLE_SQL = None
 
 
