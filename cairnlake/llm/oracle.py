@@ -77,5 +77,78 @@ FROM words LEFT JOIN kept USING (doc_id)
 """
 
 
+#: Masks of documents, all orders, and sums over the cells of a part for each order and step.
+OP11 = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), firsts AS (SELECT t, min(doc_id) AS first FROM texts GROUP BY t),
+known AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS bad FROM labels GROUP BY doc_id),
+masks AS (
+  SELECT part, (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+      + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t))::INT
+      + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(d.doc_id > first, false)::INT AS m,
+    coalesce(good, false)::INT AS good, coalesce(bad, false)::INT AS bad
+  FROM texts d JOIN firsts USING (t) LEFT JOIN known k ON k.doc_id = d.doc_id
+), cells AS (SELECT part, m, count(*) AS n, sum(good) AS good, sum(bad) AS bad FROM masks GROUP BY ALL),
+orders AS (
+  SELECT '' AS o, 0 AS used
+  UNION ALL
+  SELECT o || chr(65 + i), used | (1 << i) FROM orders, (SELECT unnest(range(5))::INT AS i) WHERE used & (1 << i) = 0
+), steps AS (
+  SELECT o, k, 1 << (ascii(substr(o, k, 1)) - 65) AS bit,
+    list_sum([1 << (ascii(substr(o, j, 1)) - 65) FOR j IN range(1, k)]) AS earlier
+  FROM (SELECT o, unnest(range(1, 6))::INT AS k FROM orders WHERE length(o) = 5)
+), counted AS (
+  SELECT part, o, k, bit,
+    coalesce(sum(n) FILTER (m & (coalesce(earlier, 0)::INT | bit) = 0), 0) AS kept,
+    coalesce(sum(n) FILTER (m & bit <> 0 AND m & coalesce(earlier, 0)::INT = 0), 0) AS removed,
+    coalesce(sum(n) FILTER (m & bit <> 0 AND m & coalesce(earlier, 0)::INT <> 0), 0) AS redundant,
+    coalesce(sum(n) FILTER (m = bit), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (m & bit <> 0 AND m & coalesce(earlier, 0)::INT = 0), 0) AS good_lost,
+    coalesce(sum(bad) FILTER (m & bit <> 0 AND m & coalesce(earlier, 0)::INT = 0), 0) AS toxic_lost
+  FROM steps, cells GROUP BY ALL
+)
+SELECT part, o AS filter_order, k AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+  unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM counted
+"""
+
+#: All runs of words of the documents as long as some window, equal to a window.
+OP12 = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), item_words AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i+9], ' ') AS s
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 8, 2))) AS i FROM item_words WHERE len(w) > 0)
+), runs AS (
+  SELECT doc_id, i, n, array_to_string(w[i:i+n-1], ' ') AS s
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM words, (SELECT DISTINCT n FROM windows))
+), found AS (SELECT * FROM runs SEMI JOIN windows USING (n, s)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id),
+listed AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found JOIN windows USING (n, s)) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_format": OP3, "op4_chosen_path": OP4, "op5_seed_extend": OP5, "op7_stream_dedup": OP7}
+    return {
+        "op3_chat_format": OP3,
+        "op4_chosen_path": OP4,
+        "op5_seed_extend": OP5,
+        "op7_stream_dedup": OP7,
+        "op11_filter_audit": OP11,
+        "op12_prefix_join": OP12,
+    }

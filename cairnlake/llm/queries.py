@@ -7,7 +7,10 @@ from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cairnlake.llm import bradley_terry, chat_format, chosen_path, i_match, kneser_ney, mixing, oracle, seed_extend, sentence_piece, sharding, stream_dedup
+from cairnlake.llm import (
+    bradley_terry, chat_format, chosen_path, conversation_repair, filter_audit, i_match, kneser_ney, mixing, oracle, prefix_join,
+    seed_extend, sentence_piece, sharding, stream_dedup,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +75,19 @@ def op10_feistel_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, folder), shards=40, seed=10)
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit_documents(documents(spark, folder), labels(spark, folder))
+
+
+def op12_prefix_join(spark: SparkSession, folder: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
+    return prefix_join.find_contamination(documents(spark, folder), benchmark, window=10)
+
+
+def op13_checkpoint_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_repair.repair_conversations(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline  # stands at the top of the repository and uses this module
 

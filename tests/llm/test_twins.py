@@ -10,7 +10,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     numbers = [int(n[2:].split("_")[0]) for n in queries.queries() if n != "pipeline"]
-    assert sorted(numbers) == list(range(1, 11)) and "pipeline" in queries.queries()
+    assert sorted(numbers) == list(range(1, 14)) and "pipeline" in queries.queries()
 
 
 @pytest.mark.parametrize("name", list(oracle.oracle_sql()))
