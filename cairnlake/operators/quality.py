@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 class AssertionFailed(Exception):
@@ -55,6 +55,38 @@ def enforce(violations: DataFrame) -> None:
         raise AssertionFailed(str(first[0].asDict()))
 
 
+#: Rows of assertions that refused a version: the run, the model, the assertion and the row as JSON.
+VIOLATIONS = "run string, model string, assertion string, violation string"
+
+
+def stored_form(violations: DataFrame, run: str, model: str) -> DataFrame:
+    """Violations of any assertion in the columns of :data:`VIOLATIONS`."""
+    rest = [name for name in violations.columns if name != "assertion"]
+    return violations.select(
+        F.lit(run).alias("run"), F.lit(model).alias("model"), "assertion", F.to_json(F.struct(*rest)).alias("violation")
+    )
+
+
+def keep_violations(assertions: list[DataFrame], path: str, run: str, model: str) -> DataFrame | None:
+    """Append the violations of all assertions on a model to a table; None, and nothing written, if there are none.
+
+    The folder is named by run and model, so what a run found stays whatever later runs find.
+    """
+    if not assertions:
+        return None
+    found = reduce(DataFrame.unionByName, (stored_form(rows, run, model) for rows in assertions))
+    if found.isEmpty():
+        return None
+    folder = f"{path.rstrip('/')}/run={run}/model={model}"
+    found.drop("run", "model").write.mode("append").parquet(folder)
+    return found.sparkSession.read.schema("assertion string, violation string").parquet(folder)
+
+
+def violations(spark: SparkSession, path: str) -> DataFrame:
+    """All stored violations, of all runs."""
+    return spark.read.schema(VIOLATIONS).option("basePath", path).parquet(path).select("run", "model", "assertion", "violation")
+
+
 def refuse_null(table: DataFrame, columns: list[str]) -> DataFrame:
     """The table itself, failing at run time on the first row with a NULL in a required column."""
     checked = [

@@ -4,15 +4,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 #: A key is heavy from this share of all rows on, or from so many mean partitions if that is less.
 HEAVY_SHARE = 0.005
 HEAVY_PARTITIONS = 2
 #: Counters of the frequency sketch for each heavy key there can be; its error is below one row in all counters.
 COUNTERS_PER_KEY, MOST_COUNTERS = 50, 1_000_000
-#: Places per partition that a heavy key's rows are dealt to; several, as places can share a partition.
-PLACES_PER_PARTITION = 4
 #: Rows one task writes for a single repeated row before the repetition is split up.
 REPEAT_CHUNK = 65_536
 
@@ -44,46 +42,33 @@ def heavy_keys(table: DataFrame, key: str, share: float = HEAVY_SHARE) -> DataFr
     ).where(F.col("_share") >= share)
 
 
-def salted_join(
-    probe: DataFrame,
-    build: DataFrame,
-    key: str,
-    spread_by: str | Column,
-    how: str = "inner",
-    share: float | None = None,
+def split_join(
+    probe: DataFrame, build: DataFrame, key: str, how: str = "inner", share: float | None = None
 ) -> DataFrame:
     """Join ``probe`` to ``build`` on ``key`` (inner, or left keeping every probe row).
 
-    The probe side may be skewed; ``build`` has few rows per key.  Rows of a heavy probe key are
-    spread over several partitions by a hash of ``spread_by``, in proportion to the key's share, and
-    the build rows of that key (only of that key) are copied to each of them.  The spread depends on
-    row content alone, so a task that runs again sends the same rows to the same place.
+    The probe side may be skewed; ``build`` has a few rows per key at most, as an aggregate by the key has.  The probe rows of
+    normal keys go to where the build rows of their key are; an aggregate or ranking by the key is not shuffled again.  Those of
+    heavy keys stay where they are and meet a broadcast of the build rows of these keys only.  So do rows without a
+    key, which match nothing.
 
-    The heavy keys are broadcast: one row for each part of ``share``, half as many as there are partitions or 200.
+    Two things are broadcast: the heavy keys, one for each part of ``share`` (half as many as there are partitions, or 200),
+    and their build rows.  The probe side is read three times, its key column alone once; store it if it is costly.
     """
     if how not in ("inner", "left"):
-        raise ValueError(f"salted_join supports inner and left, not {how}")
+        raise ValueError(f"split_join supports inner and left, not {how}")
     partitions = int(probe.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = F.col(spread_by) if isinstance(spread_by, str) else spread_by
-    heavy = heavy_keys(probe, key, share or heavy_share(partitions)).select(
-        key,
-        F.ceil(F.col("_share") * partitions * PLACES_PER_PARTITION + 1).cast("int").alias("_parts"),
-    )
-    # A NULL key matches nothing, so its rows can lie anywhere.
-    parts = F.when(F.col(key).isNull(), F.lit(partitions)).otherwise(
-        F.coalesce(F.col("_parts"), F.lit(1))
-    )
-    salted = (
-        probe.join(F.broadcast(heavy), key, "left")
-        .withColumn("_salt", F.pmod(F.xxhash64(spread), parts).cast("int"))
-        .drop("_parts")
-    )
-    copies = (
-        build.join(F.broadcast(heavy), key, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)))
-        .drop("_parts")
-    )
-    return salted.join(copies, [key, "_salt"], how).drop("_salt")
+    heavy = F.broadcast(heavy_keys(probe, key, share or heavy_share(partitions)).select(F.col(key).alias("_heavy")))
+    listed = F.col(key) == F.col("_heavy")
+    has_key = F.col(key).isNotNull()
+    normal = probe.where(has_key).join(heavy, listed, "left_anti").join(build, key, how)
+    # An inner join is not pushed below an aggregate, so both branches share the build side's shuffle.
+    few = F.broadcast(build.join(heavy, listed).drop("_heavy"))
+    joined = normal.unionByName(probe.join(heavy, listed, "left_semi").join(few, key, how))
+    if how == "left":
+        nothing = {f.name: F.lit(None).cast(f.dataType) for f in build.schema.fields if f.name != key}
+        joined = joined.unionByName(probe.where(~has_key).withColumns(nothing) if nothing else probe.where(~has_key))
+    return joined
 
 
 def repeat_rows(table: DataFrame, times: str, keys: tuple[str, ...]) -> DataFrame:

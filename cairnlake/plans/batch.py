@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cairnlake import schemas
 from cairnlake.operators import quality
 from cairnlake.plans import behaviour, customers, products, sales
+from cairnlake.session import scratch_path
 from cairnlake.sinks.versioned import VersionedTable, with_date
 from cairnlake.sources import tables
+from cairnlake.storage import Storage
+
+#: The assertions on a model, given its staged version.
+Assertions = Callable[[DataFrame], list[DataFrame]]
 
 
 @dataclass(frozen=True)
@@ -41,8 +47,11 @@ class BatchJob:
     """Materialises the models as versioned tables below ``root``.
 
     A model reads the stored result of the models before it, so nothing is computed twice.  Its result is checked
-    before it is published: a violated assertion leaves the version before it in place and stops the job.
-    ``keep`` versions of each table stay.
+    before it is published: a violated assertion leaves the version before it in place and stops the job, and its
+    violations are appended to ``root/violations`` under the id of the run.  ``keep`` versions of each table stay.
+
+    The customer history grows by what changed: a run rewrites the dates on which it adds, drops or ends a version and takes
+    the folders of all others over, until there are so many that it is written as one again.
     """
 
     def __init__(
@@ -58,24 +67,26 @@ class BatchJob:
         self.bronze = bronze
         self.root = root.rstrip("/")
         self.money_scale = money_scale
+        self.run_id = uuid.uuid4().hex
+
+    @property
+    def violations_path(self) -> str:
+        return f"{self.root}/violations"
 
     def table(self, name: str) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.root}/{name}")
 
-    def _publish(
-        self,
-        name: str,
-        table: DataFrame,
-        assertions: Callable[[DataFrame], list[DataFrame]] = lambda staged: [],
-        partition_by: str | None = None,
-        sort_by: tuple[str, ...] = (),
-    ) -> None:
+    def _check(self, name: str, assertions: Assertions) -> Callable[[DataFrame], None]:
         def check(staged: DataFrame) -> None:
-            for violations in assertions(staged):
-                quality.enforce(violations)
+            kept = quality.keep_violations(assertions(staged), self.violations_path, self.run_id, name)
+            if kept is not None:
+                quality.enforce(kept)
 
+        return check
+
+    def _publish(self, name: str, table: DataFrame, assertions: Assertions = lambda staged: []) -> None:
         target = self.table(name)
-        target.replace(table, partition_by, sort_by, check)
+        target.replace(table, check=self._check(name, assertions))
         target.drop_older(self.keep)
 
     def build_products(self) -> None:
@@ -95,16 +106,29 @@ class BatchJob:
         )
 
     def build_customers(self) -> None:
-        current = self.table("d_customers").read(schemas.CUSTOMERS)
-        snapshot = customers.customer_snapshots(self.bronze.sales_transactions)
-        merged = with_date(customers.merge(snapshot, current), "valid_from", "valid_from_date")
-        self._publish(
-            "d_customers",
-            merged,
-            lambda staged: [quality.unique_key(staged, customers.KEY, "d_customers_unique")],
-            "valid_from_date",
-            ("billing_country",),
+        target, date = self.table("d_customers"), "valid_from_date"
+        path = scratch_path(self.spark, "customer-snapshot")
+        customers.customer_snapshots(self.bronze.sales_transactions).write.parquet(path)
+        snapshot = self.spark.read.schema(schemas.CUSTOMERS).parquet(path)
+        layout = {"sort_by": ("billing_country",)}
+        check = self._check(
+            "d_customers", lambda staged: [quality.unique_key(staged, customers.KEY, "d_customers_unique")]
         )
+        number = max(target.versions(), default=0)
+        if target.can_take_over(date, number or None):
+            current = target.read(version=number)
+            touched = [row["date"] for row in customers.touched_dates(snapshot, current).collect()]
+            inside = F.col(date).isin([day for day in touched if day is not None])
+            if None in touched:
+                inside = inside | F.col(date).isNull()
+            before = current.where(inside).select(*schemas.CUSTOMERS.fieldNames())
+            merged = with_date(customers.merge(snapshot, before), "valid_from", date).where(inside)
+            target.replace_partitions(merged, touched, check=check, after=number, **layout)
+        else:
+            merged = customers.merge(snapshot, target.read(schemas.CUSTOMERS, number or None))
+            target.replace(with_date(merged, "valid_from", date), date, check=check, after=number, **layout)
+        target.drop_older(self.keep)
+        Storage(self.spark, path).delete(path)
 
     def build_behaviour(self) -> None:
         summary = behaviour.user_behavior_summary(
@@ -117,6 +141,7 @@ class BatchJob:
 
     def run(self, tags: set[str] | frozenset[str] = frozenset({"silver", "gold"})) -> list[str]:
         """Run the models that carry one of the tags and return their names."""
+        self.run_id = uuid.uuid4().hex
         models = [
             ("d_products", products.TAGS, self.build_products),
             ("f_sales", sales.TAGS, self.build_sales),

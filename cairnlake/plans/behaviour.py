@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from cairnlake.operators.skew import salted_join
+from cairnlake.operators.skew import split_join
 from cairnlake.plans.customers import current_customers
 
 TAGS = {"gold", "user_behavior"}
@@ -59,15 +59,15 @@ def user_behavior_summary(
 ) -> DataFrame:
     """Purchases of every user with an open customer version, with the categories they browsed.
 
-    Both aggregates leave their rows partitioned by user, so their join needs no further shuffle.
-    ``customers`` should be a stored table: its user column is read once more to find users with
-    very many versions.  A user with several open versions appears once for each; versions differ in their row hash,
-    which is what spreads a user with very many of them.
+    Both aggregates leave their rows partitioned by user, so neither their join nor that with the customers shuffles them
+    again.  ``customers`` should be a stored table: its user column is read once more to find users with
+    very many versions.  A user with several open versions appears once for each; the versions of a user with very many of them
+    stay where they are and meet a broadcast of that user's row.
     """
     purchases = user_purchase_patterns(sales, money_scale)
     behaviour = purchases.join(browsed_categories(clickstream), "user_id", "left")
-    countries = current_customers(customers).select("user_id", "billing_country", "row_hash")
-    return salted_join(countries, behaviour, "user_id", "row_hash").select(
+    countries = current_customers(customers).select("user_id", "billing_country")
+    return split_join(countries, behaviour, "user_id").select(
         "user_id",
         "billing_country",
         "total_orders",

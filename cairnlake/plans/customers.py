@@ -6,11 +6,13 @@ keeps every quirk of the SQL this model replaces.  The *intended* one is a param
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cairnlake.functions.text import address_hash, row_hash
 from cairnlake.operators.ranking import first_row_per_key
-from cairnlake.operators.skew import repeat_rows, salted_join
+from cairnlake.operators.skew import repeat_rows, split_join
 
 TAGS = {"silver", "customer"}
 KEY = ["user_id", "row_hash"]
@@ -63,7 +65,7 @@ def close_out(snapshot: DataFrame, current: DataFrame, only_open: bool = False)
     """
     stored = current.where(F.col("valid_to").isNull()) if only_open else current
     return (
-        salted_join(stored, _as_changes(snapshot), "user_id", "row_hash", "inner")
+        split_join(stored, _as_changes(snapshot), "user_id")
         .where(F.col("_new_hash") != F.col("row_hash"))
         .select(
             "user_id",
@@ -102,7 +104,7 @@ def merge(snapshot: DataFrame, current: DataFrame, only_open: bool = False) -> D
     way to it, and other stored versions of its user get their end: one join and a union.
     The snapshot has one row per user, the stored table one per user and row hash.
     """
-    matched = salted_join(current, _as_changes(snapshot), "user_id", "row_hash", "left")
+    matched = split_join(current, _as_changes(snapshot), "user_id", "left")
     replaced = F.coalesce(F.col("row_hash") == F.col("_new_hash"), F.lit(False))
     changed = F.col("row_hash") != F.col("_new_hash")
     if only_open:
@@ -118,6 +120,27 @@ def merge(snapshot: DataFrame, current: DataFrame, only_open: bool = False) -> D
     return kept.unionByName(snapshot)
 
 
+def touched_dates(snapshot: DataFrame, current: DataFrame, only_open: bool = False) -> DataFrame:
+    """``date``: the dates of ``valid_from`` on which :func:`merge` adds, drops or changes a row.
+
+    Partitions of all other dates stay as they are.  There are as many dates as the history has days.
+    """
+    fields = [c for c in snapshot.columns if c != "user_id"]
+    new = snapshot.select("user_id", *(F.col(c).alias(f"_new_{c}") for c in fields))
+    matched = split_join(current, new, "user_id")
+    same_key = F.col("row_hash") == F.col("_new_row_hash")
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_new_{c}")) for c in fields))
+    ended = ~F.col("valid_to").eqNullSafe(F.col("_new_valid_from"))
+    if only_open:
+        ended = ended & F.col("valid_to").isNull()
+    both = F.array(F.to_date("valid_from"), F.to_date("_new_valid_from"))
+    changed = matched.select(
+        F.explode(F.when(same_key & ~same, both).when(~same_key & ended, F.slice(both, 1, 1))).alias("date")
+    )
+    added = snapshot.join(current.select(*KEY), KEY, "left_anti").select(F.to_date("valid_from").alias("date"))
+    return changed.unionByName(added).distinct()
+
+
 def current_customers(customers: DataFrame) -> DataFrame:
     """Open versions only."""
     return customers.where(F.col("valid_to").isNull())

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -9,39 +12,75 @@ class Storage:
     """The file system of a path."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self._hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-        self._files = self._hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        context = spark.sparkContext
+        self._hadoop, self._gateway = context._jvm.org.apache.hadoop.fs, context._gateway
+        self._configuration = context._jsc.hadoopConfiguration()
+        self._files = self._hadoop.Path(path).getFileSystem(self._configuration)
+
+    def names(self, folder: str, folders: bool, empty: bool = False) -> list[str]:
+        """Names of the folders, or of the files, directly below a folder; none if it is not there.
 
-    def names(self, folder: str, folders: bool) -> list[str]:
-        """Names of the folders, or of the files that are not empty, directly below a folder; none if it is not there."""
+        Files without content count only if ``empty``.
+        """
         path = self._hadoop.Path(folder)
         if not self._files.exists(path):
             return []
         return [
             entry.getPath().getName()
             for entry in self._files.listStatus(path)
-            if entry.isDirectory() == folders and (folders or entry.getLen() > 0)
+            if entry.isDirectory() == folders and (folders or empty or entry.getLen() > 0)
         ]
 
     def is_folder(self, path: str) -> bool:
         return self._files.getFileStatus(self._hadoop.Path(path)).isDirectory()
 
-    def claim(self, path: str, text: str) -> bool:
-        """Create a small file unless it is there already.  Of several that try at once, one succeeds.
+    def size(self, path: str) -> int | None:
+        """Bytes of a file; None if it is not there."""
+        place = self._hadoop.Path(path)
+        return self._files.getFileStatus(place).getLen() if self._files.exists(place) else None
 
-        That holds where the storage can create a file only if it is absent (HDFS, local disks, and object stores with
-        conditional writes).  On others a table needs a single writer.
+    def create(self, path: str) -> bool:
+        """Create an empty file unless it is there already.  Of several that try at once, one succeeds.
+
+        That holds on local disks, on HDFS, and on object stores with conditional writes.
         """
+        place = self._hadoop.Path(path)
+        if self._files.getScheme() == "file":
+            name = place.toUri().getPath()
+            os.makedirs(os.path.dirname(name), exist_ok=True)
+            try:
+                os.close(os.open(name, os.O_CREAT | os.O_EXCL | os.O_WRONLY, 0o644))
+            except FileExistsError:
+                return False
+            return True
         try:
-            stream = self._files.create(self._hadoop.Path(path), False)
-        except Exception as error:
-            if "already exists" in str(error).lower():
+            self._files.create(place, False).close()
+        except Py4JJavaError as error:
+            if "AlreadyExists" in error.java_exception.getClass().getName():
                 return False
             raise
+        return True
+
+    def write(self, path: str, text: str) -> None:
+        """Write a small file of its own name."""
+        stream = self._files.create(self._hadoop.Path(path), False)
         try:
             stream.write(bytearray(text.encode()))
         finally:
             stream.close()
+
+    def move(self, source: str, target: str) -> bool:
+        """Give a file or folder another name unless that is taken; nobody sees a part of it."""
+        start, end = self._hadoop.Path(source), self._hadoop.Path(target)
+        self._files.mkdirs(end.getParent())
+        context = self._hadoop.FileContext.getFileContext(self._files.getUri(), self._configuration)
+        no_options = self._gateway.new_array(getattr(self._hadoop, "Options$Rename"), 0)
+        try:
+            context.rename(self._files.makeQualified(start), self._files.makeQualified(end), no_options)
+        except Py4JJavaError as error:
+            if "AlreadyExists" in error.java_exception.getClass().getName():
+                return False
+            raise
         return True
 
     def text(self, path: str) -> str:

@@ -114,6 +114,22 @@ def test_change_set_and_merge_against_brute_force(random_state, only_open):
     assert sorted((tuple(r) for r in upserted.collect()), key=str) == expected
 
 
+@pytest.mark.parametrize("only_open", [False, True])
+def test_touched_dates_are_those_on_which_the_merge_changes_a_row(spark, random_state, only_open):
+    snapshot, stored, _, _ = random_state
+    # Dates that differ, so that some stay as they are.
+    moved = stored.withColumn("valid_from", F.expr("valid_from - make_dt_interval(pmod(hash(row_hash), 400))"))
+    same = snapshot.limit(20).unionByName(moved)
+    current = spark.createDataFrame(
+        {(r.user_id, r.row_hash): r for r in same.collect()}.values(), schemas.CUSTOMERS
+    )
+    before = rows(current.withColumn("date", F.to_date("valid_from")))
+    after = rows(customers.merge(snapshot, current, only_open).withColumn("date", F.to_date("valid_from")))
+    changed = {row[-1] for row in (before - after) + (after - before)}
+    found = {row["date"] for row in customers.touched_dates(snapshot, current, only_open).collect()}
+    assert found == changed and 20 < len(changed) < len({row[-1] for row in before | after})
+
+
 def test_upsert_never_matches_null_keys(spark):
     table = spark.createDataFrame([("a", None, 1), ("b", "x", 1)], "k string, l string, v int")
     source = spark.createDataFrame([("a", None, 2), ("b", "x", 2)], "k string, l string, v int")
@@ -122,11 +138,30 @@ def test_upsert_never_matches_null_keys(spark):
     }
 
 
+def many_sales(spark, path):
+    """Sales of 300 users, and stored versions of which one user has two fifths."""
+    many = [(f"p-{i}", f"u{i % 300}", datetime(2022, 3, 4), f"Row {i}", "NL") for i in range(600)]
+    sales(spark, many).write.parquet(path)
+    snapshot = customers.customer_snapshots(spark.read.parquet(path))
+    versions = [tuple(r) for r in snapshot.collect()]
+    versions += [("u7", "NL", "a", f"h{i}", datetime(2021, 1, 1), None) for i in range(200)]
+    return snapshot, spark.createDataFrame(versions, schemas.CUSTOMERS)
+
+
+def test_change_set_and_merge_do_not_shuffle_the_snapshot_again(spark, tmp_path, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    snapshot, current = many_sales(spark, str(tmp_path / "s"))
+    for found in (customers.merge(snapshot, current), customers.close_out(snapshot, current)):
+        text = plan(found).split("Initial Plan")[0]
+        shuffles = [li for li in text.splitlines() if "Exchange hashpartitioning(user_id" in li and "Reused" not in li]
+        # The ranked sales and the stored versions, once each.
+        assert len(shuffles) == 2 and "_salt" not in text
+
+
 def test_merge_ranks_the_sales_once(spark, tmp_path, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    sales(spark, TWO * 50).write.parquet(str(tmp_path / "s"))
-    snapshot = customers.customer_snapshots(spark.read.parquet(str(tmp_path / "s")))
-    merged = customers.merge(snapshot, spark.createDataFrame(snapshot.collect(), schemas.CUSTOMERS))
+    snapshot, current = many_sales(spark, str(tmp_path / "s"))
+    merged = customers.merge(snapshot, current)
     text = plan(merged).split("Initial Plan")[0]
     assert "ReusedExchange" in text
     assert text.index("WindowGroupLimit") < text.index("FileScan")

@@ -1,3 +1,4 @@
+import re
 from datetime import datetime
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from cairnlake import schemas
 from cairnlake.plans import behaviour, products, sales
 from cairnlake.plans.batch import BatchJob, Bronze
+from cairnlake.operators import quality
 from cairnlake.operators.quality import AssertionFailed
 from cairnlake.sinks.versioned import VersionedTable
 from cairnlake.testbed import bronze
@@ -106,6 +108,51 @@ def test_batch_job_by_tag_and_twice(spark, job):
     assert job.table("d_customers").versions() == [1, 2]
 
 
+def test_second_run_rewrites_only_the_dates_that_change(spark, tmp_path):
+    """One customer moves and one is new; the folders of all other dates are taken over."""
+    def sale(number, user, month, address):
+        when = datetime(2021, month, 3, 4, number % 60)
+        return (f"s-{number}", user, when, 1.0, "USD", "card", "completed", "[]", address, "NL", when.date())
+
+    first = [sale(i, f"u{i}", 1 + i % 6, f"Row {i}") for i in range(12)]
+    # u0 turns out to have bought somewhere else before; u99 buys for the first time.
+    second = first + [(*sale(50, "u0", 1, "Old Row")[:2], datetime(2021, 1, 1), *sale(50, "u0", 1, "Old Row")[3:])]
+    second += [sale(51, "u99", 9, "New Row")]
+    empty = {
+        "product_catalog": spark.createDataFrame([], schemas.PRODUCT_CATALOG),
+        "clickstream_events": spark.createDataFrame([], schemas.CLICKSTREAM_EVENTS),
+    }
+
+    def run(entries):
+        entered = spark.createDataFrame(entries, schemas.SALES_TRANSACTIONS)
+        job = BatchJob(spark, Bronze(sales_transactions=entered, **empty), str(tmp_path), keep=3)
+        job.run({"customer"})
+        return job.table("d_customers")
+
+    def files(table):
+        found = table.read().withColumn("file", F.input_file_name()).collect()
+        return {(r.user_id, r.row_hash, r.valid_to): (r.valid_from_date, r.file) for r in found}
+
+    before = files(run(first))
+    table = run(second)
+    after = files(table)
+    new = set(after) - set(before)
+    assert {(user, end) for user, _, end in new} == {("u0", datetime(2021, 1, 1)), ("u0", None), ("u99", None)}
+    rewritten = {datetime(2021, 1, 3).date(), datetime(2021, 1, 1).date(), datetime(2021, 9, 3).date()}
+    assert {day for day, file in after.values() if file not in {f for _, f in before.values()}} == rewritten
+    assert all(after[k][1] == before[k][1] for k in before if before[k][0] not in rewritten)
+    # What a rewrite of everything gives.
+    whole = BatchJob(spark, Bronze(spark.createDataFrame(second, schemas.SALES_TRANSACTIONS), *empty.values()), "unused")
+    from cairnlake.plans import customers
+
+    merged = customers.merge(
+        customers.customer_snapshots(whole.bronze.sales_transactions), table.read(schemas.CUSTOMERS, 1)
+    )
+    assert rows(table.read(schemas.CUSTOMERS)) == rows(merged)
+    run(second)
+    assert files(table) == after and table.versions() == [1, 2, 3]
+
+
 def test_inputs_by_name(spark, job):
     for name in ("sales_transactions", "product_catalog", "clickstream_events"):
         getattr(job.bronze, name).createOrReplaceTempView(name)
@@ -122,6 +169,14 @@ def test_broken_assertion_stops_the_job(spark, job, tmp_path):
     with pytest.raises(AssertionFailed, match="d_products_unique"):
         broken.run()
     assert VersionedTable(spark, str(tmp_path / "f_sales")).versions() == []
+    kept = quality.violations(spark, broken.violations_path).collect()
+    assert {(r.run, r.model, r.assertion) for r in kept} == {(broken.run_id, "d_products", "d_products_unique")}
+    assert len(kept) == products.d_products(job.bronze.product_catalog).count()
+    first = broken.run_id
+    with pytest.raises(AssertionFailed):
+        broken.run({"silver"})
+    runs = {r.run for r in quality.violations(spark, broken.violations_path).select("run").collect()}
+    assert runs == {first, broken.run_id} and len(runs) == 2
 
 
 # --- plans -----------------------------------------------------------------------------------
@@ -158,6 +213,22 @@ def test_no_python_in_the_summary(stored, spark):
         assert node not in text
 
 
+def test_the_aggregate_of_the_summary_is_not_shuffled_again(stored, spark, tmp_path, conf):
+    from cairnlake.plans.customers import customer_snapshots
+
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    customer_snapshots(stored["sales_transactions"]).write.parquet(str(tmp_path / "c"))
+    fact = sales.f_sales(stored["sales_transactions"], products.d_products(stored["product_catalog"]))
+    summary = behaviour.user_behavior_summary(
+        fact, spark.read.parquet(str(tmp_path / "c")), stored["clickstream_events"]
+    )
+    lines = plan(summary, execute=False).splitlines()
+    by_user = [li for li in lines if re.search(r" Exchange hashpartitioning\(user_id#\d+, 8\)", li)]
+    # Purchases, categories (both in two branches, of which execution shares the shuffles) and the customers' own rows.
+    assert len(by_user) == 5 and not any("_salt" in line for line in lines)
+    assert "ReusedExchange" in plan(summary).split("Initial Plan")[0]
+
+
 def test_bestseller_is_split(spark, tmp_path, conf):
     """Half of all items are one product: adaptive execution splits its partition."""
     item = F.format_string(

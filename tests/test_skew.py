@@ -26,9 +26,9 @@ def test_heavy_keys_are_found_with_their_share(sides):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_salted_join_equals_a_plain_join(sides, how):
+def test_split_join_equals_a_plain_join(sides, how):
     probe, build = sides
-    assert rows(skew.salted_join(probe, build, "key", "row", how), "key", "row", "val") == rows(
+    assert rows(skew.split_join(probe, build, "key", how), "key", "row", "val") == rows(
         probe.join(build, "key", how), "key", "row", "val"
     )
 
@@ -36,19 +36,20 @@ def test_salted_join_equals_a_plain_join(sides, how):
 def test_a_hot_key_is_spread(sides, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    joined = skew.salted_join(*sides, "key", "row").where(F.col("key") == "hot")
+    joined = skew.split_join(*sides, "key").where(F.col("key") == "hot")
     tasks = joined.groupBy(F.spark_partition_id().alias("task")).count().collect()
     assert len(tasks) > 1 and max(t["count"] for t in tasks) < 1000
 
 
 def test_other_join_types_are_refused(sides):
     with pytest.raises(ValueError):
-        skew.salted_join(*sides, "key", "row", "full")
+        skew.split_join(*sides, "key", "full")
 
 
 def test_empty_probe(sides):
     probe, build = sides
-    assert skew.salted_join(probe.limit(0), build, "key", "row").count() == 0
+    assert skew.split_join(probe.limit(0), build, "key").count() == 0
+    assert skew.split_join(probe, build.limit(0), "key", "left").count() == probe.count()
 
 
 @pytest.mark.parametrize("chunk", [1, 3, 65_536])
@@ -69,7 +70,7 @@ def test_one_hot_row_is_repeated_by_many_tasks(spark, monkeypatch, conf):
 
 def test_only_the_heavy_keys_are_broadcast(sides, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    text = plan(skew.salted_join(*sides, "key", "row"), execute=False)
+    text = plan(skew.split_join(*sides, "key"), execute=False)
     assert "SortMergeJoin" in text and "approx_top_k" in text
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
@@ -79,3 +80,14 @@ def test_more_partitions_make_smaller_keys_heavy(spark):
     rows_ = spark.range(100_000).select(F.when(F.col("id") % 1000 < 3, -1).otherwise(F.col("id")).alias("key"))
     for partitions, found in ((200, 0), (2000, 1)):
         assert skew.heavy_keys(rows_, "key", skew.heavy_share(partitions)).count() == found
+
+
+def test_an_aggregate_is_not_shuffled_again(sides, conf):
+    """The aggregate's one shuffle, by its key, serves the normal keys and the heavy ones."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    probe, build = sides
+    totals = build.groupBy("key").agg(F.sum("val").alias("val"))
+    text = plan(skew.split_join(probe, totals, "key")).split("Initial Plan")[0]
+    by_key = [line for line in text.splitlines() if " Exchange hashpartitioning(key" in line and "ReusedExchange" not in line]
+    # One for the aggregate and one for the probe rows of normal keys; the heavy branch uses the first again.
+    assert len(by_key) == 2 and "ReusedExchange" in text and "_salt" not in text

@@ -36,6 +36,129 @@ def test_broken_off_version_is_not_seen(spark, tmp_path):
     assert table.versions() == [1, 2]
 
 
+def test_crash_between_claim_and_pointer_does_not_block_the_table(spark, tmp_path):
+    """Whatever a writer that died left behind, the next one publishes."""
+    table = VersionedTable(spark, str(tmp_path / "t"), lease=0.3)
+    table.replace(spark.createDataFrame([("a", 1)], SCHEMA))
+    (tmp_path / "t" / "versions" / "000002").touch()  # an empty pointer
+    (tmp_path / "t" / "claims" / "000002-1").touch()  # a claim
+    os.makedirs(tmp_path / "t" / "drafts", exist_ok=True)
+    (tmp_path / "t" / "drafts" / "000002-left").write_text("{")  # half a pointer under another name
+    table.replace(spark.createDataFrame([("b", 1)], SCHEMA))
+    assert table.versions() == [1, 2] and rows(table.read(SCHEMA)) == {("b", 1): 1}
+    table.replace(spark.createDataFrame([("c", 1)], SCHEMA))
+    assert rows(table.read(SCHEMA)) == {("c", 1): 1}
+
+
+def test_writer_that_lost_its_lease_does_not_publish(spark, tmp_path, monkeypatch):
+    """One writer stops between its claim and its pointer for longer than the lease; the other takes over."""
+    path, slow = str(tmp_path / "t"), threading.Event()
+    first, second = VersionedTable(spark, path, lease=0.5), VersionedTable(spark, path, lease=0.5)
+    claim, claimed = first._claim, threading.Event()
+
+    def paused(storage, number):
+        claim(storage, number)
+        claimed.set()
+        assert slow.wait(60)
+
+    monkeypatch.setattr(first, "_claim", paused)
+    outcome = []
+
+    def write():
+        try:
+            first.replace(spark.createDataFrame([("late", 1)], SCHEMA))
+            outcome.append("published")
+        except ConflictingWrite:
+            outcome.append("refused")
+
+    thread = threading.Thread(target=write)
+    thread.start()
+    assert claimed.wait(60)
+    second.replace(spark.createDataFrame([("b", 1)], SCHEMA))
+    slow.set()
+    thread.join()
+    assert outcome == ["refused"] and rows(second.read(SCHEMA)) == {("b", 1): 1} and second.versions() == [1]
+
+
+def dated(spark, entries):
+    return spark.createDataFrame(entries, "k string, v long, day date")
+
+
+def day(number):
+    return date(2024, 1, number)
+
+
+def test_untouched_partitions_keep_their_files(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.replace(dated(spark, [("a", 1, day(1)), ("b", 1, day(2)), ("c", 1, None), ("d", 1, day(4))]), "day")
+
+    def files():
+        return {(r.k, r.v, r.f) for r in table.read().withColumn("f", F.input_file_name()).collect()}
+
+    before = files()
+    changed = dated(spark, [("b", 2, day(2)), ("e", 1, day(3))])
+    result = table.replace_partitions(changed, [day(2), day(3), day(4)])
+    assert rows(result) == rows(table.read()) == rows(
+        dated(spark, [("a", 1, day(1)), ("b", 2, day(2)), ("c", 1, None), ("e", 1, day(3))])
+    )
+    assert {f for f in before if f[0] in "ac"} == {f for f in files() if f[0] in "ac"}
+    assert len(table.version().folders) == 2 and result.schema["day"].dataType == T.DateType()
+    table.replace_partitions(dated(spark, [("c", 2, None)]), [None])
+    assert rows(table.read(), "k", "v") == {("a", 1): 1, ("b", 2): 1, ("c", 2): 1, ("e", 1): 1}
+    assert rows(table.read(version=1), "k") == {(k,): 1 for k in "abcd"}
+    table.replace_partitions(dated(spark, []), [day(1)])
+    assert rows(table.read().where(F.col("day") == day(1))) == {} and table.read().count() == 3
+
+
+def test_rows_outside_the_touched_partitions_are_refused(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    with pytest.raises(ValueError, match="no partitioned version"):
+        table.replace_partitions(dated(spark, []), [])
+    table.replace(dated(spark, [("a", 1, day(1))]), "day")
+    with pytest.raises(ValueError, match="outside the touched"):
+        table.replace_partitions(dated(spark, [("a", 1, day(2))]), [day(1)])
+    assert table.versions() == [1] and table.can_take_over("day") and not table.can_take_over("k")
+
+
+def test_data_goes_when_no_version_has_it(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.replace(dated(spark, [("a", 1, day(1)), ("b", 1, day(2))]), "day")
+    for v in (2, 3):
+        table.replace_partitions(dated(spark, [("b", v, day(2))]), [day(2)])
+    table.drop_older(keep=1)
+    folders = sorted(n for n in os.listdir(tmp_path / "t") if n.startswith("data-"))
+    assert [n[:11] for n in folders] == ["data-000001", "data-000003"]
+    assert [n for n in os.listdir(tmp_path / "t" / folders[0]) if n.startswith("day=")] == ["day=2024-01-01"]
+    assert rows(table.read(), "k", "v") == {("a", 1): 1, ("b", 3): 1}
+
+
+def test_a_hot_value_is_split_over_files_of_narrow_ranges(spark, tmp_path, conf):
+    """A third of all rows are one country on one day."""
+    conf("spark.sql.shuffle.partitions", "24")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    hot = F.col("id") % 3 == 0
+    data = spark.range(0, 120_000, numPartitions=8).select(
+        F.col("id").alias("k"),
+        F.when(hot, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 50)).alias("country"),
+        F.when(hot, F.lit(0)).otherwise(F.col("id") % 4).cast("int").alias("day"),
+    )
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    written = table.replace(data, "day", ("country",))
+    files = [
+        tuple(r)
+        for r in written.groupBy("day", F.input_file_name().alias("f"))
+        .agg(F.min("country").alias("low"), F.max("country").alias("high"), F.count("k").alias("n"))
+        .orderBy("day", "low", "high")
+        .collect()
+    ]
+    assert sum(f[4] for f in files) == 120_000
+    # The mean of the 24 ranges is 5,000 rows; one range for the hot value would be 40,000.
+    assert max(f[4] for f in files) < 10_000
+    assert sum(f[2] == f[3] == "hot" for f in files) >= 6
+    for one, other in zip(files, files[1:]):
+        assert one[0] != other[0] or one[3] <= other[2], "ranges of files overlap by their border at most"
+
+
 def test_of_two_writers_at_once_one_publishes_all_its_rows(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "t"))
     start, outcome = threading.Barrier(2), {}
