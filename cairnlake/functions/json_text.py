@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 #: JSON as the standard has it; Spark's reader takes more unless told not to.
 STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+#: Levels of nesting that are told apart without parsing.
+_LEVELS = 4
 _STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 #: Numbers that a variant would round: over 38 digits, exponents of three digits, long mantissas with an exponent.
 _INEXACT = r"[0-9.]{39}|[eE][+-]?[0-9]{3}|[0-9.]{16,}[eE]"
@@ -105,6 +107,23 @@ def is_single_json(text: Column) -> Column:
     return is_sealed(sealed_json(text), text)
 
 
+def is_single_object(text: Column) -> Column:
+    """True when a text that parses as JSON is one object with nothing after it.
+
+    Without its strings a text shows its nesting: the innermost brackets are replaced by a sign, level by level, and one
+    object leaves that sign alone.  Texts nested deeper than :data:`_LEVELS` are parsed with a seal.  What stands between the brackets is the
+    parser's to judge; this finds the values after the first, which it does not see.
+    """
+    core = F.trim(text, F.lit(" \t\r\n"))
+    # Without escaped signs every quote opens or closes a string.
+    open_text = F.replace(F.replace(core, F.lit("\\\\"), F.lit("")), F.lit('\\"'), F.lit(""))
+    shape = F.regexp_replace(open_text, '"[^"]*"', "s")
+    for _ in range(_LEVELS):
+        shape = F.when(shape == "v", shape).otherwise(F.regexp_replace(shape, r"\{[^{}\[\]]*\}|\[[^{}\[\]]*\]", "v"))
+    deep = shape.rlike(r"[{}\[\]]")
+    return core.startswith("{") & F.when(deep, is_single_json(text)).otherwise(shape == "v")
+
+
 def normal_json(sealed: Column, text: Column) -> Column:
     """The sealed value in compact form.
 

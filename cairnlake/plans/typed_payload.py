@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from cairnlake.functions import csv_text
+from cairnlake.functions.csv_text import QUOTING as CSV_QUOTING
 from cairnlake.functions.json_text import STRICT, is_single_json
-from cairnlake.sources.tables import CSV_QUOTING
 
 _BROKEN = "_broken"
 _BLANKS = " \t\r\n"
@@ -24,40 +25,46 @@ def _is_json_line(line: Column) -> Column:
 def typed_payload(raw: DataFrame, schema: T.StructType) -> DataFrame:
     """One row per record: ``record``, or the record's text in ``broken`` where it does not fit the schema.
 
-    An array payload gives a row per element.  A wrapped text is what a source sends that publishes whole files: lines of NDJSON,
-    or of CSV under a header line with the column names.  Every element and every line that is not blank gives a row; one that is
-    no object, has text after its object, or has a value of another type is broken and takes no other along.  Wrapped
-    bytes have neither record nor text.  The partition column ``dt`` is not part of a payload.
+    An array payload gives a row per element, an empty one none.  A wrapped text is what a source sends that publishes whole
+    files: NDJSON if it starts with a brace, otherwise CSV, whose records may have line breaks inside quotes and whose header
+    lines are dropped.  Every element, line and record that is not blank gives a row; one that is no object, has text after its object, has
+    more values than there are columns or a value of another type is broken and takes no other along.  Wrapped
+    bytes give one row with neither record nor text.
+
+    The other columns of ``raw`` stay, but not the payload: a whole file would be repeated for each of its records.
+    The partition column ``dt`` is not part of a payload.
     """
     fields = [field for field in schema.fields if field.name != "dt"]
     record = T.StructType([*fields, T.StructField(_BROKEN, T.StringType())])
     text = F.trim(F.col("payload"), F.lit(_BLANKS))
     body = F.get_json_object(text, "$.raw")
     lines = F.filter(F.split(body, r"\r?\n"), lambda line: F.trim(line, F.lit(_BLANKS)) != "")
+    records = F.when(_is_json_line(body), lines).otherwise(csv_text.split_records(body))
     elements = F.transform(
         F.try_variant_get(F.try_parse_json(text), "$", "array<variant>"), lambda element: F.to_json(element)
     )
     nothing = F.array(F.lit(None).cast("string"))
     found = (
-        F.when(is_wrapped(text), F.coalesce(lines, nothing))
+        F.when(is_wrapped(text), F.coalesce(records, nothing))
         .when(text.startswith("["), F.coalesce(elements, F.array(text)))
         .otherwise(F.array(text))
     )
-    header = ",".join(field.name for field in fields)
-    one = raw.withColumn("_text", F.explode_outer(found)).where(
-        F.col("_text").isNull() | (F.trim(F.col("_text"), F.lit(_BLANKS)) != header)
+    # Only CSV knows header lines; a JSON line cannot spell one.
+    kept = [name for name in raw.columns if name != "payload"]
+    one = raw.select(*kept, body.isNotNull().alias("_wrapped"), F.explode(found).alias("_text")).where(
+        F.col("_text").isNull() | ~csv_text.spells(F.col("_text"), [field.name for field in fields])
     )
     options = {"columnNameOfCorruptRecord": _BROKEN}
     from_json = F.from_json("_text", record, {**STRICT, **options})
     csv_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in record.fields)
     from_csv = F.from_csv("_text", csv_schema, {**CSV_QUOTING, **options}) if _is_flat(fields) else F.lit(None).cast(record)
     whole = _is_json_line(F.col("_text")) & is_single_json(F.col("_text"))
-    csv = body.isNotNull() & ~_is_json_line(F.col("_text"))
+    csv = F.col("_wrapped") & ~_is_json_line(F.col("_text")) & (csv_text.value_count(F.col("_text")) <= len(fields))
     parsed = one.withColumn("_record", F.when(whole, from_json).when(csv, from_csv))
     fits = F.col("_record").isNotNull() & F.col(f"_record.{_BROKEN}").isNull()
     plain = F.struct(*(F.col("_record")[field.name].alias(field.name) for field in fields))
     return parsed.select(
-        *raw.columns,
+        *kept,
         F.when(fits, plain).alias("record"),
         F.when(~fits, F.col("_text")).alias("broken"),
     )

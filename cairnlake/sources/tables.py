@@ -1,28 +1,76 @@
-"""Bronze scans: date-partitioned text files read through a declared schema."""
+"""Bronze scans: date-partitioned text files read through a declared schema.
+
+Files are read line by line as text, and every line is judged as a whole before its columns are: the judgement is a filter of the
+rows, so it holds whatever columns a query reads, and for a count as well.
+"""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from cairnlake import schemas
-from cairnlake.functions.json_text import STRICT
+from cairnlake.functions import csv_text
+from cairnlake.functions.json_text import STRICT, is_single_object
 from cairnlake.operators.partitions import newest_directories
 
 #: How files spell instants with microseconds (readers accept any ISO form).
 INSTANT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
-#: Quotes inside a CSV value are doubled; without this a JSON value splits over several columns.
-CSV_QUOTING = {"quote": '"', "escape": '"'}
+CSV_QUOTING = csv_text.QUOTING
+#: What readers do with a line that does not fit: stop, keep it, leave it out.
+MODES = ("FAILFAST", "PERMISSIVE", "DROPMALFORMED")
 _BROKEN = "_broken_line"
+_BLANKS = " \t\r\n"
+
+
+def _lines(spark: SparkSession, path: str, schema: T.StructType, base: str | None = None) -> DataFrame:
+    """``value`` and the partition column ``dt``, if the schema has it, of every line that is not blank."""
+    read = T.StructType([T.StructField("value", T.StringType()), *(f for f in schema.fields if f.name == "dt")])
+    reader = spark.read.schema(read)
+    if base is not None:
+        reader = reader.option("basePath", base)
+    return reader.text(path).where(F.trim("value", F.lit(_BLANKS)) != "")
+
+
+def _must_hold(lines: DataFrame, holds: Column, message: str) -> DataFrame:
+    """The lines, stopping at the first for which a condition does not hold."""
+    told = F.concat(F.lit(f"[MALFORMED_RECORD_IN_PARSING] {message}: "), F.substring("value", 1, 200))
+    return lines.where(F.when(F.coalesce(holds, F.lit(False)), True).otherwise(F.raise_error(told).cast("boolean")))
+
+
+def _objects(lines: DataFrame, schema: T.StructType, mode: str, corrupt: str | None) -> DataFrame:
+    if mode not in MODES:
+        raise ValueError(f"mode is one of {', '.join(MODES)}")
+    fields = [f for f in schema.fields if f.name != "dt"]
+    others = [f.name for f in schema.fields if f.name == "dt"]
+    if mode == "FAILFAST":
+        lines = _must_hold(lines, is_single_object(F.col("value")), "not one JSON object")
+        record = F.from_json("value", T.StructType(fields), {**STRICT, "mode": mode})
+        return lines.select(record.alias("_record"), *others).select("_record.*", *others)
+    kept = T.StructType([*fields, T.StructField(_BROKEN, T.StringType())])
+    options = {**STRICT, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
+    parsed = lines.withColumn("_record", F.when(is_single_object(F.col("value")), F.from_json("value", kept, options)))
+    fits = F.col("_record").isNotNull() & F.col(f"_record.{_BROKEN}").isNull()
+    if mode == "DROPMALFORMED":
+        parsed = parsed.where(fits)
+    # What fits of a line with a value of another type stays, as in Spark's own reader.
+    columns = [F.col("_record")[f.name].alias(f.name) for f in fields]
+    text = [F.when(~fits, F.col("value")).alias(corrupt)] if corrupt else []
+    return parsed.select(*columns, *others, *text)
 
 
 def scan_ndjson(
-    spark: SparkSession, path: str, schema: T.StructType, mode: str = "FAILFAST"
+    spark: SparkSession, path: str, schema: T.StructType, mode: str = "FAILFAST", corrupt: str | None = None
 ) -> DataFrame:
-    """One JSON object per line under ``path/dt=YYYY-MM-DD/``; a broken line stops the query."""
-    return spark.read.schema(schema).option("mode", mode).options(**STRICT).json(path)
+    """One JSON object per line under ``path/dt=YYYY-MM-DD/``; blank lines are skipped.
+
+    A line that is anything but one object (broken, two objects, an object with text after it, an array) stops the
+    query, as does a value of another type in a column that is read.  ``PERMISSIVE`` makes such a line a row without values, or with
+    those that fit, and puts its text into the column ``corrupt``, if one is named; ``DROPMALFORMED`` leaves it out.
+    """
+    return _objects(_lines(spark, path, schema), schema, mode, corrupt)
 
 
 def scan_clickstream(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
@@ -42,49 +90,38 @@ def scan_newest_catalog(spark: SparkSession, path: str, mode: str = "FAILFAST")
 
     Asking the text files for their largest ``dt`` would read the whole history; this reads one day.
     """
-    reader = spark.read.schema(schemas.PRODUCT_CATALOG).option("mode", mode).options(**STRICT)
+    schema = schemas.PRODUCT_CATALOG
     for folder in newest_directories(spark, path, "dt"):
-        day = reader.option("basePath", path).json(folder)
-        if not day.isEmpty():
-            return day
-    return spark.createDataFrame([], schemas.PRODUCT_CATALOG)
+        lines = _lines(spark, folder, schema, path)
+        if not lines.isEmpty():
+            return _objects(lines, schema, mode, None)
+    return spark.createDataFrame([], schema)
 
 
 def scan_sales(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with one header row per landed message; short rows are filled up with NULL.
+    """CSV with one header row per landed message; short rows are filled up with NULL, blank lines are skipped.
 
-    A reader skips the first line of a file.  Several messages can share a landed file, so a header
-    can also stand further down: a line whose columns spell their own names is dropped.
+    Several messages can share a landed file, so a header can stand anywhere: a line that spells the names of the columns, in
+    quotes or not, is dropped.
 
-    Columns are read as text first.  A value of another type than its column's, a row with more values than there are
-    columns, and a quoted line break (which the line-wise reader would take for two rows) stop the query.
+    A row with more values than there are columns, with quotes that do not enclose whole values, as the two halves of a
+    value with a line break have, or with a value of another type than its column's stops the query.
     """
     fields = [f for f in schemas.SALES_TRANSACTIONS if f.name != "dt"]
-    text = T.StructType(
-        [T.StructField(f.name, T.StringType()) for f in fields]
-        + [T.StructField(_BROKEN, T.StringType()), T.StructField("dt", T.DateType())]
-    )
-    rows = (
-        spark.read.schema(text)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _BROKEN)
-        .options(**CSV_QUOTING)
-        .csv(path)
+    lines = _lines(spark, path, schemas.SALES_TRANSACTIONS).where(
+        ~csv_text.spells(F.col("value"), [f.name for f in fields])
     )
-    spells_names = reduce(lambda a, b: a & b, (F.col(f.name).eqNullSafe(F.lit(f.name)) for f in fields))
-    line = F.col(_BROKEN)
-    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    # A row whose number of values is not that of the columns keeps its line; if too short, its last column is NULL.
-    refused = line.isNotNull() & ((quotes % 2 != 0) | F.col(fields[-1].name).isNotNull())
-    checked = F.when(refused, F.raise_error(F.concat(F.lit("not a row of sales: "), line)).cast("string"))
-    first, *others = fields
-    return rows.where(~spells_names).select(
-        F.coalesce(checked, F.col(first.name)).cast(first.dataType).alias(first.name),
-        *(F.col(f.name).cast(f.dataType).alias(f.name) for f in others),
-        "dt",
+    counted = _must_hold(lines, csv_text.value_count(F.col("value")) <= len(fields), "not a row of sales")
+    text = ", ".join(f"`{f.name}` string" for f in fields)
+    # Read as one column: a pruned record would let wrong types in columns that are not read pass.
+    parsed = counted.withColumn("_record", F.from_csv("value", text, csv_text.QUOTING))
+    typed = [f for f in fields if f.dataType != T.StringType()]
+    wrong = reduce(
+        lambda a, b: a | b,
+        (F.col("_record")[f.name].isNotNull() & F.col("_record")[f.name].try_cast(f.dataType).isNull() for f in typed),
     )
+    checked = _must_hold(parsed, ~wrong, "CAST_INVALID_INPUT, not a row of sales")
+    return checked.select(*(F.col("_record")[f.name].cast(f.dataType).alias(f.name) for f in fields), "dt")
 
 
 SCANS = {

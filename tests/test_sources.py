@@ -100,6 +100,78 @@ def test_sales_scan(spark, tmp_path):
     assert found["t3"].user_id is None and found["t3"].dt == date(2024, 6, 15)
 
 
+@pytest.mark.parametrize(
+    "line",
+    ['{"ticket_id":"a"} {"ticket_id":"b"}', '{"ticket_id":"c"}garbage', '{"ticket_id":"c"}}', '[{"ticket_id":"d"}]', '{"ticket_id":"e"},',
+     '{"ticket_id":"{"}}', '{"ticket_id":"\\\\"} "x"', '{"ticket_id":{"a":{"b":{"c":{"d":{}}}}}} 1', "5"],
+)
+def test_line_that_is_not_one_object(spark, tmp_path, line):
+    put(tmp_path / "dt=2024-06-15" / "a.json", '{"ticket_id":"t"}\n\n  \t\n' + line + "\n")
+    scan = tables.scan_support_tickets(spark, str(tmp_path))
+    for query in (scan, scan.select("ticket_id"), scan.select("dt"), scan.where(F.col("status") == "x"), scan.groupBy().count()):
+        with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING"):
+            query.collect()
+    kept = tables.scan_ndjson(spark, str(tmp_path), schemas.CUSTOMER_SUPPORT_TICKETS, "PERMISSIVE", "broken")
+    assert {(r.ticket_id, r.broken) for r in kept.collect()} == {("t", None), (None, line)}
+    dropped = tables.scan_ndjson(spark, str(tmp_path), schemas.CUSTOMER_SUPPORT_TICKETS, "DROPMALFORMED")
+    assert [r.ticket_id for r in dropped.collect()] == ["t"]
+
+
+def test_lines_that_are_one_object(spark, tmp_path):
+    odd = ['} {', '\\', '"', '\\"}', "[", "a" * 100_000, '\\"' * 50_000, '"}{"' * 20_000]
+    lines = [json.dumps({"ticket_id": str(i), "description": text}) for i, text in enumerate(odd)]
+    deep = '{"ticket_id":"deep","other":' + "[" * 30 + '"]"' + "]" * 30 + "}"
+    put(tmp_path / "dt=2024-06-15" / "a.json", "\r\n".join([*lines, deep, " {} "]) + "\n")
+    found = {r.ticket_id: r.description for r in tables.scan_support_tickets(spark, str(tmp_path)).collect()}
+    assert found == {str(i): text for i, text in enumerate(odd)} | {"deep": None, None: None}
+
+
+def test_value_of_another_type_goes_to_the_broken_column(spark, tmp_path):
+    line = '{"ticket_id":"t","satisfaction_score":"many"}'
+    put(tmp_path / "dt=2024-06-15" / "a.json", line + "\n")
+    with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING"):
+        tables.scan_support_tickets(spark, str(tmp_path)).collect()
+    (row,) = tables.scan_ndjson(spark, str(tmp_path), schemas.CUSTOMER_SUPPORT_TICKETS, "PERMISSIVE", "broken").collect()
+    assert row.broken == line and row.satisfaction_score is None
+    with pytest.raises(ValueError, match="mode is one of"):
+        tables.scan_support_tickets(spark, str(tmp_path), "LENIENT")
+
+
+@pytest.mark.parametrize(
+    "row",
+    [
+        "t1,u1,2024-06-15T10:00:00Z,1,USD,card,completed,[],a,US,more",
+        "t1,u1,2024-06-15T10:00:00Z,1,USD,card,completed,[],a,,more",
+        "t1,u1,2024-06-15T10:00:00Z,1,USD,card,completed,[],a,,",
+        't1,u1,2024-06-15T10:00:00Z,1,USD,card,completed,"[]"x,a,US',
+        't1,u1,2024-06-15T10:00:00Z,1,USD,card,completed,[],"1 Main St',
+        't1,u1,2024-06-15T10:00:00Z,1,USD,card,completed,"a,b",c,d,e',
+        "t1,u1,01/02/2024 10:00,1,USD,card,completed,[],a,US",
+        "t1,u1,2024-06-15T10:00:00Z,dear,USD,card,completed,[],a,US",
+    ],
+)
+def test_rows_that_do_not_fit_stop_any_query(spark, tmp_path, row):
+    put(tmp_path / "dt=2024-06-15" / "a.csv", HEADER + "t0,u0\n" + row + "\n")
+    scan = tables.scan_sales(spark, str(tmp_path))
+    for query in (scan, scan.select("user_id"), scan.select("dt"), scan.where(F.col("user_id") == "u0"), scan.groupBy().count()):
+        with pytest.raises(Exception, match="not a row of sales"):
+            query.collect()
+
+
+def test_sales_with_odd_but_whole_values(spark, tmp_path):
+    long = "[" + ",".join(f'{{""n"":""{i}, \'""\'""}}' for i in range(20_000)) + "]"
+    quoted = ",".join(f'"{name}"' for name in HEADER.strip().split(","))
+    put(
+        tmp_path / "dt=2024-06-15" / "a.csv",
+        quoted + "\r\n" + f'"t1","u,1",2024-06-15T10:00:00Z,"1",,"","""",\"{long}\","a ""b"", c",US\r\n\r\n   \r\n' + HEADER + "t2\r\n",
+    )
+    found = {r.transaction_id: r for r in tables.scan_sales(spark, str(tmp_path)).collect()}
+    assert set(found) == {"t1", "t2"} and found["t1"].user_id == "u,1" and found["t1"].shipping_address == 'a "b", c'
+    assert found["t1"]["items"] == long.replace('""', '"') and found["t1"].status == '"' and found["t1"].amount == 1.0
+    assert found["t1"].currency is None and found["t2"].user_id is None
+    assert tables.scan_sales(spark, str(tmp_path)).count() == 2
+
+
 @pytest.mark.parametrize(
     "row, message",
     [
