@@ -119,9 +119,11 @@ def is_single_object(text: Column) -> Column:
     open_text = F.replace(F.replace(core, F.lit("\\\\"), F.lit("")), F.lit('\\"'), F.lit(""))
     shape = F.regexp_replace(open_text, '"[^"]*"', "s")
     for _ in range(_LEVELS):
-        shape = F.when(shape == "v", shape).otherwise(F.regexp_replace(shape, r"\{[^{}\[\]]*\}|\[[^{}\[\]]*\]", "v"))
-    deep = shape.rlike(r"[{}\[\]]")
-    return core.startswith("{") & F.when(deep, is_single_json(text)).otherwise(shape == "v")
+        shape = F.regexp_replace(shape, r"\{[^{}\[\]]*\}|\[[^{}\[\]]*\]", "v")
+    # The shape is mentioned once, or its steps would be generated once for each mention.
+    left = F.regexp_extract(shape, r"^v$|[{}\[\]]", 0)
+    known = F.create_map(F.lit("v"), F.lit(True), F.lit(""), F.lit(False))
+    return core.startswith("{") & F.coalesce(F.try_element_at(known, left), is_single_json(text))
 
 
 def normal_json(sealed: Column, text: Column) -> Column:

@@ -51,7 +51,9 @@ def typed_payload(raw: DataFrame, schema: T.StructType) -> DataFrame:
     )
     # Only CSV knows header lines; a JSON line cannot spell one.
     kept = [name for name in raw.columns if name != "payload"]
-    one = raw.select(*kept, body.isNotNull().alias("_wrapped"), F.explode(found).alias("_text")).where(
+    # Whatever is taken from the whole payload is taken once, before there is a row for each record.
+    split = raw.select(*kept, body.isNotNull().alias("_wrapped"), found.alias("_found"))
+    one = split.select(*kept, "_wrapped", F.explode("_found").alias("_text")).where(
         F.col("_text").isNull() | ~csv_text.spells(F.col("_text"), [field.name for field in fields])
     )
     options = {"columnNameOfCorruptRecord": _BROKEN}

@@ -26,11 +26,14 @@ class ConflictingWrite(RuntimeError):
 
 @dataclass(frozen=True)
 class Version:
-    """What a pointer file says: the columns, and the partition folders of each data folder ("" for a whole one)."""
+    """What a pointer file says: the columns, and the data folders with their partition folders ("" if there are none).
+
+    Of a data folder's partitions the live ones belong to the version; the dead ones were replaced since.
+    """
 
     schema: T.StructType
     partition_by: str | None
-    folders: dict[str, list[str]]
+    folders: dict[str, dict[str, list[str]]]
 
     def text(self) -> str:
         return json.dumps({"schema": json.loads(self.schema.json()), "partition_by": self.partition_by, "folders": self.folders})
@@ -41,7 +44,18 @@ class Version:
         return cls(T.StructType.fromJson(found["schema"]), found["partition_by"], found["folders"])
 
     def parts(self) -> set[tuple[str, str]]:
-        return {(folder, part) for folder, parts in self.folders.items() for part in parts}
+        return {(folder, part) for folder, parts in self.folders.items() for part in parts["live"]}
+
+    def without(self, gone: set[str]) -> dict[str, dict[str, list[str]]]:
+        """The data folders that are left if some partitions are replaced."""
+        left = {
+            folder: {
+                "live": [part for part in parts["live"] if part not in gone],
+                "dead": parts["dead"] + [part for part in parts["live"] if part in gone],
+            }
+            for folder, parts in self.folders.items()
+        }
+        return {folder: parts for folder, parts in left.items() if parts["live"]}
 
 
 class VersionedTable:
@@ -102,12 +116,15 @@ class VersionedTable:
         return table.select(*schema.fieldNames()) if schema is not None else table
 
     def _frame(self, version: Version) -> DataFrame:
-        def scan(folder: str, parts: list[str]) -> DataFrame:
-            root = f"{self.path}/{folder}"
-            reader = self.spark.read.schema(version.schema).option("basePath", root)
-            return reader.parquet(*(f"{root}/{part}".rstrip("/") for part in parts))
-
-        scans = [scan(folder, parts) for folder, parts in sorted(version.folders.items()) if parts]
+        def scan(folder: str, dead: list[str]) -> DataFrame:
+            table = self.spark.read.schema(version.schema).parquet(f"{self.path}/{folder}")
+            if not dead:
+                return table
+            # A filter of partitions: Spark opens no file of the dead ones.
+            value = F.coalesce(F.col(version.partition_by).cast("string"), F.lit(_NO_VALUE))
+            return table.where(~value.isin([part.partition("=")[2] for part in dead]))
+
+        scans = [scan(folder, parts["dead"]) for folder, parts in sorted(version.folders.items())]
         return reduce(DataFrame.unionByName, scans) if scans else self.spark.createDataFrame([], version.schema)
 
     def replace(
@@ -154,11 +171,10 @@ class VersionedTable:
             raise ValueError(f"{self.path} has no partitioned version")
         gone = {f"{before.partition_by}={_NO_VALUE if value is None else value}" for value in touched}
 
-        def combined(folder: str, parts: list[str]) -> dict[str, list[str]]:
-            if not set(parts) <= gone:
-                raise ValueError(f"rows outside the touched partitions: {sorted(set(parts) - gone)}")
-            kept = {f: [part for part in own if part not in gone] for f, own in before.folders.items()}
-            return {f: own for f, own in {**kept, folder: parts}.items() if own}
+        def combined(folder: str, parts: dict[str, list[str]]) -> dict[str, dict[str, list[str]]]:
+            if not set(parts["live"]) <= gone:
+                raise ValueError(f"rows outside the touched partitions: {sorted(set(parts['live']) - gone)}")
+            return before.without(gone) | ({folder: parts} if parts["live"] else {})
 
         return self._write(table.select(*before.schema.fieldNames()), before.partition_by, sort_by, check, newest, combined)
 
@@ -169,7 +185,7 @@ class VersionedTable:
         sort_by: tuple[str, ...],
         check: Callable[[DataFrame], None] | None,
         newest: int,
-        content: Callable[[str, list[str]], dict[str, list[str]]],
+        content: Callable[[str, dict[str, list[str]]], dict[str, dict[str, list[str]]]],
     ) -> DataFrame:
         number = newest + 1
         name = f"data-{number:06d}-{uuid.uuid4().hex}"
@@ -182,7 +198,7 @@ class VersionedTable:
                 fields.append(table.schema[partition_by])
             # Stored columns can always be NULL.
             schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
-            version = Version(schema, partition_by, content(name, parts))
+            version = Version(schema, partition_by, content(name, {"live": parts, "dead": []}))
             written = self._frame(version)
             if check is not None:
                 check(written)
@@ -221,17 +237,17 @@ class VersionedTable:
         storage, numbers = self._storage(), self.versions()
         old, new = numbers[:-keep], numbers[-keep:]
         needed = set().union(*(self.version(number).parts() for number in new))
+        folders = {folder for folder, _ in needed}
         for number in old:
             own = self.version(number).parts()
             storage.delete(self._pointer(number))
             for claim in storage.names(f"{self.path}/claims", False, empty=True):
                 if claim.startswith(f"{number:06d}-"):
                     storage.delete(f"{self.path}/claims/{claim}")
-            for folder in {folder for folder, _ in own}:
-                if not any(folder == f for f, _ in needed):
-                    storage.delete(f"{self.path}/{folder}")
+            for folder in {folder for folder, _ in own} - folders:
+                storage.delete(f"{self.path}/{folder}")
             for folder, part in own - needed:
-                if any(folder == f for f, _ in needed):
+                if folder in folders:
                     storage.delete(f"{self.path}/{folder}/{part}")
 
 

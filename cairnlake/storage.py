@@ -16,6 +16,7 @@ class Storage:
         self._hadoop, self._gateway = context._jvm.org.apache.hadoop.fs, context._gateway
         self._configuration = context._jsc.hadoopConfiguration()
         self._files = self._hadoop.Path(path).getFileSystem(self._configuration)
+        self._context = None
 
     def names(self, folder: str, folders: bool, empty: bool = False) -> list[str]:
         """Names of the folders, or of the files, directly below a folder; none if it is not there.
@@ -73,10 +74,11 @@ class Storage:
         """Give a file or folder another name unless that is taken; nobody sees a part of it."""
         start, end = self._hadoop.Path(source), self._hadoop.Path(target)
         self._files.mkdirs(end.getParent())
-        context = self._hadoop.FileContext.getFileContext(self._files.getUri(), self._configuration)
+        if self._context is None:
+            self._context = self._hadoop.FileContext.getFileContext(self._files.getUri(), self._configuration)
         no_options = self._gateway.new_array(getattr(self._hadoop, "Options$Rename"), 0)
         try:
-            context.rename(self._files.makeQualified(start), self._files.makeQualified(end), no_options)
+            self._context.rename(self._files.makeQualified(start), self._files.makeQualified(end), no_options)
         except Py4JJavaError as error:
             if "AlreadyExists" in error.java_exception.getClass().getName():
                 return False

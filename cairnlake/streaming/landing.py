@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import json
 import time
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cairnlake.functions import topics
 from cairnlake.functions.topics import LandingRoute
-from cairnlake.sources.messages import of_topic
+from cairnlake.sources.messages import merge_topics
+from cairnlake.storage import Storage
 
 
 def landing_folder(
@@ -38,14 +41,43 @@ def landed_names(
     )
 
 
-def landed_text(messages: DataFrame) -> DataFrame:
-    """The message bytes, unchanged, as the value of a text file, and the publish date."""
+def landed_text(messages: DataFrame, *others: str) -> DataFrame:
+    """The message bytes, unchanged, as the value of a text file, the publish date, and other columns as they are."""
     return messages.select(
+        *others,
         F.coalesce(F.col("data"), F.lit(b"")).cast("string").alias("value"),
         F.to_date("publish_time").alias("dt"),
     )
 
 
+def batch_writer(
+    spark: SparkSession, root: str, checkpoint: str, routes: dict[str, LandingRoute], prefix: str = topics.DEFAULT_LANDING_PREFIX
+) -> Callable[[DataFrame, int], None]:
+    """What lands one batch: a function of the batch and its number, for ``foreachBatch``.
+
+    One job writes the messages of all topics to a folder that readers do not see.  Then every topic's and date's folder is given its
+    place, ``dt=YYYY-MM-DD/<stream>-<number>`` below the topic's folder, which shows all of its files at once or none.  The
+    name says which batch of which stream (the id in its checkpoint) it is: a batch that is delivered again, wherever it broke off,
+    finds the folders it has already placed and leaves them, so that every message lands once.
+    """
+    numbers = F.create_map(*(F.lit(x) for pair in ((topic, i) for i, topic in enumerate(routes)) for x in pair))
+
+    def land(batch: DataFrame, number: int) -> None:
+        storage = Storage(spark, root)
+        stream = json.loads(storage.text(f"{checkpoint.rstrip('/')}/metadata"))["id"]
+        name = f"{stream}-{number:09d}"
+        staged = f"{root.rstrip('/')}/_landing/{name}"
+        own = batch.where(F.col("source_topic").isin(list(routes))).withColumn("_route", numbers[F.col("source_topic")])
+        landed_text(own, "_route").write.mode("overwrite").partitionBy("_route", "dt").text(staged)
+        for i, (topic, route) in enumerate(routes.items()):
+            place = landing_folder(root, topic, route, prefix)
+            for day in storage.names(f"{staged}/_route={i}", folders=True):
+                storage.move(f"{staged}/_route={i}/{day}", f"{place}/{day}/{name}")
+        storage.delete(staged)
+
+    return land
+
+
 def start_landing(
     messages: DataFrame | dict[str, DataFrame],
     root: str,
@@ -55,28 +87,21 @@ def start_landing(
     drain: bool = True,
     interval: str = "1 minute",
 ) -> list[StreamingQuery]:
-    """Start one stream per configured topic, each with its own folder and checkpoint.
+    """Start the stream that lands the messages of all configured topics.
 
-    ``messages`` is one stream per topic, or a single stream from which every topic takes its own;
-    the latter is read once per topic, so it suits sources that can skip the other topics.
-
-    A message whose batch did not commit is read again and its files are written anew; the commit
-    log of the file sink keeps the files of broken-off batches out of later reads.  Messages of a
-    batch share files, every message ending in a line break.
+    ``messages`` is a single stream, or one stream per topic, which are put together.  Every batch reads its source
+    once and writes with one job, whatever the number of topics; see :func:`batch_writer` for what a broken-off batch leaves.
+    Messages of a batch share files, every message ending in a line break.
     """
-    queries = []
-    for topic, route in routes.items():
-        own = messages[topic] if isinstance(messages, dict) else of_topic(messages, topic)
-        writer = (
-            landed_text(own)
-            .writeStream.outputMode("append")
-            .format("text")
-            .partitionBy("dt")
-            .option("checkpointLocation", f"{checkpoint.rstrip('/')}/{topic.split('/')[-1]}")
-            .trigger(**({"availableNow": True} if drain else {"processingTime": interval}))
-        )
-        queries.append(writer.start(landing_folder(root, topic, route, prefix)))
-    return queries
+    if not routes:
+        return []
+    stream = merge_topics(messages) if isinstance(messages, dict) else messages
+    writer = (
+        stream.writeStream.foreachBatch(batch_writer(stream.sparkSession, root, checkpoint, routes, prefix))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**({"availableNow": True} if drain else {"processingTime": interval}))
+    )
+    return [writer.start()]
 
 
 def finish(queries: list[StreamingQuery], timeout: float | None = None) -> bool:

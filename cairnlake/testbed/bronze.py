@@ -14,6 +14,8 @@ from cairnlake.storage import Storage
 
 PROJECT = "demo"
 OWNER = "demo"
+#: Bytes that are no UTF-8: sequences cut short, a byte that only goes on, an overlong sign, half of a pair.
+BROKEN_BYTES = ("C3", "E282", "80FF", "F09F98", "C0AF", "EDA080")
 
 
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -212,7 +214,7 @@ def messages(events: DataFrame) -> DataFrame:
     data = (
         F.when(number % 4 == 0, click.cast("binary"))
         .when(number % 4 == 1, F.concat_ws(",", number, "user_id", "event_type").cast("binary"))
-        .when(number % 4 == 2, F.unhex(F.lit("FFFE0001")))
+        .when(number % 4 == 2, F.get(F.array(*(F.unhex(F.lit(b)) for b in BROKEN_BYTES)), (F.floor(number / 4) % len(BROKEN_BYTES)).cast("int")))
         .otherwise(F.concat_ws("\n", "props", "props").cast("binary"))
     )
     attributes = F.when(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from cairnlake import schemas
@@ -18,7 +19,7 @@ from cairnlake.plans.typed_payload import typed_payload
 from cairnlake.session import configure, scratch_path
 from cairnlake.sinks.versioned import VersionedTable, with_date, write_table
 from cairnlake.sources import documents, tables
-from cairnlake.sources.messages import merge_topics, of_topic
+from cairnlake.sources.messages import file_messages, merge_topics, of_topic
 from cairnlake.streaming import landing, raw_ingest
 from cairnlake.testbed import bronze
 
@@ -166,7 +167,7 @@ def named_sources(spark: SparkSession, folder: str) -> DataFrame:
         """
         SELECT category, count(*) AS n_products, max(price) AS dearest
         FROM product_catalog
-        WHERE dt = (SELECT dt FROM product_catalog ORDER BY dt DESC LIMIT 1)
+        WHERE dt = (SELECT max(dt) FROM product_catalog)
         GROUP BY category
         """
     )
@@ -251,8 +252,22 @@ def stream_multi_topic(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{path}/tables").select("message_id", "source_topic", "publish_time")
 
 
+def _landed_lines(spark: SparkSession, root: str, routes: dict[str, topics.LandingRoute]) -> DataFrame:
+    """Every landed line with its topic and date; bytes that are no text in base64."""
+    line = F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(
+        F.concat(F.lit("base64:"), msg.base64_text(F.col("value").cast("binary")))
+    )
+    landed = [
+        spark.read.schema("value string, dt date")
+        .text(landing.landing_folder(root, topic, route))
+        .select(F.lit(topic.split("/")[-1]).alias("topic_slug"), "dt", line.alias("line"))
+        for topic, route in routes.items()
+    ]
+    return reduce(DataFrame.unionByName, landed)
+
+
 def stream_landing(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines per topic and publish date, read back from the landed files."""
+    """The lines per topic and publish date, read back from the landed files."""
     path = scratch_path(spark, "landing")
     routes = topics.landing_routes(bronze.PROJECT, bronze.OWNER)
     landing.finish(
@@ -260,17 +275,36 @@ def stream_landing(spark: SparkSession, folder: str) -> DataFrame:
             bronze.message_stream(spark, folder), f"{path}/files", f"{path}/checkpoint", routes
         )
     )
-    landed = [
-        spark.read.text(landing.landing_folder(f"{path}/files", topic, route)).select(
-            F.lit(topic.split("/")[-1]).alias("topic_slug"), "dt"
-        )
-        for topic, route in routes.items()
-    ]
-    return (
-        reduce(DataFrame.unionByName, landed)
-        .groupBy("topic_slug", "dt")
-        .agg(F.count(F.lit(1)).alias("lines"))
+    return _landed_lines(spark, f"{path}/files", routes)
+
+
+def stream_redelivery(spark: SparkSession, folder: str) -> DataFrame:
+    """Landing that breaks off after the second batch has its files, and goes on from the checkpoint: every message once."""
+    path = scratch_path(spark, "redelivery")
+    _messages(spark, folder).repartition(4, "message_id").write.parquet(f"{path}/in")
+    routes = topics.landing_routes(bronze.PROJECT, bronze.OWNER)
+    place = (f"{path}/files", f"{path}/checkpoint", routes)
+    messages = file_messages(spark, f"{path}/in", max_files_per_trigger=1)
+    write = landing.batch_writer(spark, *place)
+
+    def breaks_off(batch: DataFrame, number: int) -> None:
+        write(batch, number)
+        if number == 1:
+            raise RuntimeError("broken off")
+
+    stream = (
+        messages.writeStream.foreachBatch(breaks_off)
+        .option("checkpointLocation", f"{path}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
     )
+    try:
+        stream.awaitTermination()
+    except StreamingQueryException as error:
+        if "broken off" not in str(error):
+            raise
+    landing.finish(landing.start_landing(messages, *place))
+    return _landed_lines(spark, f"{path}/files", routes)
 
 
 def typed(spark: SparkSession, folder: str) -> DataFrame:
@@ -286,6 +320,56 @@ def typed(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _from_whole_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The typed records of files that travel as one message each, and the text of what is none."""
+    messages = documents.whole_file_messages(spark, path, F.lit("files"), "part-*")
+    found = typed_payload(raw_ingest.raw_rows(messages), schema)
+    return found.select("record.*", "broken")
+
+
+def _write_lines(table: DataFrame, path: str) -> None:
+    writer = table.drop("dt").write.option("maxRecordsPerFile", RECORDS_PER_MESSAGE)
+    writer.option("timestampFormat", tables.INSTANT_FORMAT).json(path)
+
+
+def typed_payload_clickstream(spark: SparkSession, folder: str) -> DataFrame:
+    """Events from files of NDJSON."""
+    path = scratch_path(spark, "event-files")
+    _write_lines(bronze.clickstream_events(spark, folder), path)
+    return _from_whole_files(spark, path, schemas.CLICKSTREAM_EVENTS)
+
+
+def typed_payload_catalog(spark: SparkSession, folder: str) -> DataFrame:
+    """Products of both dates from files of NDJSON."""
+    path = scratch_path(spark, "product-files")
+    _write_lines(bronze.product_catalog(spark, folder), path)
+    return _from_whole_files(spark, path, schemas.PRODUCT_CATALOG)
+
+
+def typed_payload_tickets(spark: SparkSession, folder: str) -> DataFrame:
+    """Tickets from files of one JSON array each."""
+    return _from_whole_files(spark, _ticket_arrays(spark, folder), schemas.CUSTOMER_SUPPORT_TICKETS)
+
+
+def typed_payload_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """Transactions from CSV files, with line breaks and quotes inside their addresses."""
+    path = scratch_path(spark, "sales-files")
+    address = F.replace(F.replace("shipping_address", F.lit(" Main"), F.lit('\n"Main"')), F.lit("St"), F.lit("St,\n\n"))
+    (
+        bronze.sales_transactions(spark, folder)
+        .drop("dt")
+        .withColumn("shipping_address", address)
+        .write.option("header", True)
+        .option("maxRecordsPerFile", RECORDS_PER_MESSAGE)
+        .option("timestampFormat", tables.INSTANT_FORMAT)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .options(**tables.CSV_QUOTING)
+        .csv(path)
+    )
+    return _from_whole_files(spark, path, schemas.SALES_TRANSACTIONS)
+
+
 # --- silver ----------------------------------------------------------------------------------
 
 
@@ -330,11 +414,11 @@ def customer_snapshots(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def customer_snapshots_latest(spark: SparkSession, folder: str) -> DataFrame:
-    """The intended reading, on a history in which the buyers of the last load date are new customers."""
+    """The intended reading, on a history in which every third customer came with the last load."""
     history = bronze.sales_transactions(spark, folder)
     last = history.agg(F.max("dt").alias("day")).scalar()
-    user = F.when(F.col("dt") == last, F.concat(F.lit("new-"), "user_id")).otherwise(F.col("user_id"))
-    return customers.customer_snapshots(history.withColumn("user_id", user), latest_only=True)
+    loaded = F.when(F.col("user_id").cast("bigint") % 3 == 0, last).otherwise(F.col("dt"))
+    return customers.customer_snapshots(history.withColumn("dt", loaded), latest_only=True)
 
 
 def _snapshot_and_stored(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -425,6 +509,21 @@ def batch_job(spark: SparkSession, folder: str) -> DataFrame:
     return job.table("user_behavior_summary").read()
 
 
+def batch_job_second_run(spark: SparkSession, folder: str) -> DataFrame:
+    """The customer history after a run on the even orders and an incremental one on all of them."""
+    history, root = bronze.sales_transactions(spark, folder), scratch_path(spark, "job-runs")
+    even = F.split_part("transaction_id", F.lit("-"), F.lit(1)).cast("bigint") % 2 == 0
+    for transactions in (history.where(even), history):
+        job = BatchJob(
+            spark,
+            Bronze(transactions, bronze.product_catalog(spark, folder), bronze.clickstream_events(spark, folder)),
+            root,
+            CENTS,
+        )
+        job.run({"customer"})
+    return job.table("d_customers").read()
+
+
 # --- assertions ------------------------------------------------------------------------------
 
 
@@ -488,6 +587,36 @@ def assertions_clean(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counted)
 
 
+def stored_violations(spark: SparkSession, folder: str) -> DataFrame:
+    """What a refused run left in the table of violations: products that repeat, and products without an id."""
+    catalog = bronze.product_catalog(spark, folder)
+    part = F.col("product_id").cast("bigint")
+    again = catalog.where(part % 10 == 0)
+    nameless = catalog.where(part % 25 == 1).withColumn("product_id", F.lit(None).cast("string"))
+    job = BatchJob(
+        spark,
+        Bronze(
+            bronze.sales_transactions(spark, folder),
+            catalog.unionByName(again).unionByName(nameless),
+            bronze.clickstream_events(spark, folder),
+        ),
+        scratch_path(spark, "refused-job"),
+    )
+    try:
+        job.run({"silver"})
+    except quality.AssertionFailed:
+        pass
+    kept = quality.violations(spark, job.violations_path)
+    return kept.select(
+        (F.col("run") == job.run_id).alias("this_run"),
+        "model",
+        "assertion",
+        F.get_json_object("violation", "$.product_id").alias("product_id"),
+        F.get_json_object("violation", "$.null_columns").alias("null_columns"),
+        F.get_json_object("violation", "$.n").cast("bigint").alias("n"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "scan_clickstream": scan_clickstream,
     "scan_support_tickets": scan_support_tickets,
@@ -504,7 +633,12 @@ QUERIES: dict[str, Query] = {
     "stream_raw_ingest": stream_raw_ingest,
     "stream_multi_topic": stream_multi_topic,
     "stream_landing": stream_landing,
+    "stream_redelivery": stream_redelivery,
     "typed_payload": typed,
+    "typed_payload_clickstream": typed_payload_clickstream,
+    "typed_payload_tickets": typed_payload_tickets,
+    "typed_payload_catalog": typed_payload_catalog,
+    "typed_payload_sales": typed_payload_sales,
     "latest_catalog_partition": latest_catalog_partition,
     "d_products": d_products,
     "flatten_items": flatten_items,
@@ -529,12 +663,14 @@ QUERIES: dict[str, Query] = {
     "browsed_categories": browsed_categories,
     "user_behavior_summary": user_behavior_summary,
     "batch_job": batch_job,
+    "batch_job_second_run": batch_job_second_run,
     "assert_unique_customers": assert_unique_customers,
     "assert_unique_products": assert_unique_products,
     "assert_nonnull_products": assert_nonnull_products,
     "assert_nonnull_sales": assert_nonnull_sales,
     "assert_required_raw": assert_required_raw,
     "assertions_clean": assertions_clean,
+    "stored_violations": stored_violations,
 }
 
 

@@ -9,6 +9,7 @@ from cairnlake import schemas
 from cairnlake.functions import topics
 from cairnlake.sources import tables
 from cairnlake.sources.messages import file_messages
+from cairnlake.storage import Storage
 from cairnlake.streaming import landing, raw_ingest
 from helpers import rows
 
@@ -125,11 +126,57 @@ def test_landed_bytes_are_unchanged(spark, tmp_path):
     publish(spark, tmp_path / "in", ("1", CATALOG, b"\xff\xfe\x00\x01"))
     assert land(spark, tmp_path, timeout=120)
     pattern = landing.landing_folder(str(tmp_path / "land"), CATALOG, ROUTES[CATALOG])
-    (path,) = glob.glob(f"{pattern}/dt=2024-06-15/part-*")
+    (path,) = glob.glob(f"{pattern}/dt=2024-06-15/*/part-*")
     with open(path, "rb") as landed:
         assert landed.read() == b"\xff\xfe\x00\x01\n"
 
 
+def test_a_broken_off_batch_lands_once(spark, tmp_path, monkeypatch):
+    """The driver dies after it has placed some folders of a batch, and again after all; files of no batch are lost or twice."""
+    publish(spark, tmp_path / "in", ("1", CLICKS, b"{}"), ("2", SALES, b"a"), ("3", TICKETS, b"{}"), ("4", CLICKS, b"[]"))
+    move, moved = Storage.move, []
+
+    def dies(self, source, target):
+        if len(moved) == 2:
+            raise RuntimeError("died")
+        moved.append(target)
+        return move(self, source, target)
+
+    monkeypatch.setattr(Storage, "move", dies)
+    with pytest.raises(StreamingQueryException):
+        land(spark, tmp_path)
+    monkeypatch.setattr(Storage, "move", move)
+    writer = landing.batch_writer(spark, str(tmp_path / "land"), str(tmp_path / "cp"), ROUTES)
+
+    def breaks_off(batch, number):
+        writer(batch, number)
+        raise RuntimeError("died")
+
+    stream = file_messages(spark, str(tmp_path / "in")).writeStream.foreachBatch(breaks_off)
+    with pytest.raises(StreamingQueryException):
+        stream.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination(120)
+    assert land(spark, tmp_path)
+    publish(spark, tmp_path / "in", ("5", CLICKS, b"5"))
+    assert land(spark, tmp_path)
+    found = {
+        topic: sorted(r.value for r in spark.read.text(landing.landing_folder(str(tmp_path / "land"), topic, ROUTES[topic])).collect())
+        for topic in (CLICKS, SALES, TICKETS)
+    }
+    assert found == {CLICKS: ["5", "[]", "{}"], SALES: ["a"], TICKETS: ["{}"]}
+    assert not glob.glob(str(tmp_path / "land" / "_landing" / "*"))
+
+
+def test_a_batch_reads_its_source_once(spark, tmp_path):
+    """Whatever the number of topics, one job of one scan writes a batch."""
+    publish(spark, tmp_path / "in", *((str(i), topic, b"x") for i, topic in enumerate(ROUTES)))
+    read = spark.sparkContext.accumulator(0)
+    seen = file_messages(spark, str(tmp_path / "in")).mapInArrow(
+        lambda batches: (read.add(batch.num_rows) or batch for batch in batches), schemas.MESSAGE_ENVELOPE
+    )
+    assert landing.finish(landing.start_landing(seen, str(tmp_path / "land"), str(tmp_path / "cp"), ROUTES), 120)
+    assert read.value == len(ROUTES)
+
+
 def test_drain_stops_after_its_time(spark, tmp_path):
     publish(spark, tmp_path / "in", ("1", CLICKS, b"{}"))
     streams = landing.start_landing(

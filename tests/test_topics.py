@@ -19,7 +19,7 @@ def test_routes_from_a_file(tmp_path):
     config = tmp_path / "config.json"
     config.write_text(json.dumps({"topic_bucket_map": {"a/t": ["b", "p", "csv"]}}))
     assert topics.load_landing_routes(str(config)) == {"a/t": topics.LandingRoute("b", "p", "csv")}
-    config.write_text("not valid json")
+    config.write_text("{topic: a/t}")
     with pytest.raises(json.JSONDecodeError):
         topics.load_landing_routes(str(config))
     with pytest.raises(FileNotFoundError):
@@ -28,13 +28,13 @@ def test_routes_from_a_file(tmp_path):
 
 def test_landed_name(spark):
     routes = topics.landing_routes("demo", "acme")
-    message = ("m", datetime(2024, 6, 15, 10, 30), "projects/demo/topics/clickstream-topic", b"x", {})
-    other = ("n", datetime(2024, 6, 15, 10, 30), "projects/demo/topics/unknown", b"x", {})
+    message = ("m", datetime(2021, 11, 9, 8, 7, 6), "projects/demo/topics/clickstream-topic", b"x", {})
+    other = ("n", datetime(2021, 11, 9, 8, 7, 6), "projects/demo/topics/unknown", b"x", {})
     messages = spark.createDataFrame([message, other], schemas.MESSAGE_ENVELOPE)
     (row,) = landed_names(messages, topics.route_table(spark, routes)).collect()
     assert row.bucket == "acme-bronze-events"
     assert row.object_name == (
-        "pubsub-data/clickstream-topic/dt=2024-06-15/clickstream_2024-06-15_10-30-00.json"
+        "pubsub-data/clickstream-topic/dt=2021-11-09/clickstream_2021-11-09_08-07-06.json"
     )
     assert landing_folder("/r/", message[2], routes[message[2]]) == (
         "/r/acme-bronze-events/pubsub-data/clickstream-topic"
