@@ -10,7 +10,7 @@ from cairnlake.llm.scratch import stored
 SLOT_BITS = 20
 
 
-def slot_of(hashed: Column, bits: int = SLOT_BITS) -> Column:
+def slot_of(hashed: Column, *, bits: int = SLOT_BITS) -> Column:
     """The slot of a 64-bit hash."""
     return hashed.bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
 

@@ -2,13 +2,14 @@
 
 Terms are lower-cased runs of letters and digits.  Their document frequencies are counted over all documents in a fixed
 number of hash slots, so the table of frequencies has a bounded size at any scale; rare terms that share a slot with
-a term of the band hardly move its frequency, as the band's limits are shares of all documents.  The lexicon is
-the set of slots whose inverse document frequency lies in the band.
+a term of the band hardly move its frequency, as the band's limits are shares of all documents, but count as terms of the
+band themselves.  The lexicon is the set of slots whose inverse document frequency lies in the band.
 
-A document's distinct lexicon terms are hashed under several randomised lexicons.  A lexicon comes as a series of
-subsets, each keeping half the terms of the one before; a document uses the last subset that keeps any of its terms,
-sorts those and hashes them, so that short and long documents alike are named by a few terms each time.  The likeness of two fingerprints is
-the share of lexicons under which they agree.  A hash of all terms is part of a fingerprint as well.
+Every randomised lexicon is a fixed random subset of that: a term is in it or not, whatever the document.  Of a document, all
+terms that a randomised lexicon has are sorted and hashed together.  Lexicons keep a quarter, an eighth and so on of all terms, several
+of each: the large ones tell documents of few terms apart, the small ones still agree when many of a long document's terms
+are exchanged.  The likeness of two fingerprints is the share of lexicons under which they agree, of those that have a term of
+either.  A hash of all terms is part of a fingerprint as well.
 
 Everything is DataFrame expressions; texts are shuffled once, to bring each document next to its neighbour.
 """
@@ -25,9 +26,9 @@ from cairnlake.llm.scratch import stored
 BAND = (0.0005, 0.02)
 #: Texts that are brought together to find neighbours.
 TEXTS_PER_RANGE = 4_000
-#: Randomised lexicons.
-LEXICONS = 32
-_POSITIVE = (1 << 62) - 1
+#: Randomised lexicons: so many of each size.  Size n keeps one of 2^n terms.
+DRAWS, SIZES = 4, range(2, 10)
+LEXICONS = DRAWS * len(SIZES)
 
 
 def terms(text: Column) -> Column:
@@ -39,17 +40,12 @@ def terms(text: Column) -> Column:
 def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
     """One row with ``bits``, the bitmap of the slots whose share of documents lies in the band."""
     total = docs.agg(F.count(F.lit(1)).alias("total"))
-    slot = F.transform(terms(docs["text"]), slot_of)
+    slot = F.transform(terms(docs["text"]), lambda h: slot_of(h))
     counts = docs.select(F.explode(F.array_distinct(slot)).alias("slot")).groupBy("slot").agg(F.count(F.lit(1)).alias("n"))
     share = F.col("n") / total.scalar()
     return bitmap(counts.where((share >= band[0]) & (share <= band[1])).select("slot"))
 
 
-def _level(number: Column) -> Column:
-    """The lowest set bit: the larger, the more subsets of the series keep the term."""
-    return number.bitwiseAND(-number)
-
-
 def with_fingerprint(table: DataFrame, text: Column, bits: Column, name: str) -> DataFrame:
     """Add ``name``: ``whole`` (hash of all distinct terms) and ``parts`` (a hash for each lexicon; 0: no terms).
 
@@ -57,35 +53,31 @@ def with_fingerprint(table: DataFrame, text: Column, bits: Column, name: str) ->
     terms has no parts but zeros.
     """
 
-    def drawn(lexicon_number: Column) -> Column:
-        return F.transform(
-            F.col("_own"),
-            lambda h: F.xxhash64(h, lexicon_number).bitwiseAND(F.lit(_POSITIVE)).bitwiseOR(F.lit(1 << 62)),
+    def kept(lexicon_: Column) -> Column:
+        return F.filter(
+            F.col("_own"), lambda h: F.xxhash64(h, lexicon_["draw"]).bitwiseAND(lexicon_["mask"]) == F.lit(0)
         )
 
-    def topped(numbers: Column) -> Column:
-        return F.struct(numbers.alias("all"), F.array_max(F.transform(numbers, _level)).alias("top"))
-
-    def last_kept(pair: Column) -> Column:
-        return F.sort_array(F.filter(pair["all"], lambda n: _level(n) == pair["top"]))
-
-    def hashed(kept: Column) -> Column:
-        return F.xxhash64(kept).bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.lit(1))
+    def hashed(terms_: Column) -> Column:
+        part = F.xxhash64(terms_).bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.lit(1))
+        return F.when(F.size(terms_) > 0, part).otherwise(F.lit(0).cast("long"))
 
-    parts = F.lit(list(range(LEXICONS)))
-    for step in (drawn, topped, last_kept, hashed):
-        parts = F.transform(parts, step)
+    lexicons = F.array(
+        *(
+            F.struct(F.lit(draw).alias("draw"), F.lit((1 << size) - 1).cast("long").alias("mask"))
+            for size in SIZES
+            for draw in range(DRAWS)
+        )
+    )
+    parts = F.transform(F.transform(lexicons, kept), hashed)
     # The second mention of _own keeps the optimiser from computing it anew for every lexicon.
     parts = F.when(F.size("_own") > 0, parts).otherwise(F.lit([0] * LEXICONS).cast("array<bigint>"))
     return (
-        table.withColumn("_terms", terms(text))
+        table.withColumn("_terms", F.sort_array(terms(text)))
         .withColumn("_bits", bits)
         .withColumn("_listed", F.filter("_terms", lambda h: has_slot(F.col("_bits"), slot_of(h))))
         .withColumn("_own", F.when(F.size("_listed") > 0, F.col("_listed")).otherwise(F.col("_terms")))
-        .withColumn(
-            name,
-            F.struct(F.xxhash64(F.sort_array("_terms")).alias("whole"), parts.alias("parts")),
-        )
+        .withColumn(name, F.struct(F.xxhash64("_terms").alias("whole"), parts.alias("parts")))
         .drop("_terms", "_listed", "_own", "_bits")
     )
 
@@ -96,11 +88,11 @@ def as_text(fingerprint: str) -> Column:
 
 
 def likeness(a: str, b: str) -> Column:
-    """The share of lexicons under which two fingerprints agree; 1 for equal ones."""
-    agree = F.filter(
-        F.zip_with(F.col(f"{a}.parts"), F.col(f"{b}.parts"), lambda x, y: (x == y) & (x != 0)), lambda same: same
-    )
-    return F.when(F.col(a) == F.col(b), F.lit(1.0)).otherwise(F.size(agree) / F.lit(float(LEXICONS)))
+    """The share of lexicons with a term of either under which two fingerprints agree; 1 for equal ones, 0 without lexicons."""
+    pairs = F.zip_with(F.col(f"{a}.parts"), F.col(f"{b}.parts"), lambda x, y: F.when((x != 0) | (y != 0), x == y))
+    used = F.size(F.filter(pairs, lambda same: same.isNotNull()))
+    agree = F.size(F.filter(pairs, lambda same: same))
+    return F.when(F.col(a) == F.col(b), F.lit(1.0)).otherwise(F.coalesce(F.try_divide(agree, used), F.lit(0.0)))
 
 
 def fingerprint_documents(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:

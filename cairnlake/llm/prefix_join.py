@@ -81,7 +81,7 @@ def shingles_in_documents(docs: DataFrame, bits: Column, lengths: list[int], win
     places = split.select("*", F.posexplode(F.concat("words", F.array(F.lit(None).cast("string")))).alias("at", "_word"))
     words, at, count, longest = F.col("words"), F.col("at"), F.size("words"), max(lengths, default=0)
     known = {
-        n: (at + n <= count) & has_slot(bits, slot_of(_shingle(words, at, n), SHINGLE_BITS)) for n in lengths
+        n: (at + n <= count) & has_slot(bits, slot_of(_shingle(words, at, n), bits=SHINGLE_BITS)) for n in lengths
     }
 
     def entry(n: int) -> Column:
@@ -146,7 +146,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW,
     windows = stored(item_windows(items, window), "item-windows")
     tokens = stored(window_shingles(windows.select("win", "seq").distinct(), shingle), "window-shingles")
     lengths = sorted(row["length"] for row in tokens.select("length").distinct().collect())  # at most ``shingle`` of them
-    bits = bitmap(tokens.select(slot_of(F.col("token"), SHINGLE_BITS).alias("slot")).distinct(), SHINGLE_BITS)
+    bits = bitmap(tokens.select(slot_of(F.col("token"), bits=SHINGLE_BITS).alias("slot")).distinct(), SHINGLE_BITS)
     found = stored(shingles_in_documents(docs, bits.scalar(), lengths, window), "document-shingles")
 
     hit = stored(covered(occurrences(found, tokens)).withColumn("set", F.md5(F.array_join("wins", ""))), "hit-documents")

@@ -1,11 +1,14 @@
 """Mixing, sharding and fingerprints."""
 
 import hashlib
+import struct
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
 
 import pytest
+import regex
+import xxhash
 from hypothesis import given, settings, strategies as st
 
 from cairnlake.llm import i_match, mixing, row_numbers, sharding
@@ -145,6 +148,64 @@ def test_shards_of_every_kind_of_row(edge_documents, no_documents):
     assert sharding.shard_documents(no_documents, 4).count() == 0
 
 
+def plain_terms(text):
+    found = {t for t in regex.split(r"[^\p{L}\p{N}]+", text.lower()) if t}
+    return sorted(signed(xxhash.xxh64_intdigest(t.encode(), 42)) for t in found)
+
+
+def signed(number):
+    return number - (1 << 64) if number >> 63 else number
+
+
+def hash_of(numbers):
+    found = 42
+    for n in numbers:
+        found = xxhash.xxh64_intdigest(struct.pack("<q", n), found)
+    return found
+
+
+def plain_parts(own):
+    """The hash of the sorted terms that each fixed lexicon has."""
+    parts = []
+    for size in range(2, 10):
+        for draw in range(4):
+            mask = (1 << size) - 1
+            kept = [h for h in own if xxhash.xxh64_intdigest(struct.pack("<i", draw), hash_of([h])) & mask == 0]
+            parts.append(hash_of(kept) & 0xFFFFFFFF | 1 if kept else 0)
+    return parts
+
+
+def plain_likeness(a, b):
+    used = [(x, y) for x, y in zip(a[1], b[1]) if x or y]
+    return 1.0 if a == b else sum(x == y for x, y in used) / len(used) if used else 0.0
+
+
+@pytest.mark.parametrize("low, high", [(0.05, 0.5), (0.9, 0.95)])
+def test_fingerprints_equal_plain_python(spark, low, high):
+    """Band, lexicons, hashes and likeness; with the second band no text has a term of it."""
+    rows = [(i, " ".join(f"T{(i * 7 + j) % 150 + 100 * (j % 3)}é," for j in range(40 + 3 * i))) for i in range(40)]
+    rows += [(50, None), (51, "tiny text"), (52, ""), (53, rows[3][1])]
+    texts = [t or "" for _, t in rows]
+    count = Counter(slot for t in texts for slot in {h & 0xFFFFF for h in plain_terms(t)})
+    band = {slot for slot, n in count.items() if low <= n / len(texts) <= high}
+
+    def fingerprint(text):
+        every = plain_terms(text)
+        return hash_of(every), plain_parts([h for h in every if h & 0xFFFFF in band] or every)
+
+    def as_text(print_):
+        return f"{print_[0]:016x}" + "".join(f"{p:08x}" for p in print_[1])
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for r in i_match.fingerprint_documents(docs, (low, high)).collect():
+        i = [d for d, _ in rows].index(r.doc_id)
+        after, part = texts[(i + 1) % len(texts)], len(texts[i]) // 4
+        own, changed, other = map(fingerprint, (texts[i], texts[i][: len(texts[i]) - part] + after[:part], after))
+        assert (r.fingerprint, r.edited_fingerprint) == (as_text(own), as_text(changed))
+        assert r.near_edited == pytest.approx(plain_likeness(own, changed))
+        assert r.near_next == pytest.approx(plain_likeness(own, other))
+
+
 @pytest.mark.parametrize("texts_per_range", [1, 4000])
 def test_fingerprints_and_edits(spark, edge_documents, no_documents, monkeypatch, texts_per_range):
     monkeypatch.setattr(i_match, "TEXTS_PER_RANGE", texts_per_range)
