@@ -3,13 +3,12 @@
 Targets: sources in code point order, null last, weigh as given, repeating; they share the tokens of all sources by
 weight, but none gets more than ``max_repeats`` times its own, and what is over is shared again among the others.
 
-The tokens of the mix are given to sources one after the other, each to the source with the highest quotient
-``target / (2 * given + 1)``.  Consecutive parts of that sequence are the shards, so each shard has its integer quota of every
-source, and the quotas add up to the best apportionment of the whole.  As a seat is one token, no source is too small for one.
-
 Each source's tokens, with its documents in a seeded order, are cut into blocks of equal size, the last of what remains.
-A source fills its quota by going through its blocks in a seeded permutation, again from the start when it is through; of the
-block that is over the quota it takes the first tokens only.  Documents are cut where blocks are.
+A source's seats in the mix are blocks: it goes through its blocks in a seeded permutation, again from the start when it is through,
+until it has its target; the last seat may be a part of a block, so that a source smaller than a block gets its target, too.
+Seats go to sources one after the other, each to the source with the highest quotient ``target / (2 * given + 1)`` of
+those that have not got all of theirs.  Consecutive parts of that sequence, of equal numbers of seats, are the shards: each shard has
+its integer quota of blocks of every source, and which blocks these are follows from the permutation.
 
 Only totals of sources meet in the driver.  Places of documents within a source come from totals of ranges of the
 seeded order, so a source with a third of all documents is no group of its own anywhere.
@@ -20,17 +19,11 @@ from __future__ import annotations
 import hashlib
 import heapq
 import math
-from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cairnlake.llm.scratch import stored
-from cairnlake.llm.text_arrays import read_texts
-from cairnlake.llm.workers import map_batches
 
 WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
@@ -52,23 +45,28 @@ class Quota:
     tokens: int
     target: float
     blocks: int
-    #: Tokens of this source's sequence that belong to the shards up to each one.
+    #: Tokens that the mix takes, repeats counted.
+    taken: int
+    #: Seats of this source, in the order of its turns, that belong to the shards up to each one.
     shard_ends: tuple[int, ...]
     factor: int
     shift: int
 
-    @property
-    def taken_tokens(self) -> int:
-        return self.shard_ends[-1] if self.shard_ends else 0
+    def turn(self, block: int) -> int:
+        """When in a pass the block has its turn."""
+        return (block * self.factor + self.shift) % max(self.blocks, 1)
+
+
+def last_pass(tokens: int, taken: int, blocks: int, block: int, last_turn: int) -> tuple[int, int]:
+    """Turns of the pass that does not go through, and the tokens that it takes of the block after them.
 
-    def last_pass(self, block: int) -> tuple[int, int]:
-        """Turns of the pass that does not go through, and the tokens that it takes of the block after them."""
-        if not self.tokens:
-            return 0, 0
-        rest, short = self.taken_tokens % self.tokens, self.tokens - (self.blocks - 1) * block
-        turn = ((self.blocks - 1) * self.factor + self.shift) % self.blocks
-        # After the turn of the short last block, as if it were a whole one.
-        return divmod(rest + (block - short if rest >= turn * block + short else 0), block)
+    ``last_turn`` is the turn of the last block, which may be short.
+    """
+    if not tokens:
+        return 0, 0
+    rest, short = taken % tokens, tokens - (blocks - 1) * block
+    # After the turn of the short block, as if it were a whole one.
+    return divmod(rest + (block - short if rest >= last_turn * block + short else 0), block)
 
 
 def share_targets(tokens: list[int], weights: list[int], max_repeats: int) -> list[float]:
@@ -129,20 +127,20 @@ def plan_mix(
     tokens = [n for _, n in ordered]
     targets = share_targets(tokens, [weights[i % len(weights)] for i in range(len(tokens))], max_repeats)
     block = max(1, min(BLOCK_TOKENS, sum(tokens) // least_blocks))
-    blocks = [-(-n // block) for n in tokens]
-    seats = round(sum(targets))
-    limits = [max_repeats * n for n in tokens]
-    ends = [apportion(targets, limits, seats * (shard + 1) // shards) for shard in range(shards)]
-    quotas = []
+    quotas, seats = [], []
     for i, (source, size) in enumerate(ordered):
+        blocks = -(-size // block)
         draw = int(hashlib.md5(f"{seed}:{i}".encode()).hexdigest(), 16)
-        factor, count = draw % max(blocks[i], 1), max(blocks[i], 1)
+        factor, count = draw % max(blocks, 1), max(blocks, 1)
         while math.gcd(factor, count) != 1:
             factor += 1
-        quotas.append(
-            Quota(source, size, targets[i], blocks[i], tuple(e[i] for e in ends), factor % count, (draw >> 64) % count)
-        )
-    return block, quotas
+        taken = min(max_repeats * size, math.floor(targets[i] + 0.5))
+        quota = Quota(source, size, targets[i], blocks, taken, (), factor % count, (draw >> 64) % count)
+        extra, cut = last_pass(size, taken, blocks, block, quota.turn(blocks - 1))
+        quotas.append(quota)
+        seats.append((taken // size * blocks + extra + (cut > 0)) if size else 0)
+    ends = [apportion(targets, seats, sum(seats) * (shard + 1) // shards) for shard in range(shards)]
+    return block, [replace(quota, shard_ends=tuple(e[i] for e in ends)) for i, quota in enumerate(quotas)]
 
 
 def count_words(text: Column) -> Column:
@@ -180,10 +178,8 @@ def placed(rows: DataFrame, seed: int, most: int) -> DataFrame:
     )
 
 
-def _taken_of(number: Column, quota: Column, block: int) -> Column:
-    """Tokens of a block, from its first, that the last pass takes."""
-    turn = (number * quota["factor"] + quota["shift"]) % quota["blocks"]
-    return F.when(turn < quota["extra"], block).when(turn == quota["extra"], quota["cut"]).otherwise(0)
+def _turn(number: Column, quota: Column) -> Column:
+    return (number * quota["factor"] + quota["shift"]) % quota["blocks"]
 
 
 def mixed(
@@ -202,11 +198,12 @@ def mixed(
     block, quotas = plan_mix([(r["_source"], r["n"]) for r in totals], weights, max_repeats, shards, seed, least_blocks)
     table = spark.createDataFrame(
         [
-            (q.source, q.tokens, q.target, max(q.blocks, 1), q.taken_tokens // max(q.tokens, 1),
-             *q.last_pass(block), q.factor, q.shift)
+            (q.source, q.tokens, q.target, max(q.blocks, 1), q.taken // max(q.tokens, 1),
+             *last_pass(q.tokens, q.taken, q.blocks, block, q.turn(q.blocks - 1)), q.factor, q.shift, list(q.shard_ends))
             for q in quotas
         ],
-        "_name string, tokens long, target double, blocks long, passes long, extra long, cut long, factor long, shift long",
+        "_name string, tokens long, target double, blocks long, passes long, extra long, cut long, factor long, shift long, "
+        "ends array<long>",
     )
     fields = [c for c in table.columns if c != "_name"]
     quota = table.select("_name", F.struct(*fields).alias("_quota"))
@@ -222,11 +219,11 @@ def mix_documents(
     shards: int = 8,
     seed: int = 0,
 ) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` for every row of documents.
+    """``doc_id, size, source_size, target, taken, by_shard`` for every row of documents.
 
     The size is the number of words; a null or empty text has none and nothing is taken of it.  Null is a source of
-    its own.  ``taken`` counts words as often as the mix repeats them.  Rows that repeat are documents of their own;
-    which of them a block cuts does not matter.  Extra columns are not read.
+    its own.  ``taken`` counts words as often as the mix repeats them, ``by_shard`` those of each shard.  Rows that repeat are
+    documents of their own; which of them a block cuts does not matter.  Extra columns are not read.
     """
     rows = stored(
         docs.select(
@@ -238,20 +235,41 @@ def mix_documents(
         "mix-sizes",
     )
     block, found = mixed(rows, weights, max_repeats, shards, seed)
-    at, end = F.col("_at"), F.col("_at") + F.col("_size")
+    at, end, quota = F.col("_at"), F.col("_at") + F.col("_size"), F.col("_quota")
     first, last = (at - at % block) / block, (end - 1 - (end - 1) % block) / block
-    taken = F.aggregate(
-        F.sequence(first.cast("long"), F.greatest(first, last).cast("long")),
-        F.col("_quota.passes") * F.col("_size"),
-        lambda sum_, b: sum_
-        + F.greatest(F.least(end, b * block + _taken_of(b, F.col("_quota"), block)) - F.greatest(at, b * block), F.lit(0)),
-    )
-    return found.select(
+
+    def seats(number: Column) -> Column:
+        """The shard of each seat that a block has, and the words that it takes of the document."""
+        turn, low = _turn(number, quota), F.greatest(at, number * block)
+
+        def seat(pass_: Column) -> Column:
+            place = pass_ * quota["blocks"] + turn
+            kept = (
+                F.when((pass_ < quota["passes"]) | (turn < quota["extra"]), block)
+                .when(turn == quota["extra"], quota["cut"])
+                .otherwise(0)
+            )
+            return F.struct(
+                F.size(F.filter(quota["ends"], lambda end_: end_ <= place)).alias("shard"),
+                F.greatest(F.least(end, number * block + kept) - low, F.lit(0)).alias("words"),
+            )
+
+        return F.transform(F.sequence(F.lit(0).cast("long"), quota["passes"]), seat)
+
+    every = F.flatten(F.transform(F.sequence(first.cast("long"), F.greatest(first, last).cast("long")), seats))
+
+    def of_shard(shard: Column) -> Column:
+        return F.aggregate(F.col("_seats"), F.lit(0).cast("long"), lambda sum_, s: sum_ + F.when(s["shard"] == shard, s["words"]).otherwise(0))
+
+    listed = found.withColumn("_seats", F.when(F.col("_size") > 0, every).otherwise(F.array().cast("array<struct<shard:int,words:bigint>>")))
+    counted = listed.withColumn("_shards", F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), of_shard))
+    return counted.select(
         F.col("_id").alias("doc_id"),
         F.col("_size").alias("size"),
-        F.col("_quota.tokens").alias("source_size"),
-        F.col("_quota.target").alias("target"),
-        F.when(F.col("_size") > 0, taken).otherwise(F.lit(0)).cast("long").alias("taken"),
+        quota["tokens"].alias("source_size"),
+        quota["target"].alias("target"),
+        F.aggregate("_shards", F.lit(0).cast("long"), lambda sum_, n: sum_ + n).alias("taken"),
+        F.col("_shards").alias("by_shard"),
     )
 
 
@@ -261,15 +279,15 @@ def taken_texts(
     max_repeats: int = MAX_REPEATS,
     shards: int = 8,
     seed: int = 0,
-    least_blocks: int = 10_000,
+    least_blocks: int = 64,
 ) -> DataFrame:
     """What the mix takes of ``docs``, in its columns: a row for each time a document is taken.
 
-    A document that a block border cuts keeps the words that are taken, from the first to the last of each run of
-    words, runs joined by a line break; ``n_chars``, if there, counts the new text.  Documents without words are not taken.
+    Documents are taken whole: one goes with the block in which its first word is, and with a part of a block if that word is in
+    the part.  A source has its target but for about a document at each end of a run of blocks, and blocks are large here (a
+    64th of all tokens or 65,536, whichever is less) so that there are few.  Documents without words are not taken.  Repeated rows and columns with any names are as in ``docs``.
     """
     names = [f"_keep{i}" for i in range(len(docs.columns))]
-    place, chars = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
     rows = docs.select(
         *(docs[c].alias(n) for c, n in zip(docs.columns, names)),
         order_key(docs).alias("_key"),
@@ -277,47 +295,9 @@ def taken_texts(
         count_words(docs["text"]).alias("_size"),
     )
     block, found = mixed(rows, weights, max_repeats, shards, seed, least_blocks)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at, quota = batch.column("_at").to_numpy(), batch.column("_quota").to_pylist()
-            for first, texts in read_texts(batch.column(names[place])):
-                starts, ends, bounds = texts.words()
-                take, new = [], []
-                for i in range(len(texts)):
-                    size, q = int(bounds[i + 1] - bounds[i]), quota[first + i]
-                    if not size:
-                        continue
-                    whole = texts.text_bytes(i).tobytes().decode()
-                    begin = int(at[first + i])
-                    blocks = np.arange(begin // block, (begin + size - 1) // block + 1)
-                    turn = (blocks * q["factor"] + q["shift"]) % q["blocks"]
-                    taken = np.where(turn < q["extra"], block, np.where(turn == q["extra"], q["cut"], 0))
-                    low = np.maximum(blocks * block - begin, 0)
-                    high = np.minimum(blocks * block + taken - begin, size)
-                    low, high = low[low < high], high[low < high]
-                    copies = [whole] * q["passes"]
-                    if len(low):
-                        # Blocks that follow each other without a gap are one run.
-                        gap = low[1:] > high[:-1]
-                        low, high = low[np.r_[True, gap]], high[np.r_[gap, True]]
-                        runs = [
-                            texts.data[starts[a] : ends[b]].tobytes().decode()
-                            for a, b in zip(low + bounds[i], high + bounds[i] - 1)
-                        ]
-                        copies.append(whole if high[0] - low[0] == size else "\n".join(runs))
-                    take += [first + i] * len(copies)
-                    new += copies
-                rows_ = batch.select(names).take(pa.array(take, pa.int64()))
-                columns = rows_.columns
-                columns[place] = pa.array(new, pa.string())
-                if chars is not None:
-                    cut = pc.not_equal(columns[place], rows_.column(place))
-                    columns[chars] = pc.if_else(
-                        cut, pc.utf8_length(columns[place]).cast(columns[chars].type), columns[chars]
-                    )
-                yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    table = found.select(*names, "_at", "_quota")
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table.schema.fields[: len(names)])
-    return map_batches(table, run, fields).toDF(*docs.columns)
+    quota, inside = F.col("_quota"), F.col("_at") % block
+    turn = _turn((F.col("_at") - inside) / block, quota)
+    again = (turn < quota["extra"]) | ((turn == quota["extra"]) & (inside < quota["cut"]))
+    copies = F.when(F.col("_size") > 0, quota["passes"] + again.cast("long")).otherwise(0)
+    taken = found.withColumn("_copies", copies).where("_copies > 0")
+    return taken.select(*names, F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).select(*names).toDF(*docs.columns)

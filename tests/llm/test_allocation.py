@@ -57,11 +57,64 @@ def test_mix_against_its_plan(spark, monkeypatch, documents_per_range):
     for name, target in zip(names, targets):
         assert by[name][2] == by[name][0] and by[name][3] == pytest.approx(target)
         assert abs(by[name][1] - target) <= 4
-    texts = mixing.taken_texts(docs, seed=1)
+    assert (got.by_shard.map(sum) == got.taken).all()
+    before = Counter((d, t) for d, t, _ in rows)
     taken = Counter()
-    for r in texts.collect():
+    for r in mixing.taken_texts(docs, seed=1).collect():
+        assert before[r.doc_id, r.text] == 1
         taken[r.source] += len(r.text.split())
-    assert all(abs(taken[n] - t) <= 4 * max(1, 7200 // 10_000) + 4 for n, t in zip(names, targets))
+    # Whole documents: off by those that lie across the end of what is taken.
+    assert all(abs(taken[n] - t) <= 4 * 37 for n, t in zip(names, targets))
+
+
+def plain_mix(documents, weights, max_repeats, shards, seed, block):
+    """Words that each shard takes of each document: seats given one by one, blocks taken word by word."""
+    words = defaultdict(list)
+    order = {doc: int(hashlib.md5(f"{seed}:{doc}".encode()).hexdigest()[:15], 16) for doc, _, _ in documents}
+    for doc, size, source in sorted(documents, key=lambda r: order[r[0]]):
+        words[source] += [doc] * size
+    sources = sorted((s for s in {r[2] for r in documents} if s is not None)) + [None] * any(r[2] is None for r in documents)
+    targets = mixing.share_targets([len(words[s]) for s in sources], [weights[i % len(weights)] for i in range(len(sources))], max_repeats)
+    queues = []
+    for i, source in enumerate(sources):
+        own = words[source]
+        cut = [own[j : j + block] for j in range(0, len(own), block)]
+        draw = int(hashlib.md5(f"{seed}:{i}".encode()).hexdigest(), 16)
+        factor, count = draw % max(len(cut), 1), max(len(cut), 1)
+        while Fraction(factor, count).denominator != count:
+            factor += 1
+        turns = sorted(range(len(cut)), key=lambda b: (b * factor + (draw >> 64)) % count)
+        left, queue = min(max_repeats * len(own), int(targets[i] + 0.5)), []
+        while left > 0 and cut:
+            for b in turns:
+                if left > 0:
+                    queue.append(cut[b][:left])
+                    left -= len(queue[-1])
+        queues.append(queue)
+    total, given = sum(map(len, queues)), [0] * len(sources)
+    taken = defaultdict(lambda: [0] * shards)
+    for shard in range(shards):
+        for _ in range(total * (shard + 1) // shards - total * shard // shards):
+            waiting = [i for i in range(len(sources)) if given[i] < len(queues[i])]
+            i = max(waiting, key=lambda i: (Fraction(targets[i]) / (2 * given[i] + 1), -i))
+            for doc in queues[i][given[i]]:
+                taken[doc][shard] += 1
+            given[i] += 1
+    return taken
+
+
+@pytest.mark.parametrize("block, shards", [(7, 8), (64, 3), (1000, 5)])
+def test_shards_take_the_blocks_of_their_quotas(spark, monkeypatch, block, shards):
+    monkeypatch.setattr(mixing, "BLOCK_TOKENS", block)
+    plan = mixing.plan_mix
+    monkeypatch.setattr(mixing, "plan_mix", lambda *given: plan(*given[:5], least_blocks=1))
+    names = ["big"] * 200 + ["small"] * 6 + ["tiny", None, None] + ["other"] * 60
+    documents = [(i, i * 7 % 31, name) for i, name in enumerate(names)]
+    rows = [(i, " ".join(["w"] * size), name) for i, size, name in documents]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    expected = plain_mix(documents, (1, 3, 2, 2), 3, shards, 1, block)
+    got = mixing.mix_documents(docs, weights=(1, 3, 2, 2), shards=shards, seed=1).collect()
+    assert {r.doc_id: r.by_shard for r in got} == {doc: expected[doc] for doc, _, _ in documents}
 
 
 @pytest.mark.parametrize("least_blocks", [10_000, 100_000])
@@ -71,14 +124,18 @@ def test_small_sources_get_their_targets(least_blocks):
     block, quotas = mixing.plan_mix(list(sizes.items()), (1, 2, 3), 3, 8, 0, least_blocks)
     assert block > 25_000
     for q in quotas:
-        assert abs(q.shard_ends[-1] - q.target) <= 1 and list(q.shard_ends) == sorted(q.shard_ends)
-        turns, cut = q.last_pass(block)
+        assert abs(q.taken - q.target) <= 1 and list(q.shard_ends) == sorted(q.shard_ends)
+        turns, cut = mixing.last_pass(q.tokens, q.taken, q.blocks, block, q.turn(q.blocks - 1))
+        assert q.shard_ends[-1] == q.taken // q.tokens * q.blocks + turns + (cut > 0)
         taken = [min(block, q.tokens - b * block) for b in range(q.blocks)]
-        order = sorted(range(min(q.blocks, 10)), key=lambda b: (b * q.factor + q.shift) % q.blocks)
+        order = sorted(range(min(q.blocks, 10)), key=q.turn)
         if q.blocks < 10:
             in_last = sum(taken[b] for b in order[:turns]) + cut
-            assert q.shard_ends[-1] == q.shard_ends[-1] // q.tokens * q.tokens + in_last
+            assert q.taken == q.taken // q.tokens * q.tokens + in_last
             assert not cut or cut < taken[order[turns]]
+    # Every shard has as many blocks, and its quota of the largest source is what that source has of all.
+    seats = [sum(q.shard_ends[s] - (q.shard_ends[s - 1] if s else 0) for q in quotas) for s in range(8)]
+    assert max(seats) - min(seats) <= 1
 
 
 @pytest.mark.parametrize("block", [7, 64, 1000])
@@ -94,11 +151,14 @@ def test_mix_takes_its_quota_to_the_word(spark, monkeypatch, block):
     for name in set(names):
         own = [got[d] for d, _, s in rows if s == name]
         assert abs(sum(r.taken for r in own) - own[0].target) <= 1
+    texts = {d: t for d, t, _ in rows}
     words = Counter()
     for r in mixing.taken_texts(docs, weights=(1, 3, 2, 2), seed=1).collect():
-        words[r.doc_id] += len(r.text.split())
-        assert len(set(r.text.split())) == len(r.text.split())
-    assert all(words[d] == r.taken for d, r in got.items())
+        assert r.text == texts[r.doc_id]
+        words[r.source] += len(r.text.split())
+    for name in set(names):
+        target = next(got[d].target for d, _, s in rows if s == name)
+        assert abs(words[name] - target) <= 4 * 31
 
 
 def test_mix_takes_every_kind_of_row(edge_documents, no_documents):
