@@ -363,5 +363,7 @@ def link_documents(docs: DataFrame, threshold: Fraction = THRESHOLD, width: int
 def keep_one_of_each(docs: DataFrame, threshold: Fraction = THRESHOLD, width: int = SHINGLE_WORDS) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of its near-duplicates, with all their columns."""
     kept = link_documents(docs, threshold, width).where("kept").select(row_key(F.col("doc_id")).alias("_id")).distinct()
-    named = docs.withColumn("_id", row_key(docs["doc_id"]))
-    return named.join(kept.hint("shuffle_hash"), "_id", "left_semi").select(*docs.columns)
+    # Own names by place, as any name can be a column of docs.
+    names = [f"_keep{i}" for i in range(len(docs.columns))]
+    named = docs.toDF(*names).withColumn("_id", row_key(F.col(names[docs.columns.index("doc_id")])))
+    return named.join(kept.hint("shuffle_hash"), "_id", "left_semi").select(*names).toDF(*docs.columns)

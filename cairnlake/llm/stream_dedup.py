@@ -68,7 +68,7 @@ def text_digests(docs: DataFrame) -> DataFrame:
 
 def stays(n_points: str = "n_points", doc_id: str = "doc_id") -> Column:
     """What the row that stays has the largest value of: most code points, then the smallest doc_id."""
-    return F.struct(F.col(n_points).alias("n_points"), (-F.col(doc_id)).alias("minus_id"), F.col("locator"))
+    return F.struct(F.col(n_points).alias("n_points"), F.bitwise_not(F.col(doc_id)).alias("minus_id"), F.col("locator"))
 
 
 def keyed_state(digests: DataFrame) -> DataFrame:
@@ -145,9 +145,9 @@ def deduplicate(docs: DataFrame, digest_digits: int = DIGEST_DIGITS) -> DataFram
     )
     multiple = hits.join(groups, ["digest", "other"]).select(
         "doc_id",
-        (-F.col("best.minus_id")).alias("keep_id"),
+        F.bitwise_not(F.col("best.minus_id")).alias("keep_id"),
         "group_size",
-        F.col("doc_id").eqNullSafe(-F.col("best.minus_id")).alias("kept"),
+        F.col("doc_id").eqNullSafe(F.bitwise_not(F.col("best.minus_id"))).alias("kept"),
         "text_sha256",
     )
     return single.unionByName(multiple)
@@ -159,7 +159,7 @@ def _checked(docs: DataFrame, members: DataFrame, digest_digits: int) -> DataFra
         "doc_id",
         "locator",
         "digest",
-        (F.col("locator").eqNullSafe(F.col("best.locator")) & F.col("doc_id").eqNullSafe(-F.col("best.minus_id"))).alias(
+        (F.col("locator").eqNullSafe(F.col("best.locator")) & F.col("doc_id").eqNullSafe(F.bitwise_not(F.col("best.minus_id")))).alias(
             "is_best"
         ),
     ).distinct()
@@ -199,12 +199,16 @@ def _checked(docs: DataFrame, members: DataFrame, digest_digits: int) -> DataFra
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; of rows equal in doc_id and text one stays."""
+    # Own names by place, as any name can be a column of docs.
+    names = [f"_keep{i}" for i in range(len(docs.columns))]
+    place = {name: F.col(names[i]) for i, name in enumerate(docs.columns)}
     stay_ = deduplicate(docs).where("kept").select(row_key(F.col("doc_id")).alias("_id"), F.col("text_sha256").alias("_sha"))
-    named = docs.withColumn("_id", row_key(docs["doc_id"])).withColumn("_sha", F.sha2(normalised(docs["text"]), 256))
+    named = docs.toDF(*names)
+    named = named.withColumn("_id", row_key(place["doc_id"])).withColumn("_sha", F.sha2(normalised(place["text"]), 256))
     rows = named.join(stay_.distinct().hint("shuffle_hash"), ["_id", "_sha"], "left_semi")
     # The join has brought equal rows together.
-    number = F.row_number().over(Window.partitionBy("_id", "_sha").orderBy(F.char_length(F.col("text")).desc()))
-    return rows.withColumn("_number", number).where("_number = 1").select(*docs.columns)
+    number = F.row_number().over(Window.partitionBy("_id", "_sha").orderBy(F.char_length(place["text"]).desc()))
+    return rows.withColumn("_number", number).where("_number = 1").select(*names).toDF(*docs.columns)
 
 
 def row_key(doc_id: Column) -> Column:

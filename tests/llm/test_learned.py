@@ -3,6 +3,7 @@
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from cairnlake.llm import bradley_terry, kneser_ney, queries
 from cairnlake.llm.text_arrays import read_texts
@@ -39,6 +40,27 @@ def test_every_row_gets_a_toxicity_score(spark, edge_documents, no_documents):
     assert kneser_ney.score_documents(edge_documents, labels.limit(0)).toPandas().score.between(0, 1).all()
 
 
+def test_sample_has_one_row_of_a_document(spark):
+    """A labelled doc_id that repeats with many texts counts once, and always the same of its rows."""
+    rows = [(1, f"text {i}") for i in range(3000)] + [(2, "other"), (3, None), (4, "unlabelled"), (None, "no id")]
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (3, 0)], "doc_id long, quality int")
+    always = F.lit(True)
+
+    def sample(parts):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        found = bradley_terry.labelled_sample(docs, labels, "quality", always, 10).collect()
+        return sorted((r._label, str(r.text)) for r in found)
+
+    assert len(sample(7)) == 3 and sample(7) == sample(2)
+    assert (0, "other") in sample(7) and (1, "None") in sample(7)
+
+
+def test_empty_tables_keep_good_columns(no_documents):
+    values = np.concatenate([bradley_terry.features(t) for _, t in read_texts(pa.array(["a b c", ""]))])
+    kept = bradley_terry.keep_good(no_documents, bradley_terry.fit(values, np.array([True, False]), seed=0))
+    assert kept.columns == no_documents.columns and kept.count() == 0
+
+
 def test_keeping_good_rows_keeps_their_columns(spark, edge_documents):
     values = np.concatenate([bradley_terry.features(t) for _, t in read_texts(pa.array(["a b c", "x! y! z!", ""]))])
     ranking = bradley_terry.fit(np.repeat(values, 5, axis=0), np.repeat([True, False, True], 5), seed=0)
