@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
+import errno
 import os
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
+def _move_here(source: str, target: str) -> bool:
+    """A move on a disk of this machine: Hadoop's would start a process for each, and could overwrite a file."""
+    os.makedirs(os.path.dirname(target), exist_ok=True)
+    try:
+        if os.path.isdir(source):
+            os.rename(source, target)  # refuses a folder that has something in it
+        else:
+            os.link(source, target)
+            os.unlink(source)
+    except OSError as error:
+        if error.errno in (errno.EEXIST, errno.ENOTEMPTY):
+            return False
+        raise
+    return True
+
+
 class Storage:
     """The file system of a path."""
 
@@ -16,6 +33,7 @@ class Storage:
         self._hadoop, self._gateway = context._jvm.org.apache.hadoop.fs, context._gateway
         self._configuration = context._jsc.hadoopConfiguration()
         self._files = self._hadoop.Path(path).getFileSystem(self._configuration)
+        self._local = self._files.getScheme() == "file"
         self._context = None
 
     def names(self, folder: str, folders: bool, empty: bool = False) -> list[str]:
@@ -46,7 +64,7 @@ class Storage:
         That holds on local disks, on HDFS, and on object stores with conditional writes.
         """
         place = self._hadoop.Path(path)
-        if self._files.getScheme() == "file":
+        if self._local:
             name = place.toUri().getPath()
             os.makedirs(os.path.dirname(name), exist_ok=True)
             try:
@@ -73,6 +91,8 @@ class Storage:
     def move(self, source: str, target: str) -> bool:
         """Give a file or folder another name unless that is taken; nobody sees a part of it."""
         start, end = self._hadoop.Path(source), self._hadoop.Path(target)
+        if self._local:
+            return _move_here(start.toUri().getPath(), end.toUri().getPath())
         self._files.mkdirs(end.getParent())
         if self._context is None:
             self._context = self._hadoop.FileContext.getFileContext(self._files.getUri(), self._configuration)
