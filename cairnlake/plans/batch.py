@@ -16,6 +16,8 @@ from cairnlake.sinks.versioned import VersionedTable, with_date
 from cairnlake.sources import tables
 from cairnlake.storage import Storage
 
+#: The models in the order they are built.
+MODELS = ("d_products", "f_sales", "d_customers", "user_behavior_summary")
 #: The assertions on a model, given its staged version.
 Assertions = Callable[[DataFrame], list[DataFrame]]
 
@@ -139,16 +141,23 @@ class BatchJob:
         )
         self._publish("user_behavior_summary", summary)
 
+    def register_models(self) -> list[str]:
+        """Give the newest published versions of the models their names, so that SQL can refer to them; returns the names."""
+        names = [name for name in MODELS if self.table(name).versions()]
+        for name in names:
+            self.table(name).read().createOrReplaceTempView(name)
+        return names
+
     def run(self, tags: set[str] | frozenset[str] = frozenset({"silver", "gold"})) -> list[str]:
         """Run the models that carry one of the tags and return their names."""
         self.run_id = uuid.uuid4().hex
-        models = [
-            ("d_products", products.TAGS, self.build_products),
-            ("f_sales", sales.TAGS, self.build_sales),
-            ("d_customers", customers.TAGS, self.build_customers),
-            ("user_behavior_summary", behaviour.TAGS, self.build_behaviour),
+        steps = [
+            (products.TAGS, self.build_products),
+            (sales.TAGS, self.build_sales),
+            (customers.TAGS, self.build_customers),
+            (behaviour.TAGS, self.build_behaviour),
         ]
-        chosen = [(name, build) for name, model_tags, build in models if model_tags & set(tags)]
+        chosen = [(name, build) for name, (model_tags, build) in zip(MODELS, steps) if model_tags & set(tags)]
         for _, build in chosen:
             build()
         return [name for name, _ in chosen]

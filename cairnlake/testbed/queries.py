@@ -57,7 +57,7 @@ def _stored(spark: SparkSession, table: DataFrame, label: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _write_text_table(table: DataFrame, path: str, file_format: str) -> None:
+def write_text_table(table: DataFrame, path: str, file_format: str) -> None:
     """Write a bronze table as date-partitioned text files."""
     writer = (
         table.hint("rebalance", F.col("dt"))
@@ -79,19 +79,19 @@ def _write_text_table(table: DataFrame, path: str, file_format: str) -> None:
 
 def scan_clickstream(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "clickstream")
-    _write_text_table(bronze.clickstream_events(spark, folder), path, "json")
+    write_text_table(bronze.clickstream_events(spark, folder), path, "json")
     return tables.scan_clickstream(spark, path)
 
 
 def scan_support_tickets(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "tickets")
-    _write_text_table(bronze.support_tickets(spark, folder), path, "json")
+    write_text_table(bronze.support_tickets(spark, folder), path, "json")
     return tables.scan_support_tickets(spark, path)
 
 
 def _catalog_files(spark: SparkSession, folder: str) -> str:
     path = scratch_path(spark, "catalog")
-    _write_text_table(bronze.product_catalog(spark, folder), path, "json")
+    write_text_table(bronze.product_catalog(spark, folder), path, "json")
     return path
 
 
@@ -106,7 +106,7 @@ def scan_newest_catalog(spark: SparkSession, folder: str) -> DataFrame:
 
 def scan_sales_csv(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "sales")
-    _write_text_table(bronze.sales_transactions(spark, folder), path, "csv")
+    write_text_table(bronze.sales_transactions(spark, folder), path, "csv")
     return tables.scan_sales(spark, path)
 
 
@@ -509,6 +509,28 @@ def batch_job(spark: SparkSession, folder: str) -> DataFrame:
     return job.table("user_behavior_summary").read()
 
 
+def named_models(spark: SparkSession, folder: str) -> DataFrame:
+    """SQL over the stored models of a job by their names."""
+    job = BatchJob(
+        spark,
+        Bronze(
+            bronze.sales_transactions(spark, folder),
+            bronze.product_catalog(spark, folder),
+            bronze.clickstream_events(spark, folder),
+        ),
+        scratch_path(spark, "named-job"),
+        CENTS,
+    )
+    job.run({"silver"})
+    job.register_models()
+    return spark.sql(
+        """
+        SELECT category, count(*) AS n_sold, max(transaction_timestamp) AS last_sold
+        FROM f_sales JOIN d_products USING (product_id) GROUP BY category
+        """
+    )
+
+
 def batch_job_second_run(spark: SparkSession, folder: str) -> DataFrame:
     """The customer history after a run on the even orders and an incremental one on all of them."""
     history, root = bronze.sales_transactions(spark, folder), scratch_path(spark, "job-runs")
@@ -663,6 +685,7 @@ QUERIES: dict[str, Query] = {
     "browsed_categories": browsed_categories,
     "user_behavior_summary": user_behavior_summary,
     "batch_job": batch_job,
+    "named_models": named_models,
     "batch_job_second_run": batch_job_second_run,
     "assert_unique_customers": assert_unique_customers,
     "assert_unique_products": assert_unique_products,

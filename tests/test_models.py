@@ -106,6 +106,8 @@ def test_batch_job_by_tag_and_twice(spark, job):
     assert rows(job.table("d_customers").read(schemas.CUSTOMERS)) == first_customers
     assert rows(job.table("user_behavior_summary").read()) == first_summary
     assert job.table("d_customers").versions() == [1, 2]
+    assert job.register_models() == ["d_products", "f_sales", "d_customers", "user_behavior_summary"]
+    assert rows(spark.sql("SELECT * FROM user_behavior_summary")) == first_summary
 
 
 def test_second_run_rewrites_only_the_dates_that_change(spark, tmp_path):
