@@ -29,7 +29,7 @@ WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
 #: Tokens in a block: this, or the part of all tokens below if that is less.
 BLOCK_TOKENS = 65_536
-LEAST_BLOCKS = 100_000
+LEAST_BLOCKS = 10_000
 #: Sources whose totals the driver takes; more are refused.
 MAX_SOURCES = 100_000
 #: Documents that a range of the seeded order is to hold, and bits of the order.
@@ -262,14 +262,14 @@ def mix_documents(
         return F.aggregate(F.col("_seats"), F.lit(0).cast("long"), lambda sum_, s: sum_ + F.when(s["shard"] == shard, s["words"]).otherwise(0))
 
     listed = found.withColumn("_seats", F.when(F.col("_size") > 0, every).otherwise(F.array().cast("array<struct<shard:int,words:bigint>>")))
-    counted = listed.withColumn("_shards", F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), of_shard))
-    return counted.select(
+    return listed.select(
         F.col("_id").alias("doc_id"),
         F.col("_size").alias("size"),
         quota["tokens"].alias("source_size"),
         quota["target"].alias("target"),
-        F.aggregate("_shards", F.lit(0).cast("long"), lambda sum_, n: sum_ + n).alias("taken"),
-        F.col("_shards").alias("by_shard"),
+        # The second mention of _seats keeps the optimiser from computing it anew for every shard.
+        F.aggregate("_seats", F.lit(0).cast("long"), lambda sum_, s: sum_ + s["words"]).alias("taken"),
+        F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), of_shard).alias("by_shard"),
     )
 
 
