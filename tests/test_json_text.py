@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -84,3 +85,29 @@ def test_explode_records(spark, text, expected):
     found = json_text.explode_records(table, "items", MEMBERS)
     assert found.columns == ["k", *MEMBERS]
     assert sorted(rows(found).elements(), key=repr) == sorted([("k", *r) for r in expected], key=repr)
+
+
+def test_one_object_and_nothing_after_it(spark):
+    """Against a parser that tells where the first value ends, on nested objects with odd strings and odd ends."""
+    draw = random.Random(8)
+    odd = ["", "}", "{", "]", '"', "\\", '\\"', "a", "{}", "},{", "é\n"]
+
+    def value(depth):
+        kind = draw.randrange(5) if depth else draw.randrange(3)
+        if kind == 0:
+            return "".join(draw.choices(odd, k=draw.randrange(4)))
+        if kind < 3:
+            return draw.choice([1, -2.5, True, None, 0])
+        if kind == 3:
+            return [value(depth - 1) for _ in range(draw.randrange(3))]
+        return {f"k{i}" + draw.choice(odd): value(depth - 1) for i in range(draw.randrange(3))}
+
+    texts = []
+    for _ in range(1500):
+        first = draw.choice([value(6), {"a": value(5)}, {"a": value(2)}])
+        end = draw.choice(["", "", "", " ", "\t\r", "}", " {}", "x", ",", "[]", '"', " 1", "{"])
+        texts.append(draw.choice(["", " "]) + json.dumps(first, ensure_ascii=draw.random() < 0.5) + end)
+    table = spark.createDataFrame([(t,) for t in texts], "t string")
+    for row in table.select("t", json_text.is_single_object(F.col("t")).alias("one")).collect():
+        found, end = json.JSONDecoder().raw_decode(row.t.strip())
+        assert row.one == (isinstance(found, dict) and end == len(row.t.strip())), row.t
