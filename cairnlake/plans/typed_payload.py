@@ -36,8 +36,7 @@ def typed_payload(raw: DataFrame, schema: T.StructType) -> DataFrame:
     """
     fields = [field for field in schema.fields if field.name != "dt"]
     record = T.StructType([*fields, T.StructField(_BROKEN, T.StringType())])
-    text = F.trim(F.col("payload"), F.lit(_BLANKS))
-    body = F.get_json_object(text, "$.raw")
+    text, body = F.col("_payload"), F.col("_body")
     lines = F.filter(F.split(body, r"\r?\n"), lambda line: F.trim(line, F.lit(_BLANKS)) != "")
     records = F.when(_is_json_line(body), lines).otherwise(csv_text.split_records(body))
     elements = F.transform(
@@ -52,8 +51,12 @@ def typed_payload(raw: DataFrame, schema: T.StructType) -> DataFrame:
     # Only CSV knows header lines; a JSON line cannot spell one.
     kept = [name for name in raw.columns if name != "payload"]
     # Whatever is taken from the whole payload is taken once, before there is a row for each record.
-    split = raw.select(*kept, body.isNotNull().alias("_wrapped"), found.alias("_found"))
-    one = split.select(*kept, "_wrapped", F.explode("_found").alias("_text")).where(
+    whole_text = raw.select(*kept, F.trim(F.col("payload"), F.lit(_BLANKS)).alias("_payload"))
+    bodies = whole_text.select(*kept, "_payload", F.get_json_object(text, "$.raw").alias("_body"))
+    split = bodies.select(*kept, body.isNotNull().alias("_wrapped"), found.alias("_found"))
+    # Of an inner explode Spark infers filters on the array and computes it for them, too; a payload without records has no place.
+    each = split.select(*kept, "_wrapped", F.posexplode_outer("_found").alias("_place", "_text"))
+    one = each.where(F.col("_place").isNotNull()).drop("_place").where(
         F.col("_text").isNull() | ~csv_text.spells(F.col("_text"), [field.name for field in fields])
     )
     options = {"columnNameOfCorruptRecord": _BROKEN}

@@ -4,9 +4,12 @@ import csv
 import io
 import random
 
+from helpers import plan
 from pyspark.sql import functions as F
 
 from cairnlake.functions import csv_text
+from cairnlake.functions.csv_text import split_records, value_count
+
 
 SIGNS = ["a", "b c", ",", '"', "\n", "\r\n", "\x01", "\x01n", "é", "", " "]
 
@@ -58,3 +61,17 @@ def test_header_lines(spark):
     table = spark.createDataFrame([("k,v",), ('"k","v"',), (" k,v \r",), ("k,v,w",), ("K,V",), ("﻿k,v",)], "t string")
     got = [r.s for r in table.select(csv_text.spells(F.col("t"), ["k", "v"]).alias("s")).collect()]
     assert got == [True, True, True, False, False, True]
+
+
+def test_records_with_runs_of_quotes(spark):
+    text = 'a,"",b\n"""x""\n""\x01q\x01",""\r\nc,"""",""""""\n"d\r\r\n""",e'
+    table = spark.createDataFrame([(text,)], "text string")
+    assert table.select(split_records(table.text)).first()[0] == [
+        'a,"",b', '"""x""\n""\x01q\x01",""', 'c,"""",""""""', '"d\r\r\n""",e']
+
+
+def test_values_are_counted_by_one_pass_of_the_expression(spark):
+    table = spark.createDataFrame([('a,"b,""c""",d',), ('"a"b',), (None,), ("",)], "text string")
+    counted = table.select(value_count(table.text).alias("n"))
+    assert [r[0] for r in counted.collect()] == [3, None, None, 1]
+    assert plan(counted, execute=False).count("regexp_replace") == 1

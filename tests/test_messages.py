@@ -205,3 +205,11 @@ def test_typed_payload_of_a_csv_file_with_line_breaks_in_values(spark):
 def test_typed_payload_keeps_no_payload(spark):
     table = typed_payload(raw_ingest.raw_rows(envelope(spark, b"[{},{}]")), schemas.CLICKSTREAM_EVENTS)
     assert "payload" not in table.columns and table.count() == 2
+
+
+def test_typed_payload_splits_a_payload_once(spark):
+    """No filter on the records of a payload that would split it once more; a payload without records still gives none."""
+    table = typed_payload(raw_ingest.raw_rows(envelope(spark, b"a,b\nc\n", b"[]", b"", b'{"raw":"\\n \\n"}')), schemas.SALES_TRANSACTIONS)
+    optimized = table._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("json_object_keys(") + optimized.count("jsonObjectKeys(") == 1
+    assert sorted((r.message_id, r.broken) for r in table.collect()) == [("m0", "a,b"), ("m0", "c")]
