@@ -165,3 +165,22 @@ def test_merge_ranks_the_sales_once(spark, tmp_path, conf):
     text = plan(merged).split("Initial Plan")[0]
     assert "ReusedExchange" in text
     assert text.index("WindowGroupLimit") < text.index("FileScan")
+
+
+def test_rows_are_dealt_out_before_they_are_ranked(spark, tmp_path, conf):
+    """A single wide partition is not sorted by a single task, not even if one user has most of it."""
+    many = spark.range(60_000, numPartitions=1).select(
+        F.concat(F.lit("t"), F.sha2(F.col("id").cast("string"), 256)).alias("transaction_id"),
+        F.when(F.col("id") % 3 > 0, F.lit("heavy")).otherwise(F.concat(F.lit("u"), F.col("id") % 100)).alias("user_id"),
+        F.timestamp_seconds(1_600_000_000 - F.col("id") % 5_000).alias("timestamp"),
+    )
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256KB")
+    first = customers.first_transaction_per_user(many)
+    found = {r.user_id: (r.timestamp, r.transaction_id) for r in first.collect()}
+    want = {}
+    for r in many.collect():
+        want[r.user_id] = min(want.get(r.user_id, (r.timestamp, r.transaction_id)), (r.timestamp, r.transaction_id))
+    assert found == want and len(want) == 101
+    text = plan(first).split("Initial Plan")[0]
+    dealt = text.index("REBALANCE_PARTITIONS_BY_COL")
+    assert text.rindex("WindowGroupLimit") < dealt and text.rindex("Sort ") < dealt
