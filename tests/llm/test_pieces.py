@@ -1,4 +1,5 @@
 import hashlib
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -84,3 +85,17 @@ def test_pipeline_stages(spark):
         ids = LIBRARY.encode(r.text or "")
         want.append((r.doc_id, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()))
     assert got == sorted(want)
+
+
+def test_a_large_batch_takes_little_memory(edge_documents, monkeypatch):
+    """Eight MB of texts in one batch: arrays of some ten times its size would not fit beside another task."""
+    monkeypatch.setattr(sentence_piece, "map_batches", lambda table, run, schema: run)
+    texts = [" ".join(f"w{i}x{j}" for j in range(1500)) for i in range(800)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    assert batch.nbytes > 8 << 20
+    run = sentence_piece.token_digests(edge_documents, PATH)
+    tracemalloc.start()
+    rows = sum(out.num_rows for out in run(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == len(texts) and peak < 250 << 20
