@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cairnlake import schemas
 from cairnlake.operators.upsert import keyed_upsert
 from cairnlake.plans import customers
+from cairnlake.session import configure
 from helpers import plan, rows
 
 TWO = [
@@ -184,3 +185,22 @@ def test_rows_are_dealt_out_before_they_are_ranked(spark, tmp_path, conf):
     text = plan(first).split("Initial Plan")[0]
     dealt = text.index("REBALANCE_PARTITIONS_BY_COL")
     assert text.rindex("WindowGroupLimit") < dealt and text.rindex("Sort ") < dealt
+
+
+def test_a_task_ranks_a_bounded_share_of_the_rows(spark):
+    """Rows of less than Spark's 64 MB are ranked by several tasks; a session's own size of partitions is kept."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "63MB")
+    assert configure(own).conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "63MB"
+    session = configure(spark.newSession())
+    session.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    session.conf.set("spark.sql.shuffle.partitions", "64")
+    many = session.range(500_000, numPartitions=4).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("transaction_id"),
+        F.concat(F.lit("u"), F.floor(F.col("id") / 2)).alias("user_id"),
+        F.timestamp_seconds(1_600_000_000 - F.col("id")).alias("timestamp"),
+    )
+    first = customers.first_transaction_per_user(many)
+    tasks = first.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(tasks) > 1 and sum(r["count"] for r in tasks) == 250_000
+    assert first.where(F.unix_timestamp("timestamp") % 2 == 0).isEmpty()
