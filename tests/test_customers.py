@@ -204,3 +204,18 @@ def test_a_task_ranks_a_bounded_share_of_the_rows(spark):
     tasks = first.groupBy(F.spark_partition_id().alias("task")).count().collect()
     assert len(tasks) > 1 and sum(r["count"] for r in tasks) == 250_000
     assert first.where(F.unix_timestamp("timestamp") % 2 == 0).isEmpty()
+
+
+def test_a_task_combines_a_bounded_share_of_a_file(spark, tmp_path):
+    """A file of less than Spark's 128 MB is read by several tasks; a session's own size of splits is kept."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", "127MB")
+    assert configure(own).conf.get("spark.sql.files.maxPartitionBytes") == "127MB"
+    session = configure(spark.newSession())
+    session.conf.set("spark.sql.files.minPartitionNum", "1")
+    path = str(tmp_path / "lines")
+    keys = session.range(6_000_000, numPartitions=1).select(F.xxhash64("id").alias("key"))
+    keys.write.option("parquet.block.size", 4 << 20).parquet(path)
+    tasks = session.read.parquet(path).groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in tasks) == 6_000_000
+    assert len(tasks) > 1 and max(r["count"] for r in tasks) * 8 < 36 << 20
