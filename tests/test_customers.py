@@ -219,3 +219,23 @@ def test_a_task_combines_a_bounded_share_of_a_file(spark, tmp_path):
     tasks = session.read.parquet(path).groupBy(F.spark_partition_id().alias("task")).count().collect()
     assert sum(r["count"] for r in tasks) == 6_000_000
     assert len(tasks) > 1 and max(r["count"] for r in tasks) * 8 < 36 << 20
+
+
+def test_a_task_holds_one_join_of_a_union(spark):
+    """Two joins by one key stay apart when their rows are put together; a session's own choice is kept."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.unionOutputPartitioning", "true")
+    assert configure(own).conf.get("spark.sql.unionOutputPartitioning") == "true"
+    session = configure(spark.newSession())
+    # As partitions are that have reached the advisory size.
+    session.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    orders = session.range(2_000).select(F.col("id").alias("order"))
+    lines = session.range(8_000).select((F.col("id") % 1_500).alias("line_order"))
+    same = F.col("order") == F.col("line_order")
+    inside = lines.join(orders.hint("merge"), same).select("order", F.lit("with").alias("case"))
+    without = orders.join(lines.distinct().hint("merge"), same, "left_anti").select("order", F.lit("without").alias("case"))
+    tasks = {}
+    for row in inside.unionByName(without).withColumn("task", F.spark_partition_id()).collect():
+        tasks.setdefault(row["task"], []).append(row["case"])
+    assert sum(map(len, tasks.values())) == 8_500
+    assert {len(set(cases)) for cases in tasks.values()} == {1}
