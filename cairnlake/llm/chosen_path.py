@@ -22,12 +22,13 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from cairnlake.llm.components import connected_components
-from cairnlake.llm.scratch import stored
+from cairnlake.llm.scratch import discard, stored
 from cairnlake.llm.stream_dedup import row_key
-from cairnlake.llm.text_arrays import Texts, hash_runs, hash_spans, lower_ascii, mix, read_texts
+from cairnlake.llm.text_arrays import CHUNK_BYTES, Texts, hash_runs, hash_spans, lower_ascii, mix, read_texts
 from cairnlake.llm.workers import map_batches, whole_groups
 
 SHINGLE_WORDS = 5
@@ -95,8 +96,19 @@ def minwise(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
+def packed_sketch(coordinates: np.ndarray) -> np.ndarray:
+    """The last four bits of every coordinate, two in a byte: an eighth of what shuffling the coordinates would take."""
+    low = (coordinates & np.uint32(15)).astype(np.uint8)
+    return low[:, 0::2] | (low[:, 1::2] << np.uint8(4))
+
+
+def unpacked_sketch(packed: np.ndarray) -> np.ndarray:
+    """The four-bit values of packed sketches, in an order of their own."""
+    return np.concatenate([packed & np.uint8(15), packed >> np.uint8(4)], axis=1)
+
+
 def _described(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id, n_shingles, h1, h2, coordinates`` of every row; h1 and h2 name the set."""
+    """``doc_id, n_shingles, h1, h2, coordinates, sketch`` of every row; h1 and h2 name the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -105,12 +117,14 @@ def _described(docs: DataFrame, width: int) -> DataFrame:
                 full = sizes > 0
                 h1, h2 = np.zeros(len(sizes), np.uint64), np.zeros(len(sizes), np.uint64)
                 coordinates: list[bytes | None] = [None] * len(sizes)
+                sketches: list[bytes | None] = [None] * len(sizes)
                 if full.any():
                     at = (np.cumsum(sizes) - sizes)[full]
                     h1[full] = np.add.reduceat(values, at)
                     h2[full] = np.add.reduceat(mix(values, 3), at)
-                    for i, row in zip(np.flatnonzero(full), minwise(values, sizes[full])):
-                        coordinates[i] = row.tobytes()
+                    least = minwise(values, sizes[full])
+                    for i, row, sketch in zip(np.flatnonzero(full), least, packed_sketch(least)):
+                        coordinates[i], sketches[i] = row.tobytes(), sketch.tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(first, len(texts)),
@@ -118,12 +132,13 @@ def _described(docs: DataFrame, width: int) -> DataFrame:
                         pa.array(h1.view(np.int64)),
                         pa.array(h2.view(np.int64)),
                         pa.array(coordinates, pa.binary()),
+                        pa.array(sketches, pa.binary()),
                     ],
-                    names=["doc_id", "n_shingles", "h1", "h2", "coordinates"],
+                    names=["doc_id", "n_shingles", "h1", "h2", "coordinates", "sketch"],
                 )
 
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
-    return map_batches(rows, run, "doc_id long, n_shingles long, h1 long, h2 long, coordinates binary")
+    return map_batches(rows, run, "doc_id long, n_shingles long, h1 long, h2 long, coordinates binary, sketch binary")
 
 
 def _branched(table: DataFrame, threshold: float, trees: int | None) -> DataFrame:
@@ -196,8 +211,8 @@ def _leaf_edges(members: DataFrame, threshold: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in whole_groups(batches, ["node"]):
-            raw = b"".join(table.column("coordinates").to_pylist())
-            sketch = (np.frombuffer(raw, dtype=np.uint32).reshape(-1, COORDINATES) & 15).astype(np.uint8)
+            raw = b"".join(table.column("sketch").to_pylist())
+            sketch = unpacked_sketch(np.frombuffer(raw, dtype=np.uint8).reshape(-1, COORDINATES // 2))
             ids = table.column("doc").to_numpy()
             sizes = np.diff(bounds)
             pair = bounds[:-1][sizes == 2]
@@ -217,23 +232,30 @@ def _leaf_edges(members: DataFrame, threshold: float) -> DataFrame:
 
 
 def candidate_edges(sets: DataFrame, threshold: float) -> list[DataFrame]:
-    """Edges between documents of ``sets(doc, coordinates)`` that trees bring together."""
+    """Edges between documents of ``sets(doc, coordinates, sketch)`` that trees bring together."""
     found = []
-    frontier, trees = sets.withColumn("node", F.lit(0).cast("long")).withColumn("size", F.lit(0).cast("long")), tree_count(threshold)
+    coordinates = sets.select("doc", "coordinates")
+    frontier = coordinates.withColumn("node", F.lit(0).cast("long")).withColumn("size", F.lit(0).cast("long"))
+    nodes, trees = None, tree_count(threshold)
     for depth in range(1, MAX_DEPTH + 1):
         children = stored(_branched(frontier, threshold, trees if depth == 1 else None), "path-children")
-        counts = children.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("doc").alias("hub"))
-        nodes = stored(children.join(stored(counts.where("size > 1"), "path-counts"), "node"), "path-nodes")
+        if nodes is not None:
+            discard(nodes)
+        counts = stored(children.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("doc").alias("hub")).where("size > 1"), "path-counts")
+        nodes = stored(children.join(counts, "node"), "path-nodes")
+        discard(children, counts)
         stuck = (F.col("size") > LEAF) & (
             (F.lit(depth) == MAX_DEPTH) | ((F.lit(depth) > 1) & (F.col("size") > STUCK * F.col("parent_size")))
         )
-        small = nodes.where(F.col("size") <= LEAF).select("node", "doc").join(sets, "doc")
+        small = nodes.where(F.col("size") <= LEAF).select("node", "doc").join(sets.select("doc", "sketch"), "doc")
         found.append(stored(_leaf_edges(small, threshold), "path-edges"))
-        found.append(nodes.where(stuck & (F.col("doc") != F.col("hub"))).select(F.col("hub").alias("a"), F.col("doc").alias("b")))
+        alike = nodes.where(stuck & (F.col("doc") != F.col("hub"))).select(F.col("hub").alias("a"), F.col("doc").alias("b"))
+        found.append(stored(alike, "path-edges"))
         large = nodes.where((F.col("size") > LEAF) & ~stuck).select("node", "doc", "size")
         if large.isEmpty():
             break
-        frontier = large.join(sets, "doc")
+        frontier = large.join(coordinates, "doc")
+    discard(nodes)
     return found
 
 
@@ -281,41 +303,42 @@ def exact_links(
 def _cluster_edges(docs: DataFrame, clusters: DataFrame, width: int, threshold: Fraction) -> DataFrame:
     """Edges that span the true components inside each cluster of ``clusters(doc, cluster, size)``."""
 
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, texts in read_texts(batch.column("text")):
-                values, sizes = shingle_sets(texts, width)
-                ends = np.cumsum(sizes)
-                packed = [values[e - s : e].tobytes() for s, e in zip(sizes, ends)]
-                kept = [batch.column(name).slice(first, len(texts)) for name in ("doc", "cluster", "size")]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(packed, pa.binary())], names=["doc", "cluster", "size", "set"])
-
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in whole_groups(batches, ["cluster", "low", "high"]):
             ids, block = table.column("doc").to_numpy(), table.column("block").to_numpy()
             low_block, high_block = table.column("low").to_numpy(), table.column("high").to_numpy()
-            packed = table.column("set")
+            text_ends = np.cumsum(pc.fill_null(pc.binary_length(table.column("text")), 0).to_numpy())
             a: list[int] = []
             b: list[int] = []
-            for low, high in zip(bounds[:-1], bounds[1:]):
-                if high - low < 2:
-                    continue
-                sets = [np.frombuffer(packed[i].as_buffer(), dtype=np.uint64) for i in range(low, high)]
-                left = None if low_block[low] == high_block[low] else block[low:high] == low_block[low]
-                more_a, more_b = _spanning(ids[low:high], exact_links(sets, threshold, left))
-                a += more_a
-                b += more_b
+            first = 0
+            while first < len(bounds) - 1:
+                # Groups of a few MB of text together, or one group.
+                start, before = bounds[first], text_ends[bounds[first] - 1] if bounds[first] else 0
+                after = int(np.searchsorted(text_ends[bounds[1:] - 1], before + CHUNK_BYTES, side="right"))
+                after = max(after, first + 1)
+                sets: list[np.ndarray] = []
+                for _, texts in read_texts(table.column("text").slice(start, bounds[after] - start)):
+                    values, sizes = shingle_sets(texts, width)
+                    sets += np.split(values, np.cumsum(sizes)[:-1])
+                for low, high in zip(bounds[first:after], bounds[first + 1 : after + 1]):
+                    if high - low < 2:
+                        continue
+                    left = None if low_block[low] == high_block[low] else block[low:high] == low_block[low]
+                    more_a, more_b = _spanning(ids[low:high], exact_links(sets[low - start : high - start], threshold, left))
+                    a += more_a
+                    b += more_b
+                first = after
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     content = docs.select(docs["doc_id"].cast("long").alias("_id"), docs["text"].alias("text"))
     # The small side is built into hash tables, so that texts are not sorted.
     wanted = content.join(clusters.hint("shuffle_hash"), F.col("_id") == F.col("doc")).select("doc", "cluster", "size", "text")
-    sets = map_batches(wanted, describe, "doc long, cluster long, size long, set binary")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    # Texts are shuffled, which take half of the disk that their sets would.
     paired = (
-        sets.withColumn("block", F.pmod(F.xxhash64("doc"), blocks).cast("int"))
+        wanted.withColumn("block", F.pmod(F.xxhash64("doc"), blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "doc", "set")
+        .select("cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "doc", "text")
         .repartition("cluster", "low", "high")
         .sortWithinPartitions("cluster", "low", "high", "doc")
     )
@@ -334,23 +357,31 @@ def link_documents(docs: DataFrame, threshold: Fraction = THRESHOLD, width: int
     full = described.where("n_shingles > 0 and doc_id is not null")
     classes = stored(full.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("doc")), "set-classes")
     sets = stored(
-        full.withColumnRenamed("doc_id", "doc").join(classes, ["h1", "h2", "n_shingles", "doc"]).select("doc", "coordinates"),
+        full.withColumnRenamed("doc_id", "doc").join(classes, ["h1", "h2", "n_shingles", "doc"]).select("doc", "coordinates", "sketch"),
         "set-sketches",
     )
+    # What is left to read of the description, without the sketches.
+    whole, described = described, stored(described.select("doc_id", "n_shingles", "h1", "h2"), "shingle-sets")
+    discard(whole)
     found = candidate_edges(sets, float(threshold))
+    discard(sets)
     edges = found[0]
     for more in found[1:]:
         edges = edges.unionByName(more)
     clusters = connected_components(edges)
+    discard(*found)
     sizes = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     members = clusters.join(sizes, "component").select(F.col("id").alias("doc"), F.col("component").alias("cluster"), "size")
-    linked = connected_components(_cluster_edges(docs, members, width, threshold))
+    spanning = stored(_cluster_edges(docs, members, width, threshold), "cluster-edges")
+    discard(clusters)
+    linked = connected_components(spanning)
     named = stored(
         classes.join(linked.withColumnRenamed("id", "doc"), "doc", "left").select(
             "h1", "h2", "n_shingles", F.coalesce("component", "doc").alias("_component")
         ),
         "set-components",
     )
+    discard(spanning, classes, linked)
     # Rows that share a doc_id may have different sets; their components are one through the id itself.
     return described.join(named, ["h1", "h2", "n_shingles"], "left").select(
         "doc_id",
