@@ -1,7 +1,8 @@
 """From raw documents to token counts of a training mix, in five stages.
 
 Each stage takes the documents that the one before it kept and returns those that it keeps, in the columns of
-documents; the last returns what it made of each.  Between stages the documents are written as Parquet to the shared folder.
+documents; the last returns what it made of each.  Between stages the documents are written as Parquet to the shared folder,
+and deleted there when the next stage has written its own.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cairnlake.llm import bradley_terry, chosen_path, mixing, sentence_piece, stream_dedup
 from cairnlake.llm.queries import documents, labels, piece_model
-from cairnlake.llm.scratch import stored
+from cairnlake.llm.scratch import discard, stored
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +54,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, from the table of documents."""
-    docs = documents(spark, sf_dir)
+    docs, before = documents(spark, sf_dir), []
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        discard(*before)
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -3,6 +3,7 @@
 import os
 import random
 
+import corpus_pipeline
 import numpy as np
 import pytest
 
@@ -89,3 +90,11 @@ def test_groups_are_cut_by_their_texts(spark, near_copies, monkeypatch):
     whole = sorted(chosen_path.link_documents(near_copies).collect())
     monkeypatch.setattr(chosen_path, "CHUNK_BYTES", 700)
     assert sorted(chosen_path.link_documents(near_copies).collect()) == whole
+
+
+def test_pipeline_keeps_the_last_documents_only(spark):
+    before = scratch_labels(spark)
+    found = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    left = [label for name, label in scratch_labels(spark).items() if name not in before and label.startswith("pipeline-")]
+    assert left == ["pipeline-mix"]
+    assert found.count() > 100
