@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import date, datetime
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F, types as T
 
 from cairnlake import schemas
 from cairnlake.sources import documents, tables
+from cairnlake.testbed import bronze, queries
 
 SCHEMA = T.StructType().add("a", T.IntegerType()).add("b", T.IntegerType())
 HEADER = (
@@ -185,3 +187,54 @@ def test_sales_that_do_not_fit_stop_the_scan(spark, tmp_path, row, message):
     put(tmp_path / "dt=2024-06-15" / "a.csv", HEADER + row)
     with pytest.raises(Exception, match=message):
         tables.scan_sales(spark, str(tmp_path)).collect()
+
+
+def sales_tables(spark, folder):
+    """Orders and lines that repeat, that have no partner and no key."""
+    day = datetime(1995, 1, 1)
+    orders = [(k, k % 7 if k else 1, "FOP"[(k or 0) % 3], 10.5 + (k or 0), day.replace(month=1 + (k or 0) % 12), "1-URGENT") for k in [None, None, 5, 5, *range(60)]]
+    lines = [(k, n, n, n, 2.0, 3.25 + n) for k in [None, 5, 77, *range(0, 60, 2)] for n in range(1, 5)]
+    tables = {
+        "orders": (orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"),
+        "lineitem": (lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double"),
+        "customer": ([(c, (c or 0) % 2) for c in [None, 3, *range(6)]], "c_custkey long, c_nationkey int"),
+        "nation": ([(0, "PERU"), (1, "VIETNAM, NORTH")], "n_nationkey int, n_name string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_parts_of_sales_are_all_sales(spark, tmp_path):
+    """Every order is in one part with its lines, repeated orders and orders and lines without a key too."""
+    folder = sales_tables(spark, tmp_path)
+    whole = bronze.sales_transactions(spark, folder).collect()
+    parts = [bronze.sales_transactions(spark, folder, (number, 3)).collect() for number in range(3)]
+    assert all(parts) and len(whole) > 150
+    assert sorted(map(str, sum(parts, []))) == sorted(map(str, whole))
+
+
+def test_sales_text_takes_little_disk(spark, tmp_path, monkeypatch):
+    """Sales are written in parts, as compressed text; the shuffles of a part go with it."""
+    folder, paths, left = sales_tables(spark, tmp_path), [], []
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = manager.getAllFiles()
+        return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+    write, before = queries.write_text_table, shuffled()
+
+    def watched(table, path, *others):
+        write(table, path, *others)
+        paths.append(path)
+        left.append(shuffled() - before)
+
+    monkeypatch.setattr(queries, "write_text_table", watched)
+    monkeypatch.setattr(queries, "PART_BYTES", 500)
+    found = queries.scan_sales_csv(spark, folder)
+    assert len(paths) > 2 and len(set(paths)) == 1 and not any(left)
+    whole = bronze.sales_transactions(spark, folder)
+    assert sorted(map(str, found.collect())) == sorted(map(str, whole.select(*found.columns).collect()))
+    files = [name for _, _, names in os.walk(paths[0].removeprefix("file://")) for name in names if name.startswith("part-")]
+    assert files and all(name.endswith(".csv.gz") for name in files)
