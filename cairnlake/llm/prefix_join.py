@@ -70,7 +70,8 @@ def shingles_in_documents(docs: DataFrame, bits: Column, lengths: list[int], win
 
     ``found`` has the shingles that start there, with the words around them as far as a window can reach.  Every document
     has one row more, at its end, in which ``found`` is null.  ``_key`` and ``_more`` name a document by its doc_id and text; rows equal
-    in both have the same result.  Words are tested one by one in generated code, and only places found become rows.
+    in both have the same result.  Words are tested one by one in generated code, and only places found become rows.  These have the
+    words that a window can reach, never all words of the document, as the places of one document are held in memory together.
     """
     split = docs.select(
         docs["doc_id"].cast("long").alias("doc_id"),
@@ -80,20 +81,26 @@ def shingles_in_documents(docs: DataFrame, bits: Column, lengths: list[int], win
     )
     places = split.select("*", F.posexplode(F.concat("words", F.array(F.lit(None).cast("string")))).alias("at", "_word"))
     words, at, count, longest = F.col("words"), F.col("at"), F.size("words"), max(lengths, default=0)
-    known = {
-        n: (at + n <= count) & has_slot(bits, slot_of(_shingle(words, at, n), bits=SHINGLE_BITS)) for n in lengths
-    }
+
+    def known(of: Column, place: Column, n: int) -> Column:
+        return (place + n <= F.size(of)) & has_slot(bits, slot_of(_shingle(of, place, n), bits=SHINGLE_BITS))
+
+    kept = reduce(lambda a, b: a | b, (known(words, at, n) for n in lengths), at == count)
+    low = F.greatest(at - (window - longest), F.lit(0))
+    near = places.where(kept).select(
+        "doc_id", "_key", "_more", count.cast("long").alias("n_words"), "at", (at - low).alias("_before"),
+        F.slice("words", low + 1, at + window - low).alias("_near"),
+    )
+    words, before = F.col("_near"), F.col("_before")
 
     def entry(n: int) -> Column:
-        low = F.greatest(at - (window - n if n == longest else 0), F.lit(0))
-        around = F.slice(words, low + 1, at + window - low)
-        return F.when(known[n], F.struct(low.alias("low"), _shingle(words, at, n).alias("token"), around.alias("around")))
+        first, around = (at - before, words) if n == longest else (at, F.slice(words, before + 1, window))
+        return F.when(
+            known(words, before, n), F.struct(first.alias("low"), _shingle(words, before, n).alias("token"), around.alias("around"))
+        )
 
-    kept = reduce(lambda a, b: a | b, known.values(), at == count)
     found = F.array_compact(F.array(*(entry(n) for n in lengths))) if lengths else F.lit(None)
-    return places.where(kept).select(
-        "doc_id", "_key", "_more", count.cast("long").alias("n_words"), "at", F.when(at < count, found.cast(_FOUND)).alias("found")
-    )
+    return near.select("doc_id", "_key", "_more", "n_words", "at", F.when(at < F.col("n_words"), found.cast(_FOUND)).alias("found"))
 
 
 def occurrences(found: DataFrame, tokens: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from collections import Counter
 
 import pytest
 from helpers import rows
+from pyspark.sql import functions as F
 
 from cairnlake.llm import prefix_join
 
@@ -97,3 +98,19 @@ def test_native(spark, edge_documents, items):
     benchmark = spark.createDataFrame(items[0], "item_id long, text string")
     plan = prefix_join.find_contamination(edge_documents, benchmark)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_places_do_not_hold_their_document(spark):
+    """A document that is benchmark text throughout has a place for every word: with all words in each it would take gigabytes."""
+    draw = random.Random(4)
+    items = [(i, " ".join(f"w{draw.randint(0, 3000)}" for _ in range(40))) for i in range(60)] + [(60, "two words"), (61, "one")]
+    long_ = " ".join(text for _ in range(8) for _, text in draw.sample(items, 60))
+    rows_ = [(0, long_), (1, "one"), (2, "w1 two words w2"), (3, None)]
+    docs, benchmark = spark.createDataFrame(rows_, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    bits = spark.range(1).select(F.expr("array_repeat(-1L, 65536)").alias("bits"))
+    found = prefix_join.shingles_in_documents(docs, bits.scalar(), [1, 2, 4])
+    below = found._jdf.queryExecution().optimizedPlan().children().head().output().toString()
+    assert "_near" in below and "words#" not in below.replace("n_words#", "")
+    longest = found.selectExpr("max(array_max(transform(found, x -> size(x.around))))").first()[0]
+    assert longest == 2 * prefix_join.WINDOW - prefix_join.SHINGLE
+    assert rows(prefix_join.find_contamination(docs, benchmark)) == plain(rows_, items)
