@@ -19,6 +19,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,8 @@ MAX_DEPTH = 6
 STUCK = 0.5
 #: Documents in a block of a large cluster.
 BLOCK = 1536
+#: Times that the texts of all clusters are dealt out to pairs of blocks at once, on average; more are dealt out in passes.
+COPIES = 1.5
 #: A sketch passes when it agrees in at least the expected number of places less this many standard deviations.
 DEVIATIONS = 6
 
@@ -300,8 +303,12 @@ def exact_links(
     return forest
 
 
-def _cluster_edges(docs: DataFrame, clusters: DataFrame, width: int, threshold: Fraction) -> DataFrame:
-    """Edges that span the true components inside each cluster of ``clusters(doc, cluster, size)``."""
+def _cluster_edges(docs: DataFrame, clusters: DataFrame, width: int, threshold: Fraction) -> list[DataFrame]:
+    """Edges that span the true components inside each cluster of ``clusters(doc, cluster, size)``, which should be stored.
+
+    A text meets every block of its cluster, so what is dealt out grows with the square of a cluster.  Passes keep it from being on disk
+    all at once: each takes some of the pairs of blocks.
+    """
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in whole_groups(batches, ["cluster", "low", "high"]):
@@ -334,15 +341,24 @@ def _cluster_edges(docs: DataFrame, clusters: DataFrame, width: int, threshold:
     # The small side is built into hash tables, so that texts are not sorted.
     wanted = content.join(clusters.hint("shuffle_hash"), F.col("_id") == F.col("doc")).select("doc", "cluster", "size", "text")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    copies = clusters.agg(F.avg(blocks)).first()[0] or 0
+    passes = max(1, math.ceil(copies / COPIES))
+    if passes > 1:
+        wanted = stored(wanted, "cluster-texts")
     # Texts are shuffled, which take half of the disk that their sets would.
-    paired = (
+    dealt = (
         wanted.withColumn("block", F.pmod(F.xxhash64("doc"), blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .select("cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "doc", "text")
-        .repartition("cluster", "low", "high")
-        .sortWithinPartitions("cluster", "low", "high", "doc")
     )
-    return map_batches(paired, link, "a long, b long")
+    turn = F.pmod(F.pmod(F.xxhash64("cluster"), F.lit(passes)) + F.col("low") + F.col("high"), F.lit(passes))
+    found = []
+    for number in range(passes):
+        paired = dealt.where(turn == number).repartition("cluster", "low", "high").sortWithinPartitions("cluster", "low", "high", "doc")
+        found.append(stored(map_batches(paired, link, "a long, b long"), "cluster-edges"))
+    if passes > 1:
+        discard(wanted)
+    return found
 
 
 def link_documents(docs: DataFrame, threshold: Fraction = THRESHOLD, width: int = SHINGLE_WORDS) -> DataFrame:
@@ -365,23 +381,22 @@ def link_documents(docs: DataFrame, threshold: Fraction = THRESHOLD, width: int
     discard(whole)
     found = candidate_edges(sets, float(threshold))
     discard(sets)
-    edges = found[0]
-    for more in found[1:]:
-        edges = edges.unionByName(more)
-    clusters = connected_components(edges)
+    clusters = connected_components(reduce(DataFrame.unionByName, found))
     discard(*found)
     sizes = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    members = clusters.join(sizes, "component").select(F.col("id").alias("doc"), F.col("component").alias("cluster"), "size")
-    spanning = stored(_cluster_edges(docs, members, width, threshold), "cluster-edges")
+    members = stored(
+        clusters.join(sizes, "component").select(F.col("id").alias("doc"), F.col("component").alias("cluster"), "size"), "cluster-members"
+    )
     discard(clusters)
-    linked = connected_components(spanning)
+    found = _cluster_edges(docs, members, width, threshold)
+    linked = connected_components(reduce(DataFrame.unionByName, found))
     named = stored(
         classes.join(linked.withColumnRenamed("id", "doc"), "doc", "left").select(
             "h1", "h2", "n_shingles", F.coalesce("component", "doc").alias("_component")
         ),
         "set-components",
     )
-    discard(spanning, classes, linked)
+    discard(*found, members, classes, linked)
     # Rows that share a doc_id may have different sets; their components are one through the id itself.
     return described.join(named, ["h1", "h2", "n_shingles"], "left").select(
         "doc_id",

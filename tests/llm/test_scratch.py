@@ -73,6 +73,22 @@ def test_exact_copies_leave_no_texts(spark, near_copies):
     assert {(r.doc_id % 1000, r.keep_id, r.group_size) for r in found.collect()} == {(i, i, 2) for i in range(120)}
 
 
+def test_a_large_cluster_is_dealt_out_in_passes(spark, near_copies, monkeypatch):
+    """Six documents in blocks of one: a text is dealt out six times, 1.5 times in each pass."""
+    whole = sorted(chosen_path.link_documents(near_copies).collect())
+    dealt, store = [], chosen_path.stored
+
+    def watched(table, label):
+        if label == "cluster-edges":
+            dealt.append(label)
+        return store(table, label)
+
+    monkeypatch.setattr(chosen_path, "BLOCK", 1)
+    monkeypatch.setattr(chosen_path, "stored", watched)
+    assert sorted(chosen_path.link_documents(near_copies).collect()) == whole
+    assert len(dealt) == 4
+
+
 def test_packed_sketches_agree_as_coordinates_do():
     draw = np.random.default_rng(3)
     coordinates = draw.integers(0, 2**32, (40, chosen_path.COORDINATES), dtype=np.uint32)
